@@ -37,6 +37,11 @@ def valid_email(c: Column | str) -> Column:
     return F.coalesce(normalize_email(c).rlike(_EMAIL_SHAPE), F.lit(False))
 
 
+def evidence_email(c: Column | str) -> Column:
+    """The normalized address where it is valid, else NULL."""
+    return F.when(valid_email(c), normalize_email(c))
+
+
 def valid_phone(c: Column | str) -> Column:
     """True for 8 to 15 digits that are not all the same; NULL is not valid."""
     digits = F.regexp_replace(_col(c), _NON_DIGIT, "")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import (
     completeness_score,
-    normalize_email,
+    evidence_email,
     normalize_government_id,
     present,
     valid_email,
@@ -42,12 +42,18 @@ def protected_customers(advances: DataFrame, statuses: tuple[str, ...] = PROTECT
     return advances.where(F.col("status").isin(*statuses)).select("customer_id").distinct()
 
 
+def proof_keys(customers: DataFrame) -> DataFrame:
+    """The proof key of every non-test customer, straight from the scan."""
+    return customers.where(~F.col("is_test")).select(normalize_government_id("government_id").alias("proof_key"))
+
+
 def members(customers: DataFrame, advances: DataFrame) -> DataFrame:
-    """Non-test customers with their proof key (NULL when absent) and protection flag."""
+    """Non-test customers with proof key and evidence email (NULL when absent or invalid) and protection flag."""
     shielded = protected_customers(advances).withColumn("_hit", F.lit(True))
     return (
         customers.where(~F.col("is_test"))
         .withColumn("proof_key", normalize_government_id("government_id"))
+        .withColumn("evidence_email", evidence_email("email"))
         .join(shielded, "customer_id", "left")
         .withColumn("is_protected", F.col("_hit").isNotNull())
         .drop("_hit")
@@ -95,14 +101,17 @@ def survivors(people: DataFrame) -> DataFrame:
     )
 
 
-def resolve(people: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+def resolve(customers: DataFrame, advances: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
     """Every non-test customer with its master and the rule that chose it.
 
-    The columns of ``people`` come along, so that everything derived later
+    The columns of :func:`members` come along, so that everything derived later
     reads this one result.
     """
+    people = members(customers, advances)
     decisions = group_decisions(people).drop("n_members")
-    joined = skewed_lookup(people, decisions, ["proof_key"], ["customer_id"], how="left", policy=policy)
+    joined = skewed_lookup(
+        people, decisions, ["proof_key"], ["customer_id"], how="left", policy=policy, probe=proof_keys(customers)
+    )
     merges = F.col("n_protected") <= 1
     rule = (
         F.when(F.col("proof_key").isNull(), F.lit(RULE_UNPROVEN))
@@ -172,9 +181,8 @@ def remap_cards(cards: DataFrame, alias: DataFrame, policy: SkewPolicy = DEFAULT
 
 
 def _evidence(resolved: DataFrame) -> DataFrame:
-    return (
-        resolved.select("customer_id", "master_customer_id", normalize_email("email").alias("email"), "birth_date")
-        .where(F.col("birth_date").isNotNull() & valid_email("email"))
+    return resolved.where(F.col("evidence_email").isNotNull() & F.col("birth_date").isNotNull()).select(
+        "customer_id", "master_customer_id", F.col("evidence_email").alias("email"), "birth_date"
     )
 
 
@@ -229,6 +237,7 @@ def review_candidates(
     the input. Pairs of larger groups are not dropped: :func:`review_groups`
     counts them, :func:`review_members` holds them in factored form and
     :func:`review_partners` lists them for the customers a reviewer asks about.
+    ``resolved`` is read several times: pass a stored result.
     """
     groups = review_groups(resolved) if groups is None else groups
     small = groups.where(F.col("members") <= limit).select("email", "birth_date")

@@ -19,16 +19,6 @@ def upsert(target: DataFrame, delta: DataFrame, key: list[str]) -> DataFrame:
     return target.join(delta.select(*key), key, "left_anti").unionByName(delta)
 
 
-def stale_keys(target: DataFrame, source: DataFrame, key: list[str]) -> DataFrame:
-    """Keys held by the target that the source no longer has, each once."""
-    return target.select(*key).distinct().join(source.select(*key), key, "left_anti")
-
-
-def missing_keys(target: DataFrame, source: DataFrame, key: list[str]) -> DataFrame:
-    """Keys of the source that the target does not hold, each once."""
-    return stale_keys(source, target, key)
-
-
 def drop_stale(rows: DataFrame, source: DataFrame, key: list[str]) -> DataFrame:
     """Rows whose key the source still has."""
     return rows.join(source.select(*key), key, "left_semi")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,17 +13,23 @@ SAMPLE_SIZE = 5
 def key_difference(source: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
     """One row per distinct key of either side: ``in_source``, ``target_rows`` (0 when missing).
 
-    Both sides are reduced to distinct keys by partial aggregation before they
-    are shuffled, so a key repeated any number of times costs one row per task.
+    Both key scans feed one grouped count instead of an outer join: a single
+    shuffle, reduced in every map task first, so that a key repeated any number
+    of times crosses it as one row per task. NULL keys form a group like any other.
     """
-    left = source.groupBy(*[F.col(k).alias(f"s_{k}") for k in key]).agg(F.lit(True).alias("in_source"))
-    right = target.groupBy(*[F.col(k).alias(f"t_{k}") for k in key]).agg(F.count(F.lit(1)).alias("target_rows"))
-    same = reduce(and_, [F.col(f"s_{k}").eqNullSafe(F.col(f"t_{k}")) for k in key])
-    return left.join(right, same, "full_outer").select(
-        *[F.coalesce(f"s_{k}", f"t_{k}").alias(k) for k in key],
-        F.coalesce("in_source", F.lit(False)).alias("in_source"),
-        F.coalesce("target_rows", F.lit(0)).cast("bigint").alias("target_rows"),
-    )
+    left = source.select(*key, F.lit(True).alias("_s"), F.lit(0).cast("bigint").alias("_t"))
+    right = target.select(*key, F.lit(False).alias("_s"), F.lit(1).cast("bigint").alias("_t"))
+    return left.unionByName(right).groupBy(*key).agg(F.bool_or("_s").alias("in_source"), F.sum("_t").alias("target_rows"))
+
+
+def stale_keys(target: DataFrame, source: DataFrame, key: list[str]) -> DataFrame:
+    """Keys held by the target that the source no longer has, each once."""
+    return key_difference(source, target, key).where(~F.col("in_source")).select(*key)
+
+
+def missing_keys(target: DataFrame, source: DataFrame, key: list[str]) -> DataFrame:
+    """Keys of the source that the target does not hold, each once."""
+    return key_difference(source, target, key).where(F.col("target_rows") == 0).select(*key)
 
 
 def key_audit(difference: DataFrame, key: list[str]) -> DataFrame:
@@ -75,11 +80,13 @@ def sample_text(sample: DataFrame) -> DataFrame:
 def orphan_count(child: DataFrame, foreign_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """One row ``orphans``: child rows whose parent does not exist, NULL references included.
 
-    Children are counted per reference before the join, so a parent with a
-    third of all children crosses the shuffle as one row per task.
+    References and parent keys meet in one grouped count rather than an anti
+    join (whose rows the optimizer would move below a count placed before it):
+    a parent with a third of all children crosses the shuffle as one row per task.
     """
-    references = child.groupBy(F.col(foreign_key).alias("_ref")).agg(F.count(F.lit(1)).alias("_n"))
-    parents = parent.select(F.col(parent_key).alias("_ref")).distinct()
-    return references.join(parents, "_ref", "left_anti").agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("orphans")
+    references = child.select(F.col(foreign_key).alias("_ref"), F.lit(1).cast("bigint").alias("_n"), F.lit(False).alias("_p"))
+    parents = parent.select(F.col(parent_key).alias("_ref"), F.lit(0).cast("bigint").alias("_n"), F.lit(True).alias("_p"))
+    met = references.unionByName(parents).groupBy("_ref").agg(F.sum("_n").alias("_n"), F.bool_or("_p").alias("_p"))
+    return met.agg(
+        F.coalesce(F.sum(F.when(~F.col("_p") | F.col("_ref").isNull(), F.col("_n"))), F.lit(0)).alias("orphans")
     )

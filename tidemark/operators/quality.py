@@ -252,7 +252,9 @@ def order_breaks(rows: DataFrame, parent: str, sequence: str, value: str, chunk:
     separate group, and the ranges are stitched by their first and last value:
     no task ever sorts more than ``chunk`` rows of one parent.
     """
-    ranged = rows.select(parent, sequence, value, F.floor(F.col(sequence) / F.lit(chunk)).alias("_range"))
+    ranged = rows.select(
+        parent, sequence, value, (F.col(sequence) - F.pmod(F.col(sequence), F.lit(chunk).cast("bigint"))).alias("_range")
+    )
     inside = Window.partitionBy(parent, "_range").orderBy(sequence)
     edges = (
         ranged.withColumn("_before", F.lag(value).over(inside))

@@ -54,17 +54,20 @@ def skewed_lookup(
     spread: list[str],
     how: str = "inner",
     policy: SkewPolicy = DEFAULT_POLICY,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join ``rows`` to ``lookup``, which holds one row per key.
 
     Rows of a hot key are dealt over several tasks by a hash of ``spread``
     (a deterministic salt, so a retried task deals them the same way) and only
     the hot lookup rows are repeated, once per salt. Rows with a NULL key never
-    match; under ``how="left"`` they are dealt out too.
+    match; under ``how="left"`` they are dealt out too. ``probe`` is a cheaper
+    frame with the same key columns to sample from, when ``rows`` is the result
+    of joins.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how!r}")
-    hot = F.broadcast(hot_keys(rows, keys, policy))  # at most max_hot rows
+    hot = F.broadcast(hot_keys(rows if probe is None else probe, keys, policy))  # at most max_hot rows
     dealt: Column = F.xxhash64(*spread)
     any_null = F.lit(False)
     for k in keys:

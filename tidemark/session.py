@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Applied to sessions we build; a cluster session keeps its own sizing.
 DEFAULTS = {
@@ -14,6 +15,7 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -49,3 +51,15 @@ def shared_folder(spark: SparkSession) -> str:
     if app not in _LOCAL_FOLDERS:
         _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="tidemark-")
     return _LOCAL_FOLDERS[app]
+
+
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Write a result that several later steps read to the shared folder, and read it back.
+
+    Cuts the lineage: what follows starts from stored columns, survives lost
+    executors, and does not repeat the joins above.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/settled/{name}-{uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

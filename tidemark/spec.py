@@ -204,6 +204,11 @@ DERIVED = {
         " detected_at timestamp, _run_id string",
         "email birth_date members masters pairs detected_at _run_id",
     ),
+    "identity_review_members": _schema(
+        "email string, birth_date date, customer_id bigint, master_customer_id bigint,"
+        " detected_at timestamp, _run_id string",
+        "email birth_date customer_id master_customer_id detected_at _run_id",
+    ),
     "identity_conflicts": _schema(
         "conflict_key string, customer_id bigint, reason string, detected_at timestamp, _run_id string",
         "conflict_key customer_id reason detected_at _run_id",

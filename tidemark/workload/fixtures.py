@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 # High-water mark the warehouse side of the incremental fixtures was loaded up to.
 WATERMARK = "1999-01-01"
@@ -35,8 +36,15 @@ class Fixture:
         return f"SELECT {picked} FROM {self.table}" + (f" WHERE {self.where}" if self.where else "")
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def base(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+    """A base table; its footer is read for the schema once per process."""
+    path = f"{sf_dir.rstrip('/')}/{table}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 FIXTURES = {
