@@ -54,7 +54,7 @@ def tables(spark, tmp_path_factory):
 @pytest.fixture(scope="module")
 def story(spark, tables, tmp_path_factory):
     """Initial load, replay, failed load, recovered load, with what was seen after each."""
-    load = Load(Warehouse(spark, str(tmp_path_factory.mktemp("wh"))), SPECS, metadata=METADATA)
+    load = Load(Warehouse(spark, str(tmp_path_factory.mktemp("wh"))), SPECS, metadata=METADATA, parallel=4)
     seen = {}
 
     def note(label, summary=None):

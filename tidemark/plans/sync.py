@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.digest import payload_bytes
-from tidemark.operators.extract import cursor_text, in_window, extract, latest_per_key, upper_bound
+from tidemark.operators.extract import bound_literal, cursor_text, extract, in_window, latest_per_key
 from tidemark.sources.warehouse import BUCKET, MAX_SEGMENTS, State, Warehouse, bucket_of
 from tidemark.spec import LOADED_AT, RUN_ID, TableSpec
 
@@ -41,10 +41,10 @@ class Stamp:
         return F.lit(self.at).cast("timestamp")
 
 
-def lower_bound(wh: Warehouse, state: State, spec: TableSpec):
-    """The stored watermark as text, or the floor of a table never loaded."""
-    row = wh.read(state, "watermarks").where(F.col("source_table") == spec.source).select("cursor_value").first()
-    return spec.floor if row is None else row.cursor_value
+def stored_watermarks(wh: Warehouse, state: State) -> dict[str, str]:
+    """Watermark text per source table; a few control rows."""
+    rows = wh.read(state, "watermarks").select("source_table", "cursor_value").collect()
+    return {r.source_table: r.cursor_value for r in rows}
 
 
 def _write_delta(wh: Warehouse, spec: TableSpec, source: DataFrame, lower, upper: str, stamp: Stamp) -> str:
@@ -62,7 +62,7 @@ def _write_delta(wh: Warehouse, spec: TableSpec, source: DataFrame, lower, upper
 
 
 def _removed_keys(
-    wh: Warehouse, state: State, spec: TableSpec, source: DataFrame, delta: DataFrame, lower, upper: str
+    wh: Warehouse, state: State, spec: TableSpec, source: DataFrame, delta: DataFrame | None, lower, upper: str
 ) -> DataFrame:
     """Stored keys that must leave their bucket: deleted at the source, or replaced by the delta.
 
@@ -88,44 +88,42 @@ def _removed_keys(
 
 
 def sync_table(
-    wh: Warehouse, state: State, spec: TableSpec, source: DataFrame, stamp: Stamp
+    wh: Warehouse, state: State, spec: TableSpec, source: DataFrame, stamp: Stamp, lower: str | None = None
 ) -> tuple[State, TableMetrics]:
     """Extract, upsert and reconcile one table; returns the draft that names the new folders.
 
-    The delta is written once, split by key bucket. A bucket that only gains
-    rows keeps its folders and takes the delta's as a further segment; only
-    buckets holding a replaced or deleted key (or too many segments) are
-    written anew. An unchanged table writes nothing.
+    ``lower`` is the stored watermark, None for a first load. The delta is
+    written once, split by key bucket. A bucket that only gains rows keeps its
+    folders and takes the delta's as a further segment; only buckets holding a
+    replaced or deleted key (or too many segments) are written anew. An
+    unchanged table writes nothing.
     """
     key = list(spec.key)
     source = spec.check(source)
-    kind = spec.cursor_type
-    lower = lower_bound(wh, state, spec)
-    upper = (
-        upper_bound(source, spec.cursor, spec.floor).select(cursor_text(F.col("bound"), kind).alias("v")).first()["v"]
+    floor = spec.floor if lower is None else lower
+    seen = source.agg(F.max(spec.cursor).alias("_max"), F.count(F.lit(1)).alias("n")).select(
+        cursor_text(F.coalesce("_max", bound_literal(spec.floor, spec.cursor_type)), spec.cursor_type).alias("upper"), "n"
     )
+    upper, rows = seen.first()
+    segments = state.segments(spec.target)
 
-    delta_folder = _write_delta(wh, spec, source, lower, upper, stamp)
-    extra = [T.StructField(n, T.LongType()) for n in (_VERSIONS, _BYTES)] + [T.StructField(BUCKET, T.IntegerType())]
-    delta = wh.open(delta_folder, T.StructType(spec.target_schema.fields + extra))
-    # One row per bucket at most.
-    gained = delta.groupBy(BUCKET).agg(F.sum(_VERSIONS).alias("n"), F.sum(_BYTES).alias("b")).collect()
+    delta, delta_folder, gained = None, "", []
+    if upper != lower:
+        delta_folder = _write_delta(wh, spec, source, floor, upper, stamp)
+        extra = [T.StructField(n, T.LongType()) for n in (_VERSIONS, _BYTES)]
+        extra.append(T.StructField(BUCKET, T.IntegerType()))
+        delta = wh.open(delta_folder, T.StructType(spec.target_schema.fields + extra))
+        # One row per bucket at most.
+        gained = delta.groupBy(BUCKET).agg(F.sum(_VERSIONS).alias("n"), F.sum(_BYTES).alias("b")).collect()
     delta_buckets = {r[BUCKET] for r in gained}
     extracted = sum(r["n"] for r in gained)
 
-    segments = state.segments(spec.target)
     stale = 0
     rewritten: set[int] = set()
     removed = None
     if segments and (spec.reconcile or gained):
-        removed_folder = wh.write(
-            f"_stage_{spec.target}", _removed_keys(wh, state, spec, source, delta, lower, upper), stamp.run_id
-        )
-        removed_schema = T.StructType(
-            [spec.schema[k] for k in key]
-            + [T.StructField(_STALE, T.BooleanType()), T.StructField(BUCKET, T.IntegerType())]
-        )
-        removed = wh.open(removed_folder, removed_schema)
+        found = _removed_keys(wh, state, spec, source, delta, floor, upper)
+        removed = wh.open(wh.write(f"_stage_{spec.target}", found, stamp.run_id), found.schema)
         lost = removed.groupBy(BUCKET).agg(F.count_if(_STALE).alias("stale")).collect()  # one row per bucket
         rewritten = {r[BUCKET] for r in lost}
         stale = sum(r["stale"] for r in lost)
@@ -133,17 +131,17 @@ def sync_table(
 
     draft = state
     if rewritten:
-        base = wh.read(state, spec.target, rewritten)
+        merged = wh.read(state, spec.target, rewritten)
         if removed is not None:
-            base = base.join(removed.select(*key), key, "left_anti")
-        written = delta.where(F.col(BUCKET).isin(*rewritten)).select(*spec.target_schema.fieldNames())
-        merged = base.unionByName(written).withColumn(BUCKET, bucket_of(spec))
-        folder = wh.write_buckets(spec.target, merged, stamp.run_id)
+            merged = merged.join(removed.select(*key), key, "left_anti")
+        if gained:
+            written = delta.where(F.col(BUCKET).isin(*rewritten)).select(*spec.target_schema.fieldNames())
+            merged = merged.unionByName(written)
+        folder = wh.write_buckets(spec.target, merged.withColumn(BUCKET, bucket_of(spec)), stamp.run_id)
         draft = draft.with_folders(
             spec.target, wh.bucket_folders(folder, wh.filled_buckets(folder)), replaced=rewritten
         )
     draft = draft.with_folders(spec.target, wh.bucket_folders(delta_folder, delta_buckets - rewritten))
 
-    scanned = source.count() if spec.reconcile else 0
     size = sum(r["b"] for r in gained)
-    return draft, TableMetrics(extracted, extracted, stale, size, scanned, upper)
+    return draft, TableMetrics(extracted, extracted, stale, size, rows if spec.reconcile else 0, upper)

@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Applied to sessions we build; a cluster session keeps its own sizing.
 DEFAULTS = {
@@ -63,3 +66,20 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/settled/{name}-{uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_ARROW = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_()}
+
+
+def local_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A few driver-side control rows as a local relation, without starting Python workers.
+
+    Dates, instants and decimals are given as text and cast.
+    """
+    columns = zip(*rows) if rows else [() for _ in schema.fields]
+    arrays = [
+        pa.array(list(values), _ARROW.get(f.dataType.simpleString(), pa.string()))
+        for f, values in zip(schema.fields, columns)
+    ]
+    table = pa.table(arrays, names=schema.fieldNames())
+    return spark.createDataFrame(table).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

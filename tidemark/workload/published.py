@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.plans.sync import Stamp, sync_table
 from tidemark.sources.warehouse import Warehouse
@@ -24,14 +23,8 @@ def publish_orders(spark: SparkSession, root: str, before: DataFrame, after: Dat
     )
     wh = Warehouse(spark, root, {spec.target: spec.target_schema})
     state, _ = sync_table(wh, wh.state(), spec, before, Stamp("run-1", "2025-01-01T00:00:00+00:00"))
-    marks = spark.range(1).select(
-        F.lit(spec.source).alias("source_table"),
-        F.lit(spec.cursor).alias("cursor_column"),
-        F.lit(f"{watermark}T00:00:00").alias("cursor_value"),
-        F.lit("2025-01-01T00:00:00+00:00").cast("timestamp").alias("updated_at"),
-        F.lit("run-1").alias("run_id"),
-    )
-    state = wh.publish(wh.replace(state, "watermarks", marks, "run-1"))
-    state, _ = sync_table(wh, state, spec, after, Stamp("run-2", "2025-01-02T00:00:00+00:00"))
+    state = wh.publish(state)
+    later = Stamp("run-2", "2025-01-02T00:00:00+00:00")
+    state, _ = sync_table(wh, state, spec, after, later, f"{watermark}T00:00:00")
     wh.publish(state)
     return wh.read(wh.state(), spec.target).drop(LOADED_AT, RUN_ID)
