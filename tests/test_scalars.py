@@ -35,6 +35,11 @@ EMAILS = {  # value: (normalized, valid)
     "a b@c.de": ("a b@c.de", False),
     "a@b.co.": ("a@b.co.", False),
     "first.last+tag%x@sub-domain.example.org": ("first.last+tag%x@sub-domain.example.org", True),
+    "a@ſite.com": ("a@ſite.com", True),
+    "ı@b.co": ("ı@b.co", True),
+    "ünal@example.com": ("ünal@example.com", False),
+    "\u2003ana@example.com\u3000": ("ana@example.com", True),
+    "ana@example.com\x00": ("ana@example.com\x00", False),
     "": (None, False),
     "  ": (None, False),
     None: (None, False),

@@ -17,7 +17,7 @@ from tidemark.functions.scalars import (
     valid_email,
     valid_phone,
 )
-from tidemark.operators.skew import DEFAULT_POLICY, SkewPolicy, skewed_lookup
+from tidemark.operators.skew import DEFAULT_POLICY, SkewPolicy, hot_keys, skewed_lookup
 from tidemark.spec import PROTECTING_STATUSES
 
 # Rule labels and messages of the resolution.
@@ -102,16 +102,21 @@ def survivors(people: DataFrame) -> DataFrame:
 
 
 def resolve(customers: DataFrame, advances: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    """Every non-test customer with its master and the rule that chose it.
+    """Every non-test customer with its master and the rule that chose it."""
+    hot = hot_keys(proof_keys(policy.take(customers)), ["proof_key"], policy)
+    return resolve_members(members(customers, advances), policy, hot)
 
-    The columns of :func:`members` come along, so that everything derived later
-    reads this one result.
+
+def resolve_members(
+    people: DataFrame, policy: SkewPolicy = DEFAULT_POLICY, hot: DataFrame | None = None
+) -> DataFrame:
+    """:func:`resolve` from prepared members, whose columns come along.
+
+    ``people`` is read for the decisions and again for the rows; pass a stored
+    result when its joins are expensive.
     """
-    people = members(customers, advances)
     decisions = group_decisions(people).drop("n_members")
-    joined = skewed_lookup(
-        people, decisions, ["proof_key"], ["customer_id"], how="left", policy=policy, probe=proof_keys(customers)
-    )
+    joined = skewed_lookup(people, decisions, ["proof_key"], ["customer_id"], how="left", policy=policy, hot=hot)
     merges = F.col("n_protected") <= 1
     rule = (
         F.when(F.col("proof_key").isNull(), F.lit(RULE_UNPROVEN))

@@ -27,18 +27,21 @@ class SkewPolicy:
     max_salts: int = 20_000
     seed: int = 17
 
+    def take(self, rows: DataFrame) -> DataFrame:
+        """The sample hot keys are looked for in. Take it from a scan, before anything is computed."""
+        return rows if self.sample >= 1.0 else rows.sample(False, self.sample, self.seed)
+
 
 DEFAULT_POLICY = SkewPolicy()
 
 
-def hot_keys(rows: DataFrame, keys: list[str], policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    """At most ``max_hot`` keys that need more than one task, with their number of salts."""
-    sampled = rows.select(*keys).dropna(how="any")
-    if policy.sample < 1.0:
-        sampled = sampled.sample(withReplacement=False, fraction=policy.sample, seed=policy.seed)
+def hot_keys(sampled: DataFrame, keys: list[str], policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+    """From a sample of rows: at most ``max_hot`` keys that need more than one task, with their number of salts."""
     salts = F.ceil(F.col("_n") / F.lit(policy.sample * policy.rows_per_task))
     return (
-        sampled.groupBy(*keys)
+        sampled.select(*keys)
+        .dropna(how="any")
+        .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
         .select(*keys, F.least(salts, F.lit(policy.max_salts)).cast("int").alias(_SALTS))
         .where(F.col(_SALTS) > 1)
@@ -54,20 +57,19 @@ def skewed_lookup(
     spread: list[str],
     how: str = "inner",
     policy: SkewPolicy = DEFAULT_POLICY,
-    probe: DataFrame | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join ``rows`` to ``lookup``, which holds one row per key.
 
     Rows of a hot key are dealt over several tasks by a hash of ``spread``
     (a deterministic salt, so a retried task deals them the same way) and only
     the hot lookup rows are repeated, once per salt. Rows with a NULL key never
-    match; under ``how="left"`` they are dealt out too. ``probe`` is a cheaper
-    frame with the same key columns to sample from, when ``rows`` is the result
-    of joins.
+    match; under ``how="left"`` they are dealt out too. ``hot`` may
+    name the :func:`hot_keys` found in a cheaper sample than one of ``rows``.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how!r}")
-    hot = F.broadcast(hot_keys(rows if probe is None else probe, keys, policy))  # at most max_hot rows
+    hot = F.broadcast(hot_keys(policy.take(rows), keys, policy) if hot is None else hot)  # at most max_hot rows
     dealt: Column = F.xxhash64(*spread)
     any_null = F.lit(False)
     for k in keys:
