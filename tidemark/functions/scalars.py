@@ -47,8 +47,8 @@ def normalize_email(c: Column | str) -> Column:
 def valid_email(c: Column | str) -> Column:
     """True when the normalized value is one whole address; NULL is not valid."""
     value = normalize_email(c)
-    shaped = F.when(_is_ascii(value), value.rlike(_EMAIL_SHAPE)).otherwise(value.rlike(_EMAIL_SHAPE_FOLDED))
-    return F.coalesce(shaped, F.lit(False))
+    folded = ~_is_ascii(_col(c)) & value.rlike(_EMAIL_SHAPE_FOLDED)
+    return F.coalesce(value.rlike(_EMAIL_SHAPE) | folded, F.lit(False))
 
 
 def evidence_email(c: Column | str) -> Column:

@@ -6,6 +6,9 @@ contact data suggests it, and goes to human review instead.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -115,7 +118,7 @@ def resolve_members(
     ``people`` is read for the decisions and again for the rows; pass a stored
     result when its joins are expensive.
     """
-    decisions = group_decisions(people).drop("n_members")
+    decisions = group_decisions(people)
     joined = skewed_lookup(people, decisions, ["proof_key"], ["customer_id"], how="left", policy=policy, hot=hot)
     merges = F.col("n_protected") <= 1
     rule = (
@@ -125,7 +128,10 @@ def resolve_members(
         .otherwise(F.lit(RULE_CONFLICT))
     )
     master = F.when(F.col("proof_key").isNotNull() & merges, F.col("survivor_id")).otherwise(F.col("customer_id"))
-    return joined.select(*people.columns, master.alias("master_customer_id"), rule.alias("resolution_rule"))
+    size = F.when(F.col("proof_key").isNotNull() & merges, F.col("n_members")).otherwise(F.lit(1).cast("bigint"))
+    return joined.select(
+        *people.columns, master.alias("master_customer_id"), rule.alias("resolution_rule"), size.alias("merged_members")
+    )
 
 
 def aliases(resolved: DataFrame) -> DataFrame:
@@ -137,33 +143,49 @@ def golden_records(resolved: DataFrame) -> DataFrame:
     """One row per master: the survivor's values, absent contact fields filled from its group.
 
     Fills come from the member with the smallest ``(updated_at, customer_id)``
-    that has the field. Names are never filled. All of it is one grouped pass.
+    that has the field; names are never filled. Only survivors of a merge that
+    lack something look for donors. All others, nearly all, are their own
+    record as they stand and are neither grouped nor shuffled. ``resolved`` is
+    read several times: pass a stored result.
     """
+    has = {f: present(f, text) for f, text in FILLED.items()}
+    lacks = (F.col("merged_members") > 1) & ~reduce(and_, has.values())
     is_master = F.col("customer_id") == F.col("master_customer_id")
-    own = ["first_name", "last_name", "is_protected", *FILLED]
-    fills = [
-        F.min(F.when(present(f, text), F.struct("updated_at", "customer_id", F.col(f).alias("value")))).alias(f"_fill_{f}")
-        for f, text in FILLED.items()
-    ]
-    grouped = resolved.groupBy("master_customer_id").agg(
-        F.min(F.when(is_master, F.struct(*own))).alias("_own"), F.count(F.lit(1)).alias("_n"), *fills
+    own = ["master_customer_id", "first_name", "last_name", "is_protected", "merged_members"]
+    masters = resolved.where(is_master)
+    cleaned = [F.when(ok, F.col(f)).alias(f) for f, ok in has.items()]
+
+    donors = (
+        resolved.where(~is_master)
+        .groupBy("master_customer_id")
+        .agg(
+            *[
+                F.min(F.when(ok, F.struct("updated_at", "customer_id", F.col(f).alias("value"))))["value"].alias(f"_{f}")
+                for f, ok in has.items()
+            ]
+        )
     )
-    filled = {
-        f: F.when(present(F.col("_own")[f], text), F.col("_own")[f]).otherwise(F.col(f"_fill_{f}")["value"])
-        for f, text in FILLED.items()
-    }
-    return grouped.select(
-        "master_customer_id",
-        filled["government_id"].alias("government_id"),
-        F.col("_own.first_name").alias("first_name"),
-        F.col("_own.last_name").alias("last_name"),
-        filled["birth_date"].alias("birth_date"),
-        filled["email"].alias("email"),
-        filled["phone"].alias("phone"),
-        valid_email(filled["email"]).alias("email_valid"),
-        valid_phone(filled["phone"]).alias("phone_valid"),
-        F.col("_own.is_protected").alias("protected_by_advance"),
-        F.col("_n").cast("int").alias("source_record_count"),
+    needy = masters.where(lacks).select(*own, *cleaned)
+    filled = needy.join(donors, "master_customer_id", "left").select(
+        *own, *[F.coalesce(F.col(f), F.col(f"_{f}")).alias(f) for f in FILLED]
+    )
+    return (
+        masters.where(~lacks)
+        .select(*own, *cleaned)
+        .unionByName(filled)
+        .select(
+            "master_customer_id",
+            "government_id",
+            "first_name",
+            "last_name",
+            "birth_date",
+            "email",
+            "phone",
+            valid_email("email").alias("email_valid"),
+            valid_phone("phone").alias("phone_valid"),
+            F.col("is_protected").alias("protected_by_advance"),
+            F.col("merged_members").cast("int").alias("source_record_count"),
+        )
     )
 
 

@@ -236,7 +236,7 @@ def customer_alias(spark, d):
 
 @query
 def customer_master(spark, d):
-    return identity.golden_records(_resolved(spark, d))
+    return identity.golden_records(_stored_resolution(spark, d))
 
 
 @query
