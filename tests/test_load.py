@@ -8,21 +8,26 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests import seed
+from tidemark.operators import quality
+from tidemark.operators.ledger import declared_metadata
 from tidemark.operators.quality import QualityGateError
 from tidemark.plans.load import Load
 from tidemark.sources.warehouse import Warehouse
-from tidemark.spec import TABLES
+from tidemark.spec import HISTORY, TABLES, TRANSACTIONS
 
 SPECS = tuple(dataclasses.replace(s, buckets=4) for s in TABLES)
-METADATA = [
+METADATA = declared_metadata(
+    1,
     {
-        "dataset": spec.target, "owner": "data", "source_system": f"db.{spec.source}", "classification": "internal",
-        "contains_pii": False, "masking_required": False, "criticality": "high", "refresh": "on-demand",
-        "retention_days": 2555, "load_strategy": spec.strategy, "primary_key": spec.key[0],
-        "dq_checks": ["source_key_parity", "null_key"], "metadata_version": 1,
-    }
-    for spec in SPECS
-]
+        spec.target: {
+            "owner": "data", "source": f"db.{spec.source}", "classification": "internal",
+            "contains_pii": False, "masking_required": False, "criticality": "high", "refresh": "on-demand",
+            "retention_days": 2555, "strategy": spec.strategy, "primary_key": spec.key[0],
+            "dq_checks": ["source_key_parity", "null_key"],
+        }
+        for spec in SPECS
+    },
+)
 
 
 class Stop(RuntimeError):
@@ -213,3 +218,32 @@ def test_standalone_quality_detects_a_lost_row(spark, tables, story):
     rows = load.check(extra, run_id="quality-x", persist=False)
     assert [(r.dataset, r.check_name) for r in rows if r.status == "FAIL"] == [("cards_raw", "source_key_parity")]
     assert load.table("dq_results").where("run_id = 'quality-x'").count() == 0
+
+
+def test_unchanged_inputs_may_keep_the_derived_tables(tables, story):
+    load = story["load"]
+    before = load.wh.state()
+    thrifty = Load(load.wh, SPECS, reuse_unchanged=True)
+    summary = thrifty.run(tables["after"], run_id="r6", run_at="2025-04-06T00:00:00+00:00")
+    after = load.wh.state()
+    assert summary.identity == story["recovered"]["summary"].identity
+    for table in ("customer_master", "customer_alias", "cards_master", "identity_conflicts"):
+        assert after.folders(table) == before.folders(table)
+
+
+def test_corruption_of_the_copy_is_detected(spark, tables, story):
+    """The smallest transaction is missing from the copy: parity fails and names it."""
+    copy = story["load"].table("transactions_raw")
+    victim = copy.agg(F.min("transaction_id")).first()[0]
+    rows = quality.key_checks(TRANSACTIONS, tables["after"]["transactions"], copy.where(F.col("transaction_id") != victim))
+    parity, unique = sorted(rows.collect(), key=lambda r: r.check_name)
+    assert (parity.status, unique.status) == ("FAIL", "PASS")
+    assert parity.actual == "999 warehouse keys; 1 missing; 0 stale"
+    assert parity.details == f"missing_sample=['{victim}']; stale_sample=[]"
+
+
+def test_a_delete_in_an_append_only_source_stays_a_failure(spark, tables, story):
+    copy = story["load"].table("advance_status_history_raw")
+    shrunk = tables["after"]["advance_status_history"].where("history_id <> 2")
+    parity = quality.key_checks(HISTORY, shrunk, copy).where("check_name = 'source_key_parity'").first()
+    assert (parity.status, parity.details) == ("FAIL", "missing_sample=[]; stale_sample=['2']")

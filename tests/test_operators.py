@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tests.seed import typed
 from tidemark.operators import digest, extract, ledger, merge, parity, quality
-from tidemark.spec import ADVANCES, CUSTOMERS, SchemaDrift
+from tidemark.session import local_rows, settle, shared_folder
+from tidemark.spec import ADVANCES, CONTROL, CUSTOMERS, SchemaDrift
 
 ROW = "k int, part string, v int, at timestamp"
 
@@ -144,7 +145,7 @@ def test_payload_counts_written_characters(spark):
     assert df.select(digest.payload_bytes(df.schema)).first()[0] == 2 + 3 + 4 + 4 + 25
 
 
-@pytest.mark.parametrize("chunk", [1, 7, 1000])
+@pytest.mark.parametrize("chunk", [1, 7, 1000, None])
 def test_order_breaks_equal_a_plain_scan(spark, chunk):
     rnd = random.Random(3)
     rows = [(i * 3, 1 if i % 3 == 0 else i % 5, rnd.randrange(20) if rnd.random() < 0.9 else None) for i in range(-50, 150)]
@@ -207,3 +208,16 @@ def test_append_only_metrics_report_no_scan(spark):
     assert got == {
         "rows_extracted": 1, "rows_upserted": 1, "rows_deleted": 0, "payload_bytes_estimated": 2, "source_keys_scanned": 0,
     }
+
+
+def test_shared_folder_is_the_configured_one(spark):
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    df = settle(spark.range(5), "probe")
+    assert df.count() == 5 and all(f.startswith(f"file:{shared_folder(spark)}/") or shared_folder(spark) in f for f in df.inputFiles())
+
+
+def test_local_rows_take_text_for_instants(spark):
+    row = local_rows(spark, [("s", "c", "1", "2025-01-01T00:00:00+00:00", "r")], CONTROL["watermarks"])
+    assert row.schema.fieldNames() == CONTROL["watermarks"].fieldNames()
+    assert row.select(F.unix_timestamp("updated_at")).first()[0] == 1735689600
+    assert local_rows(spark, [], CONTROL["watermarks"]).count() == 0

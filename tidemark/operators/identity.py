@@ -20,6 +20,7 @@ from tidemark.functions.scalars import (
     valid_email,
     valid_phone,
 )
+from tidemark.operators.parity import side_by_side
 from tidemark.operators.skew import DEFAULT_POLICY, SkewPolicy, hot_keys, skewed_lookup
 from tidemark.spec import PROTECTING_STATUSES
 
@@ -303,15 +304,16 @@ def review_partners(resolved: DataFrame, customer_ids: list[int]) -> DataFrame:
     ).distinct()
 
 
-def identity_metrics(resolved: DataFrame) -> DataFrame:
+def identity_metrics(alias: DataFrame, conflicting: DataFrame) -> DataFrame:
     """One row: masters, aliases, proven merges and quarantined members.
 
-    Every master resolves to itself, so masters are counted without a distinct.
+    Every master is its own alias, so masters are counted without a distinct.
     """
-    self_mapped = F.col("customer_id") == F.col("master_customer_id")
-    return resolved.agg(
-        F.count_if(self_mapped).alias("master_customers"),
+    itself = F.col("source_customer_id") == F.col("master_customer_id")
+    counted = alias.agg(
+        F.count_if(itself).alias("master_customers"),
         F.count(F.lit(1)).alias("aliases"),
-        F.count_if(~self_mapped).alias("proven_merges"),
-        F.count_if((F.col("resolution_rule") == RULE_CONFLICT) & F.col("is_protected")).alias("identity_conflicts"),
+        F.count_if(~itself).alias("proven_merges"),
     )
+    quarantined = conflicting.agg(F.count(F.lit(1)).alias("identity_conflicts"))
+    return side_by_side(counted, quarantined)

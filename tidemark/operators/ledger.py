@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from pyspark.sql import types as T
 from tidemark.operators.digest import payload_bytes
 from tidemark.operators.extract import cursor_text, latest_per_key, upper_bound
 from tidemark.operators.merge import upsert
+from tidemark.operators.parity import side_by_side
 
 # Metric names and units of one table's sync.
 SYNC_METRICS = {
@@ -43,11 +46,10 @@ def sync_metrics(
         one(stale, rows_deleted=rows),
         one(source, source_keys_scanned=rows),
     ]
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [p for p in parts if p is not None])
+    totals = side_by_side(*[p for p in parts if p is not None])
     for name in SYNC_METRICS:
-        if name not in stacked.columns:
-            stacked = stacked.withColumn(name, F.lit(0).cast("bigint"))
-    totals = stacked.agg(*[F.max(n).alias(n) for n in SYNC_METRICS])
+        if name not in totals.columns:
+            totals = totals.withColumn(name, F.lit(0).cast("bigint"))
     return metric_rows(totals, table, SYNC_METRICS)
 
 
@@ -107,6 +109,15 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def declared_metadata(version: int, datasets: Mapping[str, Mapping[str, Any]]) -> list[dict[str, Any]]:
+    """Governance rows from a declaration document: one entry per dataset, under its short field names."""
+    renamed = {"source": "source_system", "strategy": "load_strategy"}
+    return [
+        {"dataset": name, "metadata_version": version, **{renamed.get(k, k): v for k, v in declared.items()}}
+        for name, declared in datasets.items()
+    ]
+
+
 def upsert_metadata(stored: DataFrame, declared: DataFrame) -> DataFrame:
     """Governance rows after loading the declared version; datasets no longer declared are kept."""
     return upsert(stored, declared, ["dataset"])

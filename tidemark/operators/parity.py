@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 SAMPLE_SIZE = 5
 
 
+def side_by_side(*one_row: DataFrame) -> DataFrame:
+    """One-row frames next to each other as one row, without a join."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), one_row)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
 def key_difference(source: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
     """One row per distinct key of either side: ``in_source``, ``target_rows`` (0 when missing).
 

@@ -10,7 +10,14 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import valid_email, valid_phone
 from tidemark.operators.identity import protected_customers
-from tidemark.operators.parity import difference_sample, key_audit, key_difference, orphan_count, sample_text
+from tidemark.operators.parity import (
+    difference_sample,
+    key_audit,
+    key_difference,
+    orphan_count,
+    sample_text,
+    side_by_side,
+)
 from tidemark.spec import ADVANCE_STATUSES, TABLES, TableSpec
 
 PASS, WARN, FAIL = "PASS", "WARN", "FAIL"
@@ -22,6 +29,11 @@ CANDIDATE_NOTE = "suggestive evidence is deliberately not auto-merged"
 CONTACT_NOTE = "raw value preserved; validity flag is exposed in master"
 
 
+# Sequence numbers per range of an order check: never fewer than MIN_CHUNK, nor more than MAX_RANGES ranges.
+MIN_CHUNK = 1_000_000
+MAX_RANGES = 100_000
+
+
 class QualityGateError(RuntimeError):
     """At least one blocking check failed; ``results`` holds every verdict."""
 
@@ -51,12 +63,6 @@ def _verdicts(one_row: DataFrame, *checks: Column) -> DataFrame:
     return one_row.select(F.inline(F.array(*checks)))
 
 
-def _side_by_side(*one_row: DataFrame) -> DataFrame:
-    """One-row frames next to each other, without a join."""
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), one_row)
-    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
-
-
 def _count(df: DataFrame, name: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
@@ -68,7 +74,7 @@ def key_checks(spec: TableSpec, source: DataFrame, target: DataFrame) -> DataFra
     """Key parity against the source and primary-key uniqueness, from one key comparison."""
     key = list(spec.key)
     difference = key_difference(source.select(*key), target.select(*key), key)
-    audit = _side_by_side(key_audit(difference, key), sample_text(difference_sample(difference, key)))
+    audit = side_by_side(key_audit(difference, key), sample_text(difference_sample(difference, key)))
     differs = (F.col("missing") > 0) | (F.col("stale") > 0)
     return _verdicts(
         audit,
@@ -121,7 +127,7 @@ def relationship_checks(wh: Mapping[str, DataFrame]) -> DataFrame:
 
 def coverage(customers: DataFrame, alias: DataFrame) -> DataFrame:
     """One row ``customers, aliases``: non-test customers and rows of the alias map."""
-    return _side_by_side(_count(customers.where(~F.col("is_test")), "customers"), _count(alias, "aliases"))
+    return side_by_side(_count(customers.where(~F.col("is_test")), "customers"), _count(alias, "aliases"))
 
 
 def leaked_test_customers(customers: DataFrame, alias: DataFrame) -> DataFrame:
@@ -245,16 +251,19 @@ def status_summary(results: DataFrame) -> DataFrame:
 # --- source contract ------------------------------------------------------------------------
 
 
-def order_breaks(rows: DataFrame, parent: str, sequence: str, value: str, chunk: int = 1_000_000) -> DataFrame:
+def order_breaks(rows: DataFrame, parent: str, sequence: str, value: str, chunk: int | None = None) -> DataFrame:
     """One row ``decreases``: rows whose value is below that of the row before them in the same parent.
 
     A parent is worked through in ranges of ``chunk`` sequence numbers, each a
-    separate group, and the ranges are stitched by their first and last value:
-    no task ever sorts more than ``chunk`` rows of one parent.
+    separate group, and the ranges are stitched by their first and last value.
+    No task ever sorts a whole parent: the default chunk gives at most
+    ``MAX_RANGES`` ranges, whatever the spread of the numbers.
     """
-    ranged = rows.select(
-        parent, sequence, value, (F.col(sequence) - F.pmod(F.col(sequence), F.lit(chunk).cast("bigint"))).alias("_range")
-    )
+    if chunk is None:
+        low, high = rows.agg(F.min(sequence), F.max(sequence)).first()
+        chunk = MIN_CHUNK if low is None else max(MIN_CHUNK, (high - low) // MAX_RANGES + 1)
+    start = F.col(sequence) - F.pmod(F.col(sequence), F.lit(chunk).cast("bigint"))
+    ranged = rows.select(parent, sequence, value, start.alias("_range"))
     inside = Window.partitionBy(parent, "_range").orderBy(sequence)
     edges = (
         ranged.withColumn("_before", F.lag(value).over(inside))
@@ -274,7 +283,7 @@ def order_breaks(rows: DataFrame, parent: str, sequence: str, value: str, chunk:
 def monotonic_sequence(incoming: DataFrame, lower: int, parent: str, sequence: str, value: str) -> DataFrame:
     """One row ``replayed, decreases``: ids not above the stored watermark, and times running backwards."""
     replayed = incoming.agg(F.count_if(F.col(sequence) <= F.lit(lower)).alias("replayed"))
-    return _side_by_side(replayed, order_breaks(incoming, parent, sequence, value))
+    return side_by_side(replayed, order_breaks(incoming, parent, sequence, value))
 
 
 

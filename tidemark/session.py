@@ -45,7 +45,7 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session that names none falls back to a fresh local folder.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

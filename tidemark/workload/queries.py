@@ -269,7 +269,8 @@ def cards_master(spark, d):
 
 @query
 def identity_metrics(spark, d):
-    return identity.identity_metrics(_resolved(spark, d))
+    resolved = _stored_resolution(spark, d)
+    return identity.identity_metrics(identity.aliases(resolved), identity.conflicts(resolved))
 
 
 # --- keys and relationships -----------------------------------------------------------------
@@ -477,12 +478,11 @@ def replay_is_noop(spark, d):
     extracted = extract.extract(source, source.columns, CURSOR, upper, upper)
     stale = parity.stale_keys(first, source, KEY)
     both = digest.table_digest(first).unionByName(digest.table_digest(second))
-    stacked = (
-        extracted.agg(F.count(F.lit(1)).alias("extracted"))
-        .unionByName(stale.agg(F.count(F.lit(1)).alias("stale")), allowMissingColumns=True)
-        .unionByName(both.agg((F.count_distinct("checksum") == 1).alias("same_state")), allowMissingColumns=True)
+    return parity.side_by_side(
+        extracted.agg(F.count(F.lit(1)).alias("extracted")),
+        stale.agg(F.count(F.lit(1)).alias("stale")),
+        both.agg((F.count_distinct("checksum") == 1).alias("same_state")),
     )
-    return stacked.agg(F.max("extracted").alias("extracted"), F.max("stale").alias("stale"), F.max("same_state").alias("same_state"))
 
 
 @query
