@@ -66,34 +66,32 @@ def source(spark: SparkSession) -> dict[str, DataFrame]:
     }
 
 
-def changed(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The source after one update, one delete and three inserts."""
+_OPS = {
+    "customers": [
+        ("U", *_PEOPLE[2][:6], "+541155509999", False, _PEOPLE[2][8], "2025-03-01 00:00:00"),
+        ("I", 9, "AR-400", "Sia", "Vik", "1995-05-05", "sia@example.com", "+541155501009", False,
+         "2025-03-01 00:02:00", "2025-03-01 00:02:00"),
+    ],
+    "cards": [("I", "card-5", 9, "tok_005", "5555", "active", "2025-03-01 00:03:00", "2025-03-01 00:03:00")],
+    "transactions": [
+        ("D", 100001, None, None, None, None, None),
+        ("I", 200001, 103, "repayment", 2500, "2025-03-01 00:01:00", "2025-03-01 00:01:00"),
+    ],
+}
 
-    def feed(spec: TableSpec, ops: list[tuple]) -> DataFrame:
-        rows = typed(spark, spec, [r[1:] for r in ops])
-        op = spark.createDataFrame([(r[0], r[1]) for r in ops], f"op string, k {spec.schema[spec.key[0]].dataType.simpleString()}")
-        return rows.join(op, rows[spec.key[0]] == op["k"]).drop("k")
 
-    def apply(spec: TableSpec, ops: list[tuple]) -> DataFrame:
-        return apply_change_set(tables[spec.source], feed(spec, ops), list(spec.key))
+def feeds(spark: SparkSession) -> dict[str, DataFrame]:
+    """One update, one delete and three inserts as change feeds."""
+    out = {}
+    for spec in (CUSTOMERS, CARDS, TRANSACTIONS):
+        ops, key = _OPS[spec.source], spec.key[0]
+        named = spark.createDataFrame([(o[0], o[1]) for o in ops], f"op string, {key} {spec.schema[key].dataType.simpleString()}")
+        out[spec.source] = typed(spark, spec, [o[1:] for o in ops]).join(named, key)
+    return out
 
-    p = _PEOPLE[2]
-    return {
-        **tables,
-        "customers": apply(
-            CUSTOMERS,
-            [
-                ("U", *p[:6], "+541155509999", False, p[8], "2025-03-01 00:00:00"),
-                ("I", 9, "AR-400", "Sia", "Vik", "1995-05-05", "sia@example.com", "+541155501009", False,
-                 "2025-03-01 00:02:00", "2025-03-01 00:02:00"),
-            ],
-        ),
-        "cards": apply(CARDS, [("I", "card-5", 9, "tok_005", "5555", "active", "2025-03-01 00:03:00", "2025-03-01 00:03:00")]),
-        "transactions": apply(
-            TRANSACTIONS,
-            [
-                ("D", 100001, None, None, None, None, None),
-                ("I", 200001, 103, "repayment", 2500, "2025-03-01 00:01:00", "2025-03-01 00:01:00"),
-            ],
-        ),
-    }
+
+def changed(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The source after the change feeds."""
+    specs = {s.source: s for s in (CUSTOMERS, CARDS, TRANSACTIONS)}
+    after = {n: apply_change_set(tables[n], feed, list(specs[n].key)) for n, feed in feeds(spark).items()}
+    return {**tables, **after}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -47,22 +48,47 @@ def stored_watermarks(wh: Warehouse, state: State) -> dict[str, str]:
     return {r.source_table: r.cursor_value for r in rows}
 
 
-def _write_delta(wh: Warehouse, spec: TableSpec, source: DataFrame, lower, upper: str, stamp: Stamp) -> str:
-    extracted = extract(source, spec.columns, spec.cursor, lower, upper).withColumn(_BYTES, payload_bytes(spec.schema))
+@dataclass(frozen=True)
+class _Delta:
+    """New row versions of a table, written once and split by bucket."""
+
+    folder: str
+    rows: DataFrame
+    buckets: frozenset[int]
+    versions: int
+    size: int
+
+
+def _write_delta(wh: Warehouse, spec: TableSpec, rows: DataFrame, order: list[str], stamp: Stamp) -> _Delta:
+    """Reduce ``rows`` to the last version per key, stamp and store them.
+
+    ``versions`` and ``size`` count all rows given, superseded versions included.
+    """
     totals = {_VERSIONS: F.count(F.lit(1)), "_total": F.sum(_BYTES)}
     delta = (
-        latest_per_key(extracted, list(spec.key), [spec.cursor], **totals)
+        latest_per_key(rows.withColumn(_BYTES, payload_bytes(spec.schema)), list(spec.key), order, **totals)
         .drop(_BYTES)
         .withColumnRenamed("_total", _BYTES)
         .withColumn(LOADED_AT, stamp.time())
         .withColumn(RUN_ID, F.lit(stamp.run_id))
         .withColumn(BUCKET, bucket_of(spec))
     )
-    return wh.write_buckets(spec.target, delta, stamp.run_id)
+    folder = wh.write_buckets(spec.target, delta, stamp.run_id)
+    extra = [T.StructField(_VERSIONS, T.LongType()), T.StructField(_BYTES, T.LongType())]
+    stored = wh.open(folder, T.StructType([*spec.target_schema.fields, *extra, T.StructField(BUCKET, T.IntegerType())]))
+    # One row per bucket at most.
+    gained = stored.groupBy(BUCKET).agg(F.sum(_VERSIONS).alias("n"), F.sum(_BYTES).alias("b")).collect()
+    return _Delta(
+        folder,
+        stored.select(*spec.target_schema.fieldNames(), BUCKET),
+        frozenset(r[BUCKET] for r in gained),
+        sum(r["n"] for r in gained),
+        sum(r["b"] for r in gained),
+    )
 
 
 def _removed_keys(
-    wh: Warehouse, state: State, spec: TableSpec, source: DataFrame, delta: DataFrame | None, lower, upper: str
+    wh: Warehouse, state: State, spec: TableSpec, source: DataFrame, delta: _Delta | None, lower, upper: str
 ) -> DataFrame:
     """Stored keys that must leave their bucket: deleted at the source, or replaced by the delta.
 
@@ -74,7 +100,7 @@ def _removed_keys(
     if not spec.reconcile:
         if spec.cursor_is_key:
             stored = stored.where(F.col(spec.cursor) > F.lit(lower).cast(spec.cursor_type))
-        removed = stored.join(delta.select(*key), key, "left_semi").withColumn(_STALE, F.lit(False))
+        removed = stored.join(delta.rows.select(*key), key, "left_semi").withColumn(_STALE, F.lit(False))
     else:
         window = F.coalesce(in_window(spec.cursor, lower, upper, spec.cursor_type), F.lit(False))
         current = source.groupBy(*key).agg(F.bool_or(window).alias("_changed"))
@@ -87,47 +113,25 @@ def _removed_keys(
     return removed.withColumn(BUCKET, bucket_of(spec))
 
 
-def sync_table(
-    wh: Warehouse, state: State, spec: TableSpec, source: DataFrame, stamp: Stamp, lower: str | None = None
-) -> tuple[State, TableMetrics]:
-    """Extract, upsert and reconcile one table; returns the draft that names the new folders.
+def _merge(
+    wh: Warehouse, state: State, spec: TableSpec, delta: _Delta | None, leaving: DataFrame | None, stamp: Stamp
+) -> tuple[State, int]:
+    """Put a delta into a draft; returns it with the number of stale keys among those leaving.
 
-    ``lower`` is the stored watermark, None for a first load. The delta is
-    written once, split by key bucket. A bucket that only gains rows keeps its
-    folders and takes the delta's as a further segment; only buckets holding a
-    replaced or deleted key (or too many segments) are written anew. An
-    unchanged table writes nothing.
+    A bucket that only gains rows keeps its folders and takes the delta's as a
+    further segment. Buckets holding a leaving key, or too many segments, are
+    written anew without those keys.
     """
     key = list(spec.key)
-    source = spec.check(source)
-    floor = spec.floor if lower is None else lower
-    seen = source.agg(F.max(spec.cursor).alias("_max"), F.count(F.lit(1)).alias("n")).select(
-        cursor_text(F.coalesce("_max", bound_literal(spec.floor, spec.cursor_type)), spec.cursor_type).alias("upper"), "n"
-    )
-    upper, rows = seen.first()
+    gained = delta.buckets if delta else frozenset()
     segments = state.segments(spec.target)
-
-    delta, delta_folder, gained = None, "", []
-    if upper != lower:
-        delta_folder = _write_delta(wh, spec, source, floor, upper, stamp)
-        extra = [T.StructField(n, T.LongType()) for n in (_VERSIONS, _BYTES)]
-        extra.append(T.StructField(BUCKET, T.IntegerType()))
-        delta = wh.open(delta_folder, T.StructType(spec.target_schema.fields + extra))
-        # One row per bucket at most.
-        gained = delta.groupBy(BUCKET).agg(F.sum(_VERSIONS).alias("n"), F.sum(_BYTES).alias("b")).collect()
-    delta_buckets = {r[BUCKET] for r in gained}
-    extracted = sum(r["n"] for r in gained)
-
-    stale = 0
-    rewritten: set[int] = set()
-    removed = None
-    if segments and (spec.reconcile or gained):
-        found = _removed_keys(wh, state, spec, source, delta, floor, upper)
-        removed = wh.open(wh.write(f"_stage_{spec.target}", found, stamp.run_id), found.schema)
+    rewritten = {b for b in gained if segments.get(b, 0) >= MAX_SEGMENTS}
+    stale, removed = 0, None
+    if leaving is not None:
+        removed = wh.open(wh.write(f"_stage_{spec.target}", leaving, stamp.run_id), leaving.schema)
         lost = removed.groupBy(BUCKET).agg(F.count_if(_STALE).alias("stale")).collect()  # one row per bucket
-        rewritten = {r[BUCKET] for r in lost}
+        rewritten |= {r[BUCKET] for r in lost}
         stale = sum(r["stale"] for r in lost)
-    rewritten |= {b for b in delta_buckets if segments.get(b, 0) >= MAX_SEGMENTS}
 
     draft = state
     if rewritten:
@@ -135,13 +139,79 @@ def sync_table(
         if removed is not None:
             merged = merged.join(removed.select(*key), key, "left_anti")
         if gained:
-            written = delta.where(F.col(BUCKET).isin(*rewritten)).select(*spec.target_schema.fieldNames())
+            written = delta.rows.where(F.col(BUCKET).isin(*rewritten)).drop(BUCKET)
             merged = merged.unionByName(written)
         folder = wh.write_buckets(spec.target, merged.withColumn(BUCKET, bucket_of(spec)), stamp.run_id)
         draft = draft.with_folders(
             spec.target, wh.bucket_folders(folder, wh.filled_buckets(folder)), replaced=rewritten
         )
-    draft = draft.with_folders(spec.target, wh.bucket_folders(delta_folder, delta_buckets - rewritten))
+    if gained:
+        draft = draft.with_folders(spec.target, wh.bucket_folders(delta.folder, gained - rewritten))
+    return draft, stale
 
-    size = sum(r["b"] for r in gained)
-    return draft, TableMetrics(extracted, extracted, stale, size, rows if spec.reconcile else 0, upper)
+
+def sync_table(
+    wh: Warehouse, state: State, spec: TableSpec, source: DataFrame, stamp: Stamp, lower: str | None = None
+) -> tuple[State, TableMetrics]:
+    """Extract, upsert and reconcile one table; returns the draft that names the new folders.
+
+    ``lower`` is the stored watermark, None for a first load. An unchanged
+    table writes nothing and keeps its folders.
+    """
+    source = spec.check(source)
+    floor = spec.floor if lower is None else lower
+    seen = source.agg(F.max(spec.cursor).alias("_max"), F.count(F.lit(1)).alias("n")).select(
+        cursor_text(F.coalesce("_max", bound_literal(spec.floor, spec.cursor_type)), spec.cursor_type).alias("upper"), "n"
+    )
+    upper, rows = seen.first()
+
+    delta = None
+    if upper != lower:
+        extracted = extract(source, spec.columns, spec.cursor, floor, upper)
+        delta = _write_delta(wh, spec, extracted, [spec.cursor], stamp)
+    leaving = None
+    if state.segments(spec.target) and (spec.reconcile or (delta and delta.buckets)):
+        leaving = _removed_keys(wh, state, spec, source, delta, floor, upper)
+    draft, stale = _merge(wh, state, spec, delta, leaving, stamp)
+
+    versions, size = (delta.versions, delta.size) if delta else (0, 0)
+    return draft, TableMetrics(versions, versions, stale, size, rows if spec.reconcile else 0, upper)
+
+
+def apply_named_changes(
+    wh: Warehouse,
+    name: str,
+    feeds: Mapping[str, DataFrame],
+    specs: tuple[TableSpec, ...],
+    stamp: Stamp,
+    op: str = "op",
+    order: tuple[str, ...] = (),
+) -> bool:
+    """Apply change feeds to several stored tables together, once; False when ``name`` was applied before.
+
+    A feed holds the table's columns and ``op``: insert (I), update (U) or
+    delete (D). The last change of a key in ``order`` decides.
+    """
+    state = wh.state()
+    if not wh.read(state, "applied_change_sets").where(F.col("change_set") == name).isEmpty():
+        return False
+    draft = state
+    for spec in specs:
+        if spec.source not in feeds:
+            continue
+        key = list(spec.key)
+        changes = latest_per_key(feeds[spec.source], key, list(order)) if order else feeds[spec.source]
+        written = changes.where(F.col(op).isin("I", "U")).select(*spec.columns)
+        delta = _write_delta(wh, spec, written, [spec.cursor], stamp)
+        leaving = (
+            wh.read(draft, spec.target)
+            .select(*key)
+            .join(changes.select(*key, (F.col(op) == "D").alias(_STALE)), key)
+            .withColumn(BUCKET, bucket_of(spec))
+        )
+        draft, _ = _merge(wh, draft, spec, delta, leaving, stamp)
+    applied = wh.spark.range(1).select(
+        F.lit(name).alias("change_set"), stamp.time().alias("applied_at"), F.lit(stamp.run_id).alias("run_id")
+    )
+    wh.publish(wh.append(draft, "applied_change_sets", applied, stamp.run_id))
+    return True

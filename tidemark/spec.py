@@ -239,6 +239,9 @@ CONTROL = {
         "source_table string, cursor_column string, cursor_value string, updated_at timestamp, run_id string",
         "source_table cursor_column cursor_value updated_at run_id",
     ),
+    "applied_change_sets": _schema(
+        "change_set string, applied_at timestamp, run_id string", "change_set applied_at run_id"
+    ),
     "dataset_metadata": _schema(
         "dataset string, owner string, source_system string, classification string, contains_pii boolean,"
         " masking_required boolean, criticality string, refresh string, retention_days int, load_strategy string,"
