@@ -10,30 +10,37 @@ from tidemark.spec import ADVANCES, CARDS, CUSTOMERS, HISTORY, TRANSACTIONS, Tab
 
 # id, government id, first, last, birth date, email, phone, test?, created = updated
 _PEOPLE = [
-    (1, "AR-100", "Ada", "Ruiz", "1988-04-10", "ada@example.com", "+541155501001", False, "2025-01-01"),
-    (2, " ar 100 ", "Ada", "Ruiz", "1988-04-10", "ADA@example.com ", "11 5550 1001", False, "2025-01-03"),
-    (3, "AR-200", "Leo", "Testoni", "1979-06-01", "leo@corp.example", "+541155501003", False, "2025-01-01"),
-    (4, None, "Trial", "Login", None, "trial@corp.example", "000", True, "2025-01-01"),
-    (5, None, "Mia", "Lund", "1991-11-20", "joint@example.com", "+541155501005", False, "2025-01-02"),
-    (6, None, "Mina", "Lund", "1991-11-20", "joint@example.com", "+541155501006", False, "2025-01-02"),
-    (7, "AR-300", "Nils", "Dahl", "1985-09-09", "no-address", "123", False, "2025-01-04"),
-    (8, None, "Staff", "Real", "1990-02-02", "staff@corp.example", "+541155501008", False, "2025-01-05"),
+    # One id in two spellings, nobody protected: the fuller record survives although it is younger.
+    (11, "PT 55-01", "Ines", "Prado", "1990-03-02", "ines@mail.example", "+351 912 000 011", False, "2024-06-01"),
+    (12, "pt5501", "Ines", "Prado", None, "", "", False, "2024-05-20"),
+    # One id, two protected members: quarantined, the third member with them.
+    (13, "PT-77", "Rui", "Costa", "1982-12-12", "rui@mail.example", "+351 912 000 013", False, "2024-06-02"),
+    (14, "pt.77", "Rui", "Costa", "1982-12-12", "RUI@mail.example ", "+351 912 000 014", False, "2024-06-03"),
+    (15, "PT 77", "R.", "Costa", "1982-12-12", "costa@mail.example", "+351 912 000 015", False, "2024-06-03"),
+    (16, None, "Robot", "Contest", None, "bot@mail.example", "1", True, "2024-06-01"),
+    # Same home address and birth date, no proof.
+    (17, None, "Eva", "Lima", "1999-09-09", "home@mail.example", "+351 912 000 017", False, "2024-06-04"),
+    (18, "", "Ema", "Lima", "1999-09-09", " HOME@mail.example", "+351 912 000 018", False, "2024-06-04"),
+    # The protected member survives and takes over the address it lacks, malformed as it is.
+    (19, "PT 90", "Jo", "Silva", "1975-01-01", "jo(at)mail", "11111111", False, "2024-05-01"),
+    (20, "PT-90", "Jo", "Silva", "1975-01-01", None, "+351 912 000 020", False, "2024-06-05"),
 ]
 # id, customer, status, cents, created, updated
 _ADVANCES = [
-    (101, 1, "requested", 100000, "2025-01-05", "2025-01-05"),
-    (102, 2, "funded", 150000, "2025-01-06", "2025-01-06"),
-    (103, 3, "paid_off", 200000, "2025-01-05", "2025-02-01"),
-    (104, 5, "cancelled", 80000, "2025-01-07", "2025-01-07"),
-    (105, 6, "requested", 90000, "2025-01-08", "2025-01-08"),
-    (106, 8, "funded", 125000, "2025-01-09", "2025-01-09"),
+    (501, 11, "requested", 30000, "2024-06-10", "2024-06-10"),
+    (502, 13, "funded", 45000, "2024-06-11", "2024-06-12"),
+    (503, 14, "paid_off", 52000, "2024-06-11", "2024-09-01"),
+    (504, 20, "funded", 61000, "2024-06-13", "2024-06-14"),
+    (505, 17, "cancelled", 12000, "2024-06-15", "2024-06-15"),
 ]
 _CARDS = [
-    ("card-1", 1, "tok_001", "1111", "active", "2025-01-05"),
-    ("card-2", 2, "tok_002", "2222", "active", "2025-01-06"),
-    ("card-3", 3, "tok_003", "3333", "inactive", "2025-01-06"),
-    ("card-4", 5, "tok_004", "4444", "active", "2025-01-07"),
+    ("c-a", 12, "k-1", "0101", "active", "2024-06-20"),
+    ("c-b", 13, "k-2", "0202", "active", "2024-06-21"),
+    ("c-c", 16, "k-3", "0303", "active", "2024-06-22"),
+    ("c-d", 19, "k-4", "0404", "blocked", "2024-06-23"),
+    ("c-e", 18, "k-5", "0505", "active", "2024-06-24"),
 ]
+TRANSACTION_COUNT = 700
 
 
 def typed(spark: SparkSession, spec: TableSpec, rows: list[tuple]) -> DataFrame:
@@ -47,14 +54,14 @@ def typed(spark: SparkSession, spec: TableSpec, rows: list[tuple]) -> DataFrame:
 
 def source(spark: SparkSession) -> dict[str, DataFrame]:
     advances = typed(spark, ADVANCES, _ADVANCES)
-    minute = F.expr("timestamp '2025-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, n, 0)")
-    transactions = spark.range(1, 1001).withColumn("n", F.col("id").cast("int")).select(
-        (F.col("id") + 100000).alias("transaction_id"),
-        (F.col("id") % 6 + 101).alias("advance_id"),
-        F.when(F.col("id") % 3 == 0, F.lit("repayment")).otherwise(F.lit("disbursement")).alias("transaction_type"),
-        (F.col("id") % 10000 + 1000).alias("amount_cents"),
-        minute.alias("occurred_at"),
-        minute.alias("updated_at"),
+    at = F.timestamp_seconds(F.lit(1719792000) + F.col("id") * 120)  # every two minutes from 2024-07-01
+    transactions = spark.range(1, TRANSACTION_COUNT + 1).select(
+        (F.col("id") + 900000).alias("transaction_id"),
+        (F.col("id") % len(_ADVANCES) + 501).alias("advance_id"),
+        F.when(F.col("id") % 4 == 0, F.lit("repayment")).otherwise(F.lit("disbursement")).alias("transaction_type"),
+        (F.col("id") * 25).alias("amount_cents"),
+        at.alias("occurred_at"),
+        at.alias("updated_at"),
     )
     history = typed(spark, HISTORY, [(i + 1, a[0], a[2], a[5]) for i, a in enumerate(_ADVANCES)])
     return {
@@ -68,22 +75,26 @@ def source(spark: SparkSession) -> dict[str, DataFrame]:
 
 _OPS = {
     "customers": [
-        ("U", *_PEOPLE[2][:6], "+541155509999", False, _PEOPLE[2][8], "2025-03-01 00:00:00"),
-        ("I", 9, "AR-400", "Sia", "Vik", "1995-05-05", "sia@example.com", "+541155501009", False,
-         "2025-03-01 00:02:00", "2025-03-01 00:02:00"),
+        ("U", *_PEOPLE[6][:6], "+351 912 999 017", False, _PEOPLE[6][8], "2024-10-01 08:00:00"),
+        ("I", 21, "PT 91", "Ana", "Reis", "2001-02-03", "ana@mail.example", "+351 912 000 021", False,
+         "2024-10-01 08:30:00", "2024-10-01 08:30:00"),
+    ],
+    "advances": [("I", 506, 21, "requested", 9000, "2024-10-01 09:00:00", "2024-10-01 09:00:00")],
+    "cards": [
+        ("D", "c-e", None, None, None, None, None, None),
+        ("I", "c-f", 21, "k-6", "0606", "active", "2024-10-01 09:10:00", "2024-10-01 09:10:00"),
     ],
-    "cards": [("I", "card-5", 9, "tok_005", "5555", "active", "2025-03-01 00:03:00", "2025-03-01 00:03:00")],
     "transactions": [
-        ("D", 100001, None, None, None, None, None),
-        ("I", 200001, 103, "repayment", 2500, "2025-03-01 00:01:00", "2025-03-01 00:01:00"),
+        ("D", 900001, None, None, None, None, None),
+        ("I", 950001, 502, "repayment", 700, "2024-10-01 09:20:00", "2024-10-01 09:20:00"),
     ],
 }
 
 
 def feeds(spark: SparkSession) -> dict[str, DataFrame]:
-    """One update, one delete and three inserts as change feeds."""
+    """One update, two deletes and four inserts as change feeds."""
     out = {}
-    for spec in (CUSTOMERS, CARDS, TRANSACTIONS):
+    for spec in (CUSTOMERS, ADVANCES, CARDS, TRANSACTIONS):
         ops, key = _OPS[spec.source], spec.key[0]
         named = spark.createDataFrame([(o[0], o[1]) for o in ops], f"op string, {key} {spec.schema[key].dataType.simpleString()}")
         out[spec.source] = typed(spark, spec, [o[1:] for o in ops]).join(named, key)
@@ -92,6 +103,6 @@ def feeds(spark: SparkSession) -> dict[str, DataFrame]:
 
 def changed(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The source after the change feeds."""
-    specs = {s.source: s for s in (CUSTOMERS, CARDS, TRANSACTIONS)}
+    specs = {s.source: s for s in (CUSTOMERS, ADVANCES, CARDS, TRANSACTIONS)}
     after = {n: apply_change_set(tables[n], feed, list(specs[n].key)) for n, feed in feeds(spark).items()}
     return {**tables, **after}

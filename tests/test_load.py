@@ -88,45 +88,51 @@ def test_initial_load_counts(story):
     first = story["first"]
     extracted = {n: m.rows_extracted for n, m in first["summary"].tables.items()}
     assert extracted == {
-        "customers": 8, "advances": 6, "cards": 4, "transactions": 1000, "advance_status_history": 6,
+        "customers": 10, "advances": 5, "cards": 5, "transactions": 700, "advance_status_history": 5,
     }
-    assert first["counts"]["transactions_raw"] == 1000
+    assert first["counts"]["transactions_raw"] == 700
     assert first["summary"].identity == {
-        "master_customers": 6, "aliases": 7, "proven_merges": 1, "identity_conflicts": 0,
+        "master_customers": 7, "aliases": 9, "proven_merges": 2, "identity_conflicts": 2,
+    }
+    assert {n: m.source_keys_scanned for n, m in first["summary"].tables.items()} == {
+        "customers": 10, "advances": 5, "cards": 5, "transactions": 700, "advance_status_history": 0,
     }
-    assert {m.source_keys_scanned for n, m in first["summary"].tables.items() if n == "advance_status_history"} == {0}
 
 
 def test_initial_identity(story):
     t = story["first"]["tables"]
     alias = {r["source_customer_id"]: (r["master_customer_id"], r["resolution_rule"]) for r in t["customer_alias"]}
     assert alias == {
-        1: (2, "government_id+protected_advance"), 2: (2, "government_id+protected_advance"),
-        3: (3, "government_id+protected_advance"), 5: (5, "no_proven_identity"), 6: (6, "no_proven_identity"),
-        7: (7, "government_id+deterministic_survivor"), 8: (8, "no_proven_identity"),
+        11: (11, "government_id+deterministic_survivor"), 12: (11, "government_id+deterministic_survivor"),
+        13: (13, "protected_conflict"), 14: (14, "protected_conflict"), 15: (15, "protected_conflict"),
+        17: (17, "no_proven_identity"), 18: (18, "no_proven_identity"),
+        19: (20, "government_id+protected_advance"), 20: (20, "government_id+protected_advance"),
     }
     masters = {r["master_customer_id"]: r for r in t["customer_master"]}
-    assert sorted(masters) == [2, 3, 5, 6, 7, 8]
-    assert masters[2]["source_record_count"] == 2 and masters[2]["government_id"] == " ar 100 "
-    assert [m for m in sorted(masters) if masters[m]["protected_by_advance"]] == [2, 3, 8]
-    assert not masters[7]["email_valid"] and not masters[7]["phone_valid"]
-    assert [(r["customer_id_a"], r["customer_id_b"]) for r in t["identity_review_candidates"]] == [(5, 6)]
-    assert t["identity_conflicts"] == []
-    assert {r["card_id"]: r["master_customer_id"] for r in t["cards_master"]} == {
-        "card-1": 2, "card-2": 2, "card-3": 3, "card-4": 5,
+    assert sorted(masters) == [11, 13, 14, 15, 17, 18, 20]
+    assert {m: r["source_record_count"] for m, r in masters.items() if r["source_record_count"] > 1} == {11: 2, 20: 2}
+    assert masters[11]["government_id"] == "PT 55-01" and masters[18]["government_id"] is None
+    assert [m for m in sorted(masters) if masters[m]["protected_by_advance"]] == [13, 14, 20]
+    assert (masters[20]["email"], masters[20]["email_valid"], masters[20]["phone_valid"]) == ("jo(at)mail", False, True)
+    pairs = sorted((r["customer_id_a"], r["customer_id_b"]) for r in t["identity_review_candidates"])
+    assert pairs == [(13, 14), (17, 18)]
+    assert sorted((r["conflict_key"], r["customer_id"]) for r in t["identity_conflicts"]) == [("PT77", 13), ("PT77", 14)]
+    assert {r["card_id"]: (r["source_customer_id"], r["master_customer_id"]) for r in t["cards_master"]} == {
+        "c-a": (12, 11), "c-b": (13, 13), "c-d": (19, 20), "c-e": (18, 18),
     }
 
 
 def test_initial_quality_and_metadata(story):
     verdicts = story["first"]["summary"].quality
     assert len(verdicts) == 21
-    assert {v.check_name for v in verdicts if v.status == "WARN"} == {
-        "suggestive_match_candidates", "malformed_email_count", "malformed_phone_count",
+    assert {v.check_name: v.actual for v in verdicts if v.status == "WARN"} == {
+        "protected_identity_conflicts": "1", "suggestive_match_candidates": "2",
+        "malformed_email_count": "3", "malformed_phone_count": "2",
     }
     assert not [v for v in verdicts if v.status == "FAIL"]
     parity = {v.dataset: v for v in verdicts if v.check_name == "source_key_parity"}["customers_raw"]
-    assert parity.expected == "8 source keys; 0 missing; 0 stale"
-    assert parity.actual == "8 warehouse keys; 0 missing; 0 stale"
+    assert parity.expected == "10 source keys; 0 missing; 0 stale"
+    assert parity.actual == "10 warehouse keys; 0 missing; 0 stale"
     assert parity.details == "missing_sample=[]; stale_sample=[]"
     assert len(story["first"]["tables"]["dataset_metadata"]) == 5
     assert {r["dq_checks"] for r in story["first"]["tables"]["dataset_metadata"]} == {"source_key_parity,null_key"}
@@ -153,21 +159,21 @@ def test_recovery_applies_the_change_set(story):
     recovered = story["recovered"]
     m = recovered["summary"].tables
     assert {n: x.rows_extracted for n, x in m.items()} == {
-        "customers": 2, "advances": 0, "cards": 1, "transactions": 1, "advance_status_history": 0,
+        "customers": 2, "advances": 1, "cards": 1, "transactions": 1, "advance_status_history": 0,
     }
-    assert {n: x.rows_deleted for n, x in m.items() if x.rows_deleted} == {"transactions": 1}
+    assert {n: x.rows_deleted for n, x in m.items() if x.rows_deleted} == {"cards": 1, "transactions": 1}
     counts = recovered["counts"]
-    assert (counts["customers_raw"], counts["customer_master"], counts["customer_alias"]) == (9, 7, 8)
-    assert (counts["cards_raw"], counts["transactions_raw"]) == (5, 1000)
+    assert (counts["customers_raw"], counts["customer_master"], counts["customer_alias"]) == (11, 8, 10)
+    assert (counts["cards_raw"], counts["cards_master"], counts["transactions_raw"]) == (5, 4, 700)
     marks = {r["source_table"]: r["cursor_value"] for r in recovered["tables"]["watermarks"]}
     assert marks == {
-        "customers": "2025-03-01T00:02:00+00:00", "cards": "2025-03-01T00:03:00+00:00",
-        "transactions": "2025-03-01T00:01:00+00:00", "advances": "2025-02-01T00:00:00+00:00",
-        "advance_status_history": "6",
+        "customers": "2024-10-01T08:30:00+00:00", "cards": "2024-10-01T09:10:00+00:00",
+        "transactions": "2024-10-01T09:20:00+00:00", "advances": "2024-10-01T09:00:00+00:00",
+        "advance_status_history": "5",
     }
     assert recovered["digest"] != story["failed"]["digest"]
-    phone = [r for r in recovered["tables"]["customer_master"] if r["master_customer_id"] == 3][0]["phone"]
-    assert phone == "+541155509999"
+    phone = [r for r in recovered["tables"]["customer_master"] if r["master_customer_id"] == 17][0]["phone"]
+    assert phone == "+351 912 999 017"
 
 
 def test_change_rewrites_only_touched_buckets(story):
@@ -183,7 +189,7 @@ def test_run_ledger(story):
         "r1": "SUCCESS", "r2": "SUCCESS", "r3": "FAILED", "r4": "SUCCESS",
     }
     assert runs["r3"].error_message == "stopped after customers"
-    assert {r.status: r.n for r in load.inspect()["quality"].collect()} == {"PASS": 18, "WARN": 3}
+    assert {r.status: r.n for r in load.inspect()["quality"].collect()} == {"PASS": 17, "WARN": 4}
 
 
 def test_incremental_state_equals_a_fresh_load(spark, tables, story, tmp_path):
@@ -196,7 +202,7 @@ def test_gate_keeps_evidence_and_blocks_publish(spark, tables, story):
     """A source row with an already passed cursor is never extracted: parity must fail the load."""
     load = story["load"]
     before = load.digest()
-    late = tables["after"]["transactions"].where("transaction_id = 100002").withColumn("transaction_id", F.lit(7).cast("bigint"))
+    late = tables["after"]["transactions"].where("transaction_id = 900002").withColumn("transaction_id", F.lit(7).cast("bigint"))
     broken = {**tables["after"], "transactions": tables["after"]["transactions"].unionByName(late)}
     with pytest.raises(QualityGateError) as e:
         load.run(broken, run_id="r5", run_at="2025-04-05T00:00:00+00:00", check_quality=True)
@@ -238,7 +244,7 @@ def test_corruption_of_the_copy_is_detected(spark, tables, story):
     rows = quality.key_checks(TRANSACTIONS, tables["after"]["transactions"], copy.where(F.col("transaction_id") != victim))
     parity, unique = sorted(rows.collect(), key=lambda r: r.check_name)
     assert (parity.status, unique.status) == ("FAIL", "PASS")
-    assert parity.actual == "999 warehouse keys; 1 missing; 0 stale"
+    assert parity.actual == "699 warehouse keys; 1 missing; 0 stale"
     assert parity.details == f"missing_sample=['{victim}']; stale_sample=[]"
 
 
