@@ -64,12 +64,14 @@ def _write_delta(wh: Warehouse, spec: TableSpec, rows: DataFrame, order: list[st
 
     ``versions`` and ``size`` count all rows given, superseded versions included.
     """
-    totals = {_VERSIONS: F.count(F.lit(1)), "_total": F.sum(_BYTES)}
+    sized = rows.withColumn(_BYTES, payload_bytes(spec.schema))
+    if spec.unique_at_source:
+        last = sized.withColumn(_VERSIONS, F.lit(1).cast("bigint"))
+    else:
+        totals = {_VERSIONS: F.count(F.lit(1)), "_total": F.sum(_BYTES)}
+        last = latest_per_key(sized, list(spec.key), order, **totals).drop(_BYTES).withColumnRenamed("_total", _BYTES)
     delta = (
-        latest_per_key(rows.withColumn(_BYTES, payload_bytes(spec.schema)), list(spec.key), order, **totals)
-        .drop(_BYTES)
-        .withColumnRenamed("_total", _BYTES)
-        .withColumn(LOADED_AT, stamp.time())
+        last.withColumn(LOADED_AT, stamp.time())
         .withColumn(RUN_ID, F.lit(stamp.run_id))
         .withColumn(BUCKET, bucket_of(spec))
     )
@@ -92,8 +94,9 @@ def _removed_keys(
 ) -> DataFrame:
     """Stored keys that must leave their bucket: deleted at the source, or replaced by the delta.
 
-    Both sides are key scans. An append-only table looks only at its own delta,
-    and when its key is the sequence only above the watermark.
+    Both key scans meet in one grouped pass: one shuffle, no sort. An
+    append-only table looks only at its own delta, and when its key is the
+    sequence only above the watermark.
     """
     key = list(spec.key)
     stored = wh.read(state, spec.target).select(*key)
@@ -102,13 +105,17 @@ def _removed_keys(
             stored = stored.where(F.col(spec.cursor) > F.lit(lower).cast(spec.cursor_type))
         removed = stored.join(delta.rows.select(*key), key, "left_semi").withColumn(_STALE, F.lit(False))
     else:
-        window = F.coalesce(in_window(spec.cursor, lower, upper, spec.cursor_type), F.lit(False))
-        current = source.groupBy(*key).agg(F.bool_or(window).alias("_changed"))
+        no, yes = F.lit(False), F.lit(True)
+        window = F.coalesce(in_window(spec.cursor, lower, upper, spec.cursor_type), no)
+        held = stored.select(*key, yes.alias("_held"), no.alias("_alive"), no.alias("_changed"))
+        alive = source.select(*key, no.alias("_held"), yes.alias("_alive"), window.alias("_changed"))
+        flags = [F.bool_or(c).alias(c) for c in ("_held", "_alive", "_changed")]
         removed = (
-            stored.join(current, key, "left")
-            .where(F.col("_changed").isNull() | F.col("_changed"))
-            .withColumn(_STALE, F.col("_changed").isNull())
-            .drop("_changed")
+            held.unionByName(alive)
+            .groupBy(*key)
+            .agg(*flags)
+            .where(F.col("_held") & (~F.col("_alive") | F.col("_changed")))
+            .select(*key, (~F.col("_alive")).alias(_STALE))
         )
     return removed.withColumn(BUCKET, bucket_of(spec))
 

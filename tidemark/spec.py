@@ -25,6 +25,9 @@ class TableSpec:
     an append-only table leaves it off and never pays for a key scan.
     ``buckets`` is the number of hash buckets of the stored copy: a run
     rewrites only the buckets that hold a changed or deleted key.
+    ``unique_at_source`` says that the source itself enforces the key: an
+    extract is then not reduced to one row per key, which saves a shuffle of
+    the first load. A broken promise shows up in the uniqueness check.
     """
 
     source: str
@@ -35,6 +38,7 @@ class TableSpec:
     reconcile: bool
     strategy: str
     buckets: int = 64
+    unique_at_source: bool = False
 
     @property
     def columns(self) -> list[str]:

@@ -255,12 +255,11 @@ ORACLE: dict[str, str] = {
             CAST(updated_at AS VARCHAR) AS updated_at FROM ({_LATEST})""",
         "fx_transactions",
     ),
-    "generated_transactions": """SELECT l_orderkey * 1000 + l_linenumber * 10 + n AS transaction_id,
-        CAST(101 + n % 6 AS INT) AS advance_id,
-        CASE WHEN n % 3 = 0 THEN 'repayment' ELSE 'disbursement' END AS transaction_type,
-        1000 + l_orderkey % 10000 AS amount_cents,
+    "generated_transactions": """SELECT l_orderkey AS advance_id, CAST(n AS INT) AS installment,
+        CASE WHEN n = l_linenumber THEN 'repayment' ELSE 'disbursement' END AS transaction_type,
+        CAST(ROUND(l_extendedprice * 100) AS BIGINT) // l_linenumber AS amount_cents,
         CAST(l_shipdate + to_minutes(n) AS VARCHAR) AS occurred_at
-        FROM (SELECT l_orderkey, l_linenumber, l_shipdate, unnest(generate_series(1, l_linenumber)) AS n FROM lineitem)""",
+        FROM (SELECT *, unnest(generate_series(1, l_linenumber)) AS n FROM lineitem)""",
     "insert_select_history": _with(
         """SELECT history_id, advance_id, status, CAST(changed_at AS VARCHAR) AS changed_at FROM (
             SELECT * FROM fx_history UNION ALL SELECT advance_id + (SELECT max(history_id) + 1 FROM fx_history),

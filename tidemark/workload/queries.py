@@ -127,17 +127,20 @@ def latest_per_key(spark, d):
 
 @query
 def generated_transactions(spark, d):
-    """A series per line: one generated transaction per line number, a minute apart."""
+    """A generated series per line: its price in as many installments as its line number, a minute apart."""
     series = base(spark, d, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_shipdate", F.explode(F.sequence(F.lit(1), "l_linenumber")).alias("n")
+        "l_orderkey",
+        "l_linenumber",
+        "l_shipdate",
+        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"),
+        F.explode(F.sequence(F.lit(1), "l_linenumber")).alias("n"),
     )
-    at = F.col("l_shipdate") + F.expr("make_interval(0, 0, 0, 0, 0, n, 0)")
     return series.select(
-        (F.col("l_orderkey") * 1000 + F.col("l_linenumber") * 10 + F.col("n")).alias("transaction_id"),
-        (F.lit(101) + F.col("n") % 6).alias("advance_id"),
-        F.when(F.col("n") % 3 == 0, F.lit("repayment")).otherwise(F.lit("disbursement")).alias("transaction_type"),
-        (F.lit(1000) + F.col("l_orderkey") % 10000).alias("amount_cents"),
-        at.alias("occurred_at"),
+        F.col("l_orderkey").alias("advance_id"),
+        F.col("n").alias("installment"),
+        F.when(F.col("n") == F.col("l_linenumber"), F.lit("repayment")).otherwise(F.lit("disbursement")).alias("transaction_type"),
+        F.expr("cents div l_linenumber").alias("amount_cents"),
+        (F.col("l_shipdate") + F.expr("make_interval(0, 0, 0, 0, 0, n, 0)")).alias("occurred_at"),
     )
 
 
