@@ -21,7 +21,7 @@ from tidemark.functions.scalars import (
     valid_phone,
 )
 from tidemark.operators.parity import side_by_side
-from tidemark.operators.skew import DEFAULT_POLICY, SkewPolicy, hot_keys, skewed_lookup
+from tidemark.operators.skew import DEFAULT_POLICY, SkewPolicy, skewed_lookup
 from tidemark.spec import PROTECTING_STATUSES
 
 # Rule labels and messages of the resolution.
@@ -107,32 +107,46 @@ def survivors(people: DataFrame) -> DataFrame:
 
 def resolve(customers: DataFrame, advances: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
     """Every non-test customer with its master and the rule that chose it."""
-    hot = hot_keys(proof_keys(policy.take(customers)), ["proof_key"], policy)
-    return resolve_members(members(customers, advances), policy, hot)
+    return resolve_members(members(customers, advances), policy, proof_keys(policy.take(customers)))
 
 
 def resolve_members(
-    people: DataFrame, policy: SkewPolicy = DEFAULT_POLICY, hot: DataFrame | None = None
+    people: DataFrame, policy: SkewPolicy = DEFAULT_POLICY, sampled: DataFrame | None = None
 ) -> DataFrame:
     """:func:`resolve` from prepared members, whose columns come along.
 
     ``people`` is read for the decisions and again for the rows; pass a stored
-    result when its joins are expensive.
+    result when its joins are expensive. Members without a proof key, however
+    many, never enter the join.
     """
-    decisions = group_decisions(people)
-    joined = skewed_lookup(people, decisions, ["proof_key"], ["customer_id"], how="left", policy=policy, hot=hot)
+    proven = skewed_lookup(
+        people.where(F.col("proof_key").isNotNull()),
+        group_decisions(people),
+        ["proof_key"],
+        ["customer_id"],
+        policy,
+        sampled,
+    )
     merges = F.col("n_protected") <= 1
     rule = (
-        F.when(F.col("proof_key").isNull(), F.lit(RULE_UNPROVEN))
-        .when(F.col("n_protected") == 1, F.lit(RULE_PROTECTED))
+        F.when(F.col("n_protected") == 1, F.lit(RULE_PROTECTED))
         .when(merges, F.lit(RULE_SURVIVOR))
         .otherwise(F.lit(RULE_CONFLICT))
     )
-    master = F.when(F.col("proof_key").isNotNull() & merges, F.col("survivor_id")).otherwise(F.col("customer_id"))
-    size = F.when(F.col("proof_key").isNotNull() & merges, F.col("n_members")).otherwise(F.lit(1).cast("bigint"))
-    return joined.select(
-        *people.columns, master.alias("master_customer_id"), rule.alias("resolution_rule"), size.alias("merged_members")
+    one = F.lit(1).cast("bigint")
+    proven = proven.select(
+        *people.columns,
+        F.when(merges, F.col("survivor_id")).otherwise(F.col("customer_id")).alias("master_customer_id"),
+        rule.alias("resolution_rule"),
+        F.when(merges, F.col("n_members")).otherwise(one).alias("merged_members"),
+    )
+    unproven = people.where(F.col("proof_key").isNull()).select(
+        *people.columns,
+        F.col("customer_id").alias("master_customer_id"),
+        F.lit(RULE_UNPROVEN).alias("resolution_rule"),
+        one.alias("merged_members"),
     )
+    return proven.unionByName(unproven)
 
 
 def aliases(resolved: DataFrame) -> DataFrame:

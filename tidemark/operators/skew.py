@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.session import local_rows
 
 _SALT = "_salt"
 _SALTS = "_salts"
+_PLAIN = (T.LongType, T.IntegerType, T.StringType, T.BooleanType)
 
 
 @dataclass(frozen=True)
@@ -17,8 +21,8 @@ class SkewPolicy:
 
     Hot keys are looked for in a sample, so detection costs one pass over the
     key column. A miss only costs speed: the join result never depends on it.
-    ``max_hot`` bounds what is broadcast; the keys beyond it each hold less
-    than 1/max_hot of the rows and are left to adaptive execution.
+    ``max_hot`` bounds what is collected and broadcast; the keys beyond it each
+    hold less than 1/max_hot of the rows and are left to adaptive execution.
     """
 
     rows_per_task: int = 2_000_000
@@ -35,11 +39,18 @@ class SkewPolicy:
 DEFAULT_POLICY = SkewPolicy()
 
 
-def hot_keys(sampled: DataFrame, keys: list[str], policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    """From a sample of rows: at most ``max_hot`` keys that need more than one task, with their number of salts."""
+def hot_keys(sampled: DataFrame, keys: list[str], policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame | None:
+    """From a sample of rows: the keys that need more than one task, with their number of salts.
+
+    At most ``max_hot`` rows come to the driver and go back as constants: both
+    sides of a join must see exactly the same keys, which a sample drawn once
+    per side would not promise. None when no key is hot.
+    """
+    kinds = {f.name: f.dataType for f in sampled.schema.fields if f.name in keys}
+    shown = [F.col(k) if isinstance(kinds[k], _PLAIN) else F.col(k).cast("string").alias(k) for k in keys]
     salts = F.ceil(F.col("_n") / F.lit(policy.sample * policy.rows_per_task))
-    return (
-        sampled.select(*keys)
+    found = (
+        sampled.select(*shown)
         .dropna(how="any")
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -47,7 +58,12 @@ def hot_keys(sampled: DataFrame, keys: list[str], policy: SkewPolicy = DEFAULT_P
         .where(F.col(_SALTS) > 1)
         .orderBy(F.desc(_SALTS), *keys)
         .limit(policy.max_hot)
+        .collect()
     )
+    if not found:
+        return None
+    schema = T.StructType([T.StructField(k, kinds[k]) for k in keys] + [T.StructField(_SALTS, T.IntegerType())])
+    return local_rows(sampled.sparkSession, [tuple(r) for r in found], schema)
 
 
 def skewed_lookup(
@@ -55,33 +71,24 @@ def skewed_lookup(
     lookup: DataFrame,
     keys: list[str],
     spread: list[str],
-    how: str = "inner",
     policy: SkewPolicy = DEFAULT_POLICY,
-    hot: DataFrame | None = None,
+    sampled: DataFrame | None = None,
 ) -> DataFrame:
-    """Equi-join ``rows`` to ``lookup``, which holds one row per key.
+    """Inner equi-join of ``rows`` to ``lookup``, which holds one row per key.
 
-    Rows of a hot key are dealt over several tasks by a hash of ``spread``
-    (a deterministic salt, so a retried task deals them the same way) and only
-    the hot lookup rows are repeated, once per salt. Rows with a NULL key never
-    match; under ``how="left"`` they are dealt out too. ``hot`` may
-    name the :func:`hot_keys` found in a cheaper sample than one of ``rows``.
+    Without hot keys this is the plain join. Otherwise rows of a hot key are
+    dealt over several tasks by a hash of ``spread`` (a deterministic salt, so a
+    retried task deals them the same way) and only the hot lookup rows are
+    repeated, once per salt. ``sampled`` may give a cheaper sample than one of
+    ``rows``.
     """
-    if how not in ("inner", "left"):
-        raise ValueError(f"unsupported join type {how!r}")
-    hot = F.broadcast(hot_keys(policy.take(rows), keys, policy) if hot is None else hot)  # at most max_hot rows
-    dealt: Column = F.xxhash64(*spread)
-    any_null = F.lit(False)
-    for k in keys:
-        any_null = any_null | F.col(k).isNull()
-    left = rows.join(hot, keys, "left").withColumn(
-        _SALT,
-        F.when(F.col(_SALTS).isNotNull(), F.pmod(dealt, F.col(_SALTS)))
-        .when(any_null, F.pmod(dealt, F.lit(policy.max_salts)))
-        .otherwise(F.lit(0))
-        .cast("int"),
-    ).drop(_SALTS)
+    hot = hot_keys(policy.take(rows) if sampled is None else sampled, keys, policy)
+    if hot is None:
+        return rows.join(lookup, keys)
+    hot = F.broadcast(hot)  # at most max_hot constants
+    salt = F.when(F.col(_SALTS).isNotNull(), F.pmod(F.xxhash64(*spread), F.col(_SALTS))).otherwise(F.lit(0))
+    left = rows.join(hot, keys, "left").withColumn(_SALT, salt.cast("int")).drop(_SALTS)
     right = lookup.join(hot, keys, "left").withColumn(
         _SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1))
     ).drop(_SALTS)
-    return left.join(right, [*keys, _SALT], how).drop(_SALT)
+    return left.join(right, [*keys, _SALT]).drop(_SALT)
