@@ -72,12 +72,7 @@ def present(c: Column | str, is_text: bool = True) -> Column:
     return c.isNotNull() & (c != "") if is_text else c.isNotNull()
 
 
-def completeness_score(prefix: str = "") -> Column:
+def completeness_score() -> Column:
     """How many of the six scored customer fields are present, 0 to 6."""
-    parts = [
-        F.when(present(prefix + f, is_text=f != "birth_date"), F.lit(1)).otherwise(F.lit(0)) for f in SCORED_FIELDS
-    ]
-    total = parts[0]
-    for p in parts[1:]:
-        total = total + p
-    return total
+    tests = [f"{f} IS NOT NULL" if f == "birth_date" else f"{f} <> ''" for f in SCORED_FIELDS]
+    return F.expr(" + ".join(f"IF({t}, 1, 0)" for t in tests))
