@@ -6,8 +6,9 @@ import pytest
 
 import __spark_entry__ as driver
 from tests.compare import compare, connect
+from tidemark.workload.oracle import ORACLE
+from tidemark.workload.queries import QUERIES
 
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -27,3 +28,8 @@ def test_query_equals_sql(spark, sf_dir, con, name):
 
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
+
+
+def test_the_entry_offers_them_all():
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(ORACLE) <= set(driver.oracle_sql()) <= set(driver.queries())
