@@ -35,3 +35,26 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+ORACLE["op3_line_dedup"] = """
+WITH split AS (
+  SELECT doc_id, source, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL
+), placed AS (
+  SELECT doc_id, source, lines, unnest(generate_series(1, len(lines))) AS at FROM split
+), line AS (
+  SELECT doc_id, source, at, lines[at] AS line FROM placed
+), wide AS (
+  SELECT line, min(doc_id) AS first_doc FROM line WHERE trim(line, ' ') <> ''
+  GROUP BY line HAVING count(DISTINCT source) >= 8
+), marked AS (
+  SELECT l.doc_id, l.at, l.line, w.line IS NOT NULL AND l.doc_id IS DISTINCT FROM w.first_doc AS gone
+  FROM line l LEFT JOIN wide w USING (line)
+), clean AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+         coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT gone), '') AS text
+  FROM marked GROUP BY doc_id
+)
+SELECT d.doc_id, d.source, coalesce(c.n_lines, 0) AS n_lines, coalesce(c.n_removed, 0) AS n_removed, c.text
+FROM documents d LEFT JOIN clean c USING (doc_id)
+"""
+

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, token_counts
+from tidemark.llm import ann, decontaminate, language, licenses, line_dedup, packing, pii, simhash, suffix_dedup, token_counts
 from tidemark.llm.common import table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -31,3 +31,43 @@ def op4_benchmark_decontamination(spark, d):
 @query
 def op8_token_counts(spark, d):
     return token_counts.token_counts(table(spark, d, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+@query
+def op1_suffix_dedup(spark, d):
+    return suffix_dedup.repeated_passages(table(spark, d, "documents")).drop("text_hash")
+
+
+@query
+def op2_personal_data(spark, d):
+    return pii.find_personal_data(table(spark, d, "documents"))
+
+
+@query
+def op3_line_dedup(spark, d):
+    return line_dedup.remove_boilerplate(table(spark, d, "documents")).select("doc_id", "source", "n_lines", "n_removed", "text")
+
+
+@query
+def op5_best_fit_packing(spark, d):
+    return packing.pack(table(spark, d, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+@query
+def op6_nearest_neighbours(spark, d):
+    return ann.nearest(table(spark, d, "embeddings"))
+
+
+@query
+def op7_simhash(spark, d):
+    return simhash.near_duplicates(table(spark, d, "documents"))
+
+
+@query
+def op9_license_scan(spark, d):
+    return licenses.license_scan(table(spark, d, "documents"))
+
+
+@query
+def op10_language(spark, d):
+    return language.identify(table(spark, d, "documents"))
