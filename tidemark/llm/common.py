@@ -39,6 +39,29 @@ def keyed_texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores in front as it takes to differ from all columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
+def without(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """``docs`` but for the rows named by ``rows`` (``doc_id, text_hash``), all columns kept."""
+    doc, key = fresh(docs, "doc", "key")
+    named = rows.select(F.col("doc_id").alias(doc), F.col("text_hash").alias(key)).distinct()
+    return docs.join(named, same_row(doc, key), "left_anti")
+
+
+def same_row(doc: str, key: str):
+    """A row of ``documents`` is the one that columns ``doc`` and ``key`` name."""
+    return F.col("doc_id").eqNullSafe(F.col(doc)) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col(key))
+
+
 # --- texts of an Arrow batch as arrays ------------------------------------------------------
 
 _BYTE = np.arange(256, dtype=np.uint8)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import buffers, keyed_texts, shards, words
+from tidemark.llm.common import buffers, keyed_texts, shards, without, words
 
 WINDOW = 10
 SHARD_BYTES = 4_000_000
@@ -291,7 +291,4 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """Documents without any window of the benchmark, all columns kept."""
-    bad = contaminated_spans(docs, benchmark, **options).where(F.size("spans") > 0)
-    bad = bad.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_hash"))
-    return docs.join(bad, same, "left_anti")
+    return without(docs, contaminated_spans(docs, benchmark, **options).where(F.size("spans") > 0))

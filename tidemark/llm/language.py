@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import buffers
+from tidemark.llm.common import buffers, fresh
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -217,14 +217,13 @@ def _predict(net: ByteNet | None):
 def keep_identified(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
     """Rows whose language is determined with at least ``min_score``, all columns kept."""
     net = trained(docs)
-    own = docs.withColumn("_seen", F.when(_has_letter(), F.col("text")).otherwise(""))
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    (seen,) = fresh(docs, "seen")
+    own, names = docs.withColumn(seen, F.when(_has_letter(), F.col("text")).otherwise("")), docs.columns
 
     def keep(batches):
         for b in batches:
-            raw, offsets = buffers(b.column("_seen"))
+            raw, offsets = buffers(b.column(seen))
             best = np.zeros(b.num_rows) if net is None else text_probabilities(net, raw, offsets).max(axis=1)
-            yield b.select(docs_columns).filter(pa.array(best >= min_score))
+            yield b.select(names).filter(pa.array(best >= min_score))
 
-    docs_columns = docs.columns
-    return own.mapInArrow(keep, types)
+    return own.mapInArrow(keep, docs.schema)

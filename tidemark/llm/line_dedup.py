@@ -19,23 +19,19 @@ from __future__ import annotations
 
 from math import ceil, floor, sqrt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import fresh, same_row, stored
 
 MIN_SITES = 8
 LOG_K = 12  # sketch of 4,096 buckets
 
 
-def _row_hash() -> Column:
-    return F.xxhash64(F.coalesce("text", F.lit("")))
-
-
 def line_rows(docs: DataFrame, site: str) -> DataFrame:
     """Every line that isn't blank: its document, place, site and 128-bit hash."""
     lines = docs.where(F.col("text").isNotNull()).select(
-        "doc_id", _row_hash().alias("row_hash"), F.col(site).alias("site"), F.posexplode(F.split("text", "\n")).alias("at", "line")
+        "doc_id", F.xxhash64("text").alias("row_hash"), F.col(site).alias("site"), F.posexplode(F.split("text", "\n")).alias("at", "line")
     )
     return lines.where(F.trim("line") != "").select(
         "doc_id", "row_hash", "site", "at", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")
@@ -65,23 +61,22 @@ def boilerplate_places(docs: DataFrame, site: str = "source", min_sites: int = M
 
 
 def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, log_k: int = LOG_K) -> DataFrame:
-    """``docs`` with cleaned ``text``, and ``n_lines`` and ``n_removed`` beside it."""
+    """``docs`` with cleaned ``text``, and ``n_lines`` and ``n_removed`` beside it (for columns of these names)."""
+    doc, key, gone, cut = fresh(docs, "doc", "key", "gone", "cut")
     removed = (
         boilerplate_places(docs, site, min_sites, log_k)
-        .groupBy(F.col("doc_id").alias("_doc"), F.col("row_hash").alias("_row"))
-        .agg(F.collect_set("at").alias("_at"))  # places within one document
+        .groupBy(F.col("doc_id").alias(doc), F.col("row_hash").alias(key))
+        .agg(F.collect_set("at").alias(gone))  # places within one document
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (_row_hash() == F.col("_row"))
-    lines = F.split("text", "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_at"))
-    clean = F.array_join(F.transform(kept, lambda i: F.col("_lines")[i]), "\n")
+    kept = F.array_except(F.sequence(F.lit(0), F.size(cut) - 1), F.col(gone))
+    clean = F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.col(cut)[i]), "\n"))
+    count = lambda c: F.when(F.col(c).isNull(), F.lit(0)).otherwise(F.size(c)).cast("bigint")
+    others = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     return (
-        docs.join(removed, same, "left")
-        .withColumn("_lines", F.when(F.col("_at").isNotNull(), lines))
+        docs.join(removed, same_row(doc, key), "left")
+        .withColumn(cut, F.split("text", "\n"))
         .select(
-            *[F.when(F.col("_at").isNull(), F.col("text")).otherwise(clean).alias("text") if c == "text" else F.col(c) for c in docs.columns],
-            F.coalesce(F.size(lines), F.lit(0)).cast("bigint").alias("n_lines"),
-            F.coalesce(F.size("_at"), F.lit(0)).cast("bigint").alias("n_removed"),
+            *[clean.alias(c) if c == "text" else F.col(c) for c in others], count(cut).alias("n_lines"), count(gone).alias("n_removed")
         )
     )
 

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import keyed_texts, stored
+from tidemark.llm.common import fresh, keyed_texts, stored
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -125,6 +125,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     A row repeated as a whole stays once; documents without an id stay as they are.
     """
     first = near_duplicates(docs.where(F.col("doc_id").isNotNull()), shingle, max_bits)
-    later = first.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_doc")).distinct()
-    kept = docs.join(later, F.col("doc_id") == F.col("_doc"), "left_anti")
+    (doc,) = fresh(docs, "doc")
+    later = first.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(doc)).distinct()
+    kept = docs.join(later, F.col("doc_id") == F.col(doc), "left_anti")
     return kept.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))

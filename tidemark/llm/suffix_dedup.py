@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import buffers, keyed_texts, mixed, shards, stored, words
+from tidemark.llm.common import buffers, fresh, keyed_texts, mixed, same_row, shards, stored, words
 
 MIN_WORDS = 50
 CORE = 26
@@ -379,19 +379,21 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     Cut from the first to the last word of a passage; the document with the smallest doc_id keeps it.
     """
     cut = repeated_passages(docs).where(~F.col("doc_id").eqNullSafe(F.col("first_doc_id")))
-    own = cut.groupBy(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).agg(F.collect_list(F.struct("start_word", "end_word")).alias("_cut"))
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_hash"))
-    joined = docs.join(own, same, "left").drop("_doc", "_hash")
+    doc, key, spans = fresh(docs, "doc", "key", "spans")
+    own = cut.groupBy(F.col("doc_id").alias(doc), F.col("text_hash").alias(key)).agg(
+        F.collect_set(F.struct("start_word", "end_word")).alias(spans)  # of one text
+    )
+    joined = docs.join(own, same_row(doc, key), "left").drop(doc, key)
     at = docs.columns.index("text")
 
     def shorten(batches):
         for b in batches:
             texts = b.column("text").to_pylist()
-            for k, spans in enumerate(b.column("_cut").to_pylist()):
-                if spans:
+            for k, passages in enumerate(b.column(spans).to_pylist()):
+                if passages:
                     raw = texts[k].encode()
                     starts, ends, _, _ = words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
-                    for s in sorted(spans, key=lambda x: -x["start_word"]):
+                    for s in sorted(passages, key=lambda x: -x["start_word"]):
                         raw = raw[: starts[s["start_word"]]] + raw[ends[s["end_word"] - 1] :]
                     texts[k] = raw.decode()
             yield b.select(docs.columns).set_column(at, "text", pa.array(texts, b.schema.field("text").type))
