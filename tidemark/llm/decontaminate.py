@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import buffers, keyed_texts, shards, without, words
+from tidemark.llm.common import buffers, keyed_texts, shards, stored, without, words
 
 WINDOW = 10
 SHARD_BYTES = 4_000_000
@@ -135,16 +135,26 @@ class Items:
         self.depth = int(sizes.max()) if len(sizes) else 0
 
 
-def item_blocks(benchmark: DataFrame, window: int, block_bytes: int) -> list[Items]:
-    """The items, split by a hash into blocks of about ``block_bytes`` (read one by one, never together with the corpus)."""
+def item_blocks(benchmark: DataFrame, window: int, block_bytes: int):
+    """The items, split by a hash into blocks of about ``block_bytes``, read one by one: how many, and the blocks."""
     kept = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("string").alias("item_id"), "text")
     total = kept.agg(F.sum(F.octet_length("text").cast("bigint")).alias("b")).first()["b"] or 0
     blocks = total // block_bytes + 1
-    out = []
-    for k in range(blocks):
-        rows = kept.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k).toArrow()
-        out.append(Items(rows["item_id"].to_pylist(), rows["text"].to_pylist(), window))
-    return out
+
+    def read():
+        for k in range(blocks):
+            rows = kept.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k).toArrow()
+            yield Items(rows["item_id"].to_pylist(), rows["text"].to_pylist(), window)
+
+    return blocks, read()
+
+
+def _each_block(benchmark: DataFrame, window: int, block_bytes: int, search) -> list[DataFrame]:
+    """What ``search`` finds for every block; with several, each is written before the next one is read."""
+    blocks, items = item_blocks(benchmark, window, block_bytes)
+    if blocks == 1:
+        return [search(next(items))]
+    return [stored(search(block), "block") for block in items]
 
 
 _SPANS = "doc_id long, text_hash long, n_words long, spans array<struct<start:long,end:long>>, items array<string>"
@@ -196,27 +206,29 @@ def _contamination(texts: DataFrame, block: Items, shard_bytes: int) -> DataFram
 
 
 def _united(parts: list[DataFrame]) -> DataFrame:
-    """Spans of several blocks as the disjoint spans of each document."""
+    """Spans of several blocks as the disjoint spans of each document, which meet in one task."""
     rows = reduce(DataFrame.unionByName, parts)
     own = rows.groupBy("doc_id", "text_hash").agg(
         F.max("n_words").alias("n_words"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("all"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"),
         F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
-        (F.count(F.lit(1)) / len(parts)).cast("int").alias("_copies"),
+        (F.count(F.lit(1)) / len(parts)).cast("int").alias("copies"),
     )
-    merged = F.aggregate(
-        "all",
-        F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)"),
-        lambda done, s: F.when(
-            (F.size(done) > 0) & (F.element_at(done, -1)["end"] >= s["start"]),
-            F.concat(
-                F.slice(done, 1, F.size(done) - 1),
-                F.array(F.struct(F.element_at(done, -1)["start"].alias("start"), F.greatest(F.element_at(done, -1)["end"], s["end"]).alias("end"))),
-            ),
-        ).otherwise(F.concat(done, F.array(s))),
-    )
-    once = own.select("doc_id", "text_hash", "n_words", merged.alias("spans"), "items", F.explode(F.sequence(F.lit(1), "_copies")).alias("_copy"))
-    return once.drop("_copy")
+
+    def unite(batches):
+        for b in batches:
+            merged = []
+            for spans in b.column("spans").to_pylist():
+                merged.append([])
+                for s in spans:
+                    if merged[-1] and merged[-1][-1]["end"] >= s["start"]:
+                        merged[-1][-1]["end"] = max(merged[-1][-1]["end"], s["end"])
+                    else:
+                        merged[-1].append(s)
+            yield b.set_column(3, "spans", pa.array(merged, b.schema.field("spans").type)).drop_columns(["_copy"])
+
+    once = own.select("doc_id", "text_hash", "n_words", "spans", "items", F.explode(F.sequence(F.lit(1), "copies")).alias("_copy"))
+    return once.mapInArrow(unite, _SPANS)
 
 
 def contaminated_spans(
@@ -224,7 +236,7 @@ def contaminated_spans(
 ) -> DataFrame:
     """Every row of ``docs`` with its number of words, the word spans found in the benchmark, and the items (as text)."""
     texts = keyed_texts(docs)
-    parts = [_contamination(texts, b, shard_bytes) for b in item_blocks(benchmark, window, block_bytes)]
+    parts = _each_block(benchmark, window, block_bytes, lambda block: _contamination(texts, block, shard_bytes))
     return parts[0] if len(parts) == 1 else _united(parts)
 
 
@@ -273,7 +285,7 @@ def longest_matches(
 
         return texts.mapInArrow(search, "item_id string, item_start long, doc_id long, doc_start long, n_words long")
 
-    return reduce(DataFrame.unionByName, [found(b) for b in item_blocks(benchmark, window, block_bytes)])
+    return reduce(DataFrame.unionByName, _each_block(benchmark, window, block_bytes, found))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

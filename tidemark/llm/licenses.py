@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 MAX_STEP = 3  # words by which neighbouring diagonals may differ
 MIN_COVER = 0.8
+WHOLE_BELOW = 10  # bigrams: shorter notices must be covered whole
 MAX_STRETCH = 1.5
 
 # Phrases searched for word by word, and their labels.
@@ -113,7 +114,8 @@ def found_spans(docs: DataFrame) -> DataFrame:
         .groupBy("doc_id", "text_hash", "template", "label", "is_base", "grams", "_run")
         .agg(F.bit_or("places").alias("places"), F.min("first_pos").alias("start"), (F.max("last_pos") + 2).alias("end"))
         .withColumn("cover", F.bit_count("places") / F.col("grams"))
-        .where((F.col("cover") >= MIN_COVER) & (F.col("end") - F.col("start") <= MAX_STRETCH * (F.col("grams") + 1) + MAX_STEP))
+        .where(F.col("cover") >= F.when(F.col("grams") < WHOLE_BELOW, F.lit(1.0)).otherwise(F.lit(MIN_COVER)))
+        .where(F.col("end") - F.col("start") <= MAX_STRETCH * (F.col("grams") + 1) + MAX_STEP)
         .select("doc_id", "text_hash", "label", "is_base", F.col("start").cast("bigint"), F.col("end").cast("bigint"), "cover")
     )
     return base.unionByName(merged)

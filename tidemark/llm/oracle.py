@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tidemark.llm.licenses import NOTICES, PHRASES, template_words
+
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -58,3 +60,62 @@ SELECT d.doc_id, d.source, coalesce(c.n_lines, 0) AS n_lines, coalesce(c.n_remov
 FROM documents d LEFT JOIN clean c USING (doc_id)
 """
 
+ORACLE["op1_suffix_dedup"] = f"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all({_LOWERED}, '{WORD}') AS w FROM documents
+), windows AS (
+  SELECT doc_id, s, md5(array_to_string(w[s : s + 49], ' ')) AS win
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 49)) AS s FROM doc WHERE len(w) >= 50)
+), again AS (
+  SELECT win FROM windows GROUP BY win HAVING count(*) > 1
+), hits AS (
+  SELECT doc_id, s FROM windows SEMI JOIN again USING (win)
+), edges AS (
+  SELECT doc_id, s, CASE WHEN s < lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 50 THEN 0 ELSE 1 END AS edge FROM hits
+), runs AS (
+  SELECT doc_id, s, sum(edge) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM edges
+)
+SELECT doc_id, min(s) - 1 AS start_word, max(s) + 49 AS end_word FROM runs GROUP BY doc_id, run
+"""
+
+_BIGRAMS = ", ".join(
+    f"({n}, '{label}', {base}, {len(own) - 1}, {at}, '{own[at]}', '{own[at + 1]}')"
+    for n, (text, label, base) in enumerate([(t, x, True) for t, x in PHRASES.items()] + [(t, x, False) for t, x in NOTICES.items()])
+    for own in [template_words(text)]
+    for at in range(len(own) - 1)
+)
+
+ORACLE["op9_license_scan"] = f"""
+WITH template(template, label, is_base, grams, at, w1, w2) AS (VALUES {_BIGRAMS}), doc AS (
+  SELECT doc_id, regexp_extract_all({_LOWERED}, '{WORD}') AS w FROM documents
+), gram AS (
+  SELECT doc_id, p - 1 AS pos, w[p] AS w1, w[p + 1] AS w2
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 1)) AS p FROM doc WHERE len(w) > 1)
+), vote AS (
+  SELECT DISTINCT doc_id, template, label, is_base, grams, pos - at AS diagonal, at, pos FROM gram JOIN template USING (w1, w2)
+), base AS (
+  SELECT doc_id, label, diagonal AS start FROM vote WHERE is_base
+  GROUP BY doc_id, template, label, grams, diagonal HAVING count(DISTINCT at) = grams
+), stepped AS (
+  SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) <= 3 THEN 0 ELSE 1 END AS fresh
+  FROM vote WHERE NOT is_base
+), run AS (
+  SELECT *, sum(fresh) OVER (PARTITION BY doc_id, template ORDER BY diagonal RANGE UNBOUNDED PRECEDING) AS run FROM stepped
+), notice AS (
+  SELECT doc_id, label, count(DISTINCT at) / CAST(grams AS DOUBLE) AS cover FROM run GROUP BY doc_id, template, label, grams, run
+  HAVING count(DISTINCT at) / CAST(grams AS DOUBLE) >= CASE WHEN grams < 10 THEN 1.0 ELSE 0.8 END
+     AND max(pos) + 2 - min(pos) <= 1.5 * (grams + 1) + 3
+), found AS (
+  SELECT doc_id, label, 1.0 AS cover, start, label AS base_label FROM base
+  UNION ALL SELECT doc_id, label, cover, NULL, NULL FROM notice
+), labelled AS (
+  SELECT doc_id, count(start) AS n_base, min(start) AS first_word, max(start) AS last_word,
+         string_agg(DISTINCT base_label, ',' ORDER BY base_label) AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(cover) AS score
+  FROM found GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base,
+       CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM doc LEFT JOIN labelled USING (doc_id)
+"""

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh, keyed_texts, stored
+from tidemark.llm.common import fresh, keyed_texts, same_row, stored, without
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -55,15 +55,15 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp`` for every row; the fingerprint's 64 bits as a signed long."""
+    """``doc_id, text_hash, fp`` for every row; the fingerprint's 64 bits as a signed long."""
 
     def compute(batches):
         for b in batches:
             texts = b.column("text").cast(pa.binary()).to_pylist()
             own = np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)
-            yield pa.record_batch([b.column("doc_id"), pa.array(own)], names=["doc_id", "fp"])
+            yield pa.record_batch([b.column("doc_id"), b.column("text_hash"), pa.array(own)], names=["doc_id", "text_hash", "fp"])
 
-    return keyed_texts(docs).select("doc_id", "text").mapInArrow(compute, "doc_id long, fp long")
+    return keyed_texts(docs).mapInArrow(compute, "doc_id long, text_hash long, fp long")
 
 
 def _signed(x: int) -> int:
@@ -107,25 +107,36 @@ def components(edges: DataFrame) -> DataFrame:
         roots = new.select("node", "root")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` for every row of ``docs`` (``doc_id, text``)."""
+def _grouped(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
+    """Every row as ``doc_id, text_hash, fp, first``: the component's first row, by doc_id and then text_hash."""
     own = stored(fingerprints(docs, shingle), "fingerprints")
-    distinct = stored(own.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
+    row = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash"))
+    distinct = stored(own.groupBy("fp").agg(F.min(row).alias("first")), "distinct")
     joined = components(links(distinct.select("fp"), max_bits))
     # Fingerprints without links are their own component.
     rooted = distinct.join(joined.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(smallest, "root").select("fp", "component_id")
-    return own.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    smallest = rooted.groupBy("root").agg(F.min("first").alias("first"))
+    return own.join(rooted.drop("first").join(smallest, "root").select("fp", "first"), "fp")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` for every row of ``docs`` (``doc_id, text``)."""
+    return _grouped(docs, shingle, max_bits).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("first.doc_id").alias("component_id")
+    )
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One document of each component stays: that with the smallest doc_id, all its columns kept.
+    """One document of each component stays, the first by doc_id, with all its columns.
 
     A row repeated as a whole stays once; documents without an id stay as they are.
     """
-    first = near_duplicates(docs.where(F.col("doc_id").isNotNull()), shingle, max_bits)
-    (doc,) = fresh(docs, "doc")
-    later = first.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(doc)).distinct()
-    kept = docs.join(later, F.col("doc_id") == F.col(doc), "left_anti")
-    return kept.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))
+    grouped = stored(_grouped(docs.where(F.col("doc_id").isNotNull()), shingle, max_bits), "components")
+    is_first = (F.col("doc_id") == F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    kept = without(docs, grouped.where(~is_first))
+    firsts = grouped.where(is_first).groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    if firsts.isEmpty():
+        return kept
+    doc, key = fresh(docs, "doc", "key")
+    named = firsts.select(F.col("doc_id").alias(doc), F.col("text_hash").alias(key))
+    return without(kept, firsts).unionByName(kept.join(named, same_row(doc, key), "left_semi").dropDuplicates(["doc_id", "text"]))

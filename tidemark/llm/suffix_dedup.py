@@ -384,7 +384,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         F.collect_set(F.struct("start_word", "end_word")).alias(spans)  # of one text
     )
     joined = docs.join(own, same_row(doc, key), "left").drop(doc, key)
-    at = docs.columns.index("text")
+    names, at = docs.columns, docs.columns.index("text")
 
     def shorten(batches):
         for b in batches:
@@ -396,6 +396,6 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                     for s in sorted(passages, key=lambda x: -x["start_word"]):
                         raw = raw[: starts[s["start_word"]]] + raw[ends[s["end_word"] - 1] :]
                     texts[k] = raw.decode()
-            yield b.select(docs.columns).set_column(at, "text", pa.array(texts, b.schema.field("text").type))
+            yield b.select(names).set_column(at, "text", pa.array(texts, b.schema.field("text").type))
 
     return joined.mapInArrow(shorten, docs.schema)
