@@ -21,7 +21,7 @@ from tidemark.workload.queries import QUERIES  # noqa: E402
 HEADLINE = (
     "reconciled_snapshot",
     "customer_master",
-    "review_candidates",
+    "review_partners",
     "key_parity",
     "table_digest",
     "incremental_extract",

@@ -12,11 +12,10 @@ from pyspark.sql import functions as F
 from tests.seed import typed
 from tidemark.operators import identity
 from tidemark.operators.skew import SkewPolicy, hot_keys, skewed_lookup
-from tidemark.session import settle
 from tidemark.spec import ADVANCES, CARDS, CUSTOMERS
 
 # Everything with more than three rows is hot.
-EAGER = SkewPolicy(rows_per_task=3, sample=1.0, max_hot=50, max_salts=64)
+EAGER = SkewPolicy(rows_per_task=3)
 
 
 def _population(n=400, seed=5):
@@ -63,11 +62,13 @@ def _expected(people, advances):
 
 
 @pytest.fixture(scope="module")
-def world(spark):
+def world(spark, tmp_path_factory):
     people, advances = _population()
     customers = typed(spark, CUSTOMERS, people)
     adv = typed(spark, ADVANCES, advances)
-    resolved = settle(identity.resolve(customers, adv, EAGER), "test-resolution")
+    path = str(tmp_path_factory.mktemp("world") / "resolution")
+    identity.resolve(customers, adv, EAGER).write.parquet(path)
+    resolved = spark.read.parquet(path)
     return people, advances, customers, adv, resolved
 
 
@@ -152,15 +153,12 @@ def test_review_is_whole_at_any_group_size(world):
     }
     assert unfolded == pairs
 
-    small = {p for key, ps in pairs.items() if len(groups[key]) <= 50 for p in ps}
-    listed = identity.review_candidates(resolved, limit=50, policy=EAGER)
-    assert {(r.customer_id_a, r.customer_id_b) for r in listed.collect()} == small
-    everything = identity.review_candidates(resolved, limit=10**6, policy=EAGER)
-    assert {(r.customer_id_a, r.customer_id_b) for r in everything.collect()} == set().union(*pairs.values())
-
-    asked = sorted(groups[largest])[:2]
-    partners = {(r.customer_id_a, r.customer_id_b) for r in identity.review_partners(resolved, asked).collect()}
-    assert partners == {p for p in pairs[largest] if set(p) & set(asked)}
+    small = next(k for k in pairs if len(groups[k]) == 2)
+    asked = {*sorted(groups[largest])[:2], groups[small][0], 10**9}
+    spark = resolved.sparkSession
+    listed = identity.review_partners(resolved, spark.createDataFrame([(a,) for a in asked], "customer_id long")).collect()
+    everything = set().union(*pairs.values())
+    assert sorted((r.customer_id_a, r.customer_id_b) for r in listed) == sorted(p for p in everything if set(p) & asked)
 
 
 def test_skewed_lookup_equals_a_plain_join(spark):
@@ -168,20 +166,22 @@ def test_skewed_lookup_equals_a_plain_join(spark):
         F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 50 == 1, None).otherwise(F.col("id")).alias("k")
     )
     lookup = spark.range(0, 200).select(F.col("id").cast("int").alias("k"), (F.col("id") * 10).alias("v"))
-    assert [tuple(r) for r in hot_keys(EAGER.take(rows), ["k"], EAGER).collect()] == [(7, 34)]
+    sizes = rows.groupBy("k").agg(F.count(F.lit(1)).alias("_n"))
+    assert [tuple(r) for r in hot_keys(sizes.dropna(), ["k"], EAGER).collect()] == [(7, 34)]
     got = skewed_lookup(rows, lookup, ["k"], ["id"], EAGER).select("k", "id", "v")
     assert sorted(map(str, got.collect())) == sorted(map(str, rows.join(lookup, "k").select("k", "id", "v").collect()))
     assert got.where("k = 7").count() == 101
 
 
-def test_hot_keys_of_every_type_come_back_as_they_were(spark):
+def test_thousands_of_hot_keys_are_all_split(spark):
     rows = spark.sql(
-        "SELECT CASE WHEN id < 40 THEN date'2000-02-29' ELSE date_add(date'2001-01-01', CAST(id AS int)) END AS d,"
-        " CASE WHEN id < 40 THEN 'x' ELSE CAST(id AS string) END AS s, id FROM range(60)"
+        "SELECT date_add(date'2001-01-01', CAST(id % 5000 AS int)) AS d, CAST(id % 5000 AS string) AS s, id FROM range(25000)"
+        " UNION ALL SELECT date'1999-01-01', 'cold', 25000"
     )
-    hot = hot_keys(rows, ["d", "s"], EAGER)
-    assert hot.schema["d"].dataType == rows.schema["d"].dataType
-    assert [(str(r.d), r.s) for r in hot.collect()] == [("2000-02-29", "x")]
-    lookup = rows.select("d", "s").distinct().withColumn("v", F.lit(1))
-    assert skewed_lookup(rows, lookup, ["d", "s"], ["id"], EAGER).count() == 60
-    assert hot_keys(rows.where("id >= 40"), ["d", "s"], EAGER) is None
+    sizes = rows.groupBy("d", "s").agg(F.count(F.lit(1)).alias("n"))
+    assert {tuple(r) for r in hot_keys(sizes, ["d", "s"], EAGER, "n").select("_salts").collect()} == {(2,)}
+    assert hot_keys(sizes, ["d", "s"], EAGER, "n").count() == 5000
+    for size in (None, "n"):
+        joined = skewed_lookup(rows, sizes, ["d", "s"], ["id"], EAGER, size)
+        assert joined.select("id").distinct().count() == joined.count() == 25001
+

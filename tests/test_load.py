@@ -69,7 +69,7 @@ def story(spark, tables, tmp_path_factory):
             "digest": load.digest(),
             "counts": {r.table_name: r.row_count for r in load.inspect()["counts"].collect()},
             "tables": {n: [r.asDict() for r in load.table(n).collect()] for n in (
-                "customer_master", "customer_alias", "identity_review_candidates", "identity_conflicts",
+                "customer_master", "customer_alias", "identity_review_members", "identity_conflicts",
                 "cards_master", "watermarks", "dataset_metadata", "pipeline_metrics", "dq_results")},
             "state": state,
         }
@@ -114,8 +114,11 @@ def test_initial_identity(story):
     assert masters[11]["government_id"] == "PT 55-01" and masters[18]["government_id"] is None
     assert [m for m in sorted(masters) if masters[m]["protected_by_advance"]] == [13, 14, 20]
     assert (masters[20]["email"], masters[20]["email_valid"], masters[20]["phone_valid"]) == ("jo(at)mail", False, True)
-    pairs = sorted((r["customer_id_a"], r["customer_id_b"]) for r in t["identity_review_candidates"])
-    assert pairs == [(13, 14), (17, 18)]
+    groups: dict = {}
+    for r in t["identity_review_members"]:
+        groups.setdefault((r["email"], r["birth_date"]), {})[r["customer_id"]] = r["master_customer_id"]
+    pairs = sorted((a, b) for g in groups.values() for a in g for b in g if a < b and g[a] != g[b])
+    assert pairs == [(13, 14), (17, 18)] and story["first"]["counts"]["identity_review_candidates"] == 2
     assert sorted((r["conflict_key"], r["customer_id"]) for r in t["identity_conflicts"]) == [("PT77", 13), ("PT77", 14)]
     assert {r["card_id"]: (r["source_customer_id"], r["master_customer_id"]) for r in t["cards_master"]} == {
         "c-a": (12, 11), "c-b": (13, 13), "c-d": (19, 20), "c-e": (18, 18),

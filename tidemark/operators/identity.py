@@ -7,7 +7,7 @@ contact data suggests it, and goes to human review instead.
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,24 +33,15 @@ CONFLICT_REASON = "multiple protected customers share proven identity"
 EVIDENCE = "email+birth_date"
 REVIEW_REASON = "suggestive evidence is not proof"
 
-# Fields a survivor may inherit from its group when its own are absent.
+# The fields a survivor may inherit from its group when its own are absent (True: an empty text is absent).
 FILLED = {"government_id": True, "birth_date": False, "email": True, "phone": True}
 
-# Members of an evidence group that is written out pair by pair. A larger group
-# stays whole in factored form (review_groups / review_partners).
-PAIR_GROUP_LIMIT = 50
-
 
 def protected_customers(advances: DataFrame, statuses: tuple[str, ...] = PROTECTING_STATUSES) -> DataFrame:
     """Distinct customers with an advance that was paid out."""
     return advances.where(F.col("status").isin(*statuses)).select("customer_id").distinct()
 
 
-def proof_keys(customers: DataFrame) -> DataFrame:
-    """The proof key of every non-test customer, straight from the scan."""
-    return customers.where(~F.col("is_test")).select(normalize_government_id("government_id").alias("proof_key"))
-
-
 def members(customers: DataFrame, advances: DataFrame) -> DataFrame:
     """Non-test customers with proof key and evidence email (NULL when absent or invalid) and protection flag."""
     shielded = protected_customers(advances).withColumn("_hit", F.lit(True))
@@ -107,12 +98,10 @@ def survivors(people: DataFrame) -> DataFrame:
 
 def resolve(customers: DataFrame, advances: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
     """Every non-test customer with its master and the rule that chose it."""
-    return resolve_members(members(customers, advances), policy, proof_keys(policy.take(customers)))
+    return resolve_members(members(customers, advances), policy)
 
 
-def resolve_members(
-    people: DataFrame, policy: SkewPolicy = DEFAULT_POLICY, sampled: DataFrame | None = None
-) -> DataFrame:
+def resolve_members(people: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
     """:func:`resolve` from prepared members, whose columns come along.
 
     ``people`` is read for the decisions and again for the rows; pass a stored
@@ -125,7 +114,7 @@ def resolve_members(
         ["proof_key"],
         ["customer_id"],
         policy,
-        sampled,
+        "n_members",
     )
     merges = F.col("n_protected") <= 1
     rule = (
@@ -154,53 +143,54 @@ def aliases(resolved: DataFrame) -> DataFrame:
     return resolved.select(F.col("customer_id").alias("source_customer_id"), "master_customer_id", "resolution_rule")
 
 
+# The survivor's own place in the order of donors: before all of them.
+_OWN = "-" + "9" * 38
+
+
+def _donor_order() -> Column:
+    """``(updated_at, customer_id)`` as one number of fixed width, so that its minimum is hash-aggregated."""
+    instant = F.unix_micros(F.col("updated_at").cast("timestamp")).cast("decimal(18,0)")
+    place = F.col("customer_id").cast("decimal(20,0)") + F.lit("9223372036854775808").cast("decimal(19,0)")
+    return (instant * F.lit("100000000000000000000").cast("decimal(21,0)")).cast("decimal(38,0)") + place
+
+
 def golden_records(resolved: DataFrame) -> DataFrame:
     """One row per master: the survivor's values, absent contact fields filled from its group.
 
     Fills come from the member with the smallest ``(updated_at, customer_id)``
-    that has the field; names are never filled. Only survivors of a merge that
-    lack something look for donors. All others, nearly all, are their own
-    record as they stand and are neither grouped nor shuffled. ``resolved`` is
-    read several times: pass a stored result.
+    that has the field; names are never filled. Of a merge's members a hash
+    aggregate keeps one number per field, and only the rows these numbers name
+    (the survivor and at most one donor per field) are put together. All other
+    customers, nearly all, are their own record as they stand and are neither
+    grouped nor shuffled.
     """
     has = {f: present(f, text) for f, text in FILLED.items()}
-    lacks = (F.col("merged_members") > 1) & ~reduce(and_, has.values())
+    is_merged = F.col("merged_members") > 1
     is_master = F.col("customer_id") == F.col("master_customer_id")
-    own = ["master_customer_id", "first_name", "last_name", "is_protected", "merged_members"]
-    masters = resolved.where(is_master)
-    cleaned = [F.when(ok, F.col(f)).alias(f) for f, ok in has.items()]
-
-    donors = (
-        resolved.where(~is_master)
-        .groupBy("master_customer_id")
-        .agg(
-            *[
-                F.min(F.when(ok, F.struct("updated_at", "customer_id", F.col(f).alias("value"))))["value"].alias(f"_{f}")
-                for f, ok in has.items()
-            ]
-        )
+    own = ["first_name", "last_name", "is_protected", "merged_members"]
+    alone = resolved.where(~is_merged).select("master_customer_id", *own, *[F.when(ok, F.col(f)).alias(f) for f, ok in has.items()])
+
+    ranked = resolved.where(is_merged).withColumn("_order", F.when(is_master, F.lit(_OWN).cast("decimal(38,0)")).otherwise(_donor_order()))
+    first = ranked.groupBy("master_customer_id").agg(*[F.min(F.when(ok, F.col("_order"))).alias(f"_{f}") for f, ok in has.items()])
+    chosen = reduce(or_, [F.col("_order") == F.col(f"_{f}") for f in has], is_master)
+    # At most one row per field and the survivor's own are left of a group.
+    named = ranked.join(first, "master_customer_id").where(F.coalesce(chosen, F.lit(False)))
+    filled = named.groupBy("master_customer_id").agg(
+        *[F.max(F.when(is_master, F.col(c))).alias(c) for c in own],
+        *[F.max(F.when(F.col("_order") == F.col(f"_{f}"), F.col(f))).alias(f) for f in has],
     )
-    needy = masters.where(lacks).select(*own, *cleaned)
-    filled = needy.join(donors, "master_customer_id", "left").select(
-        *own, *[F.coalesce(F.col(f), F.col(f"_{f}")).alias(f) for f in FILLED]
-    )
-    return (
-        masters.where(~lacks)
-        .select(*own, *cleaned)
-        .unionByName(filled)
-        .select(
-            "master_customer_id",
-            "government_id",
-            "first_name",
-            "last_name",
-            "birth_date",
-            "email",
-            "phone",
-            valid_email("email").alias("email_valid"),
-            valid_phone("phone").alias("phone_valid"),
-            F.col("is_protected").alias("protected_by_advance"),
-            F.col("merged_members").cast("int").alias("source_record_count"),
-        )
+    return alone.unionByName(filled).select(
+        "master_customer_id",
+        "government_id",
+        "first_name",
+        "last_name",
+        "birth_date",
+        "email",
+        "phone",
+        valid_email("email").alias("email_valid"),
+        valid_phone("phone").alias("phone_valid"),
+        F.col("is_protected").alias("protected_by_advance"),
+        F.col("merged_members").cast("int").alias("source_record_count"),
     )
 
 
@@ -262,54 +252,26 @@ def review_groups(resolved: DataFrame) -> DataFrame:
 def review_members(resolved: DataFrame, groups: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
     """Each customer of a review group with its master: the whole relation, one row per customer.
 
-    Two members form a candidate pair exactly when their masters differ.
-    """
-    return skewed_lookup(_evidence(resolved), groups, ["email", "birth_date"], ["customer_id"], policy=policy)
-
-
-def review_candidates(
-    resolved: DataFrame,
-    groups: DataFrame | None = None,
-    limit: int = PAIR_GROUP_LIMIT,
-    policy: SkewPolicy = DEFAULT_POLICY,
-) -> DataFrame:
-    """Candidate pairs ``a < b`` of different masters in groups of up to ``limit`` members.
-
-    Each customer meets fewer than ``limit`` others, so the output is linear in
-    the input. Pairs of larger groups are not dropped: :func:`review_groups`
-    counts them, :func:`review_members` holds them in factored form and
-    :func:`review_partners` lists them for the customers a reviewer asks about.
-    ``resolved`` is read several times: pass a stored result.
+    Two members form a candidate pair exactly when their masters differ. The
+    pairs themselves, whose number grows with the square of a group, are never
+    written out: :func:`review_groups` counts them and :func:`review_partners`
+    lists those of the customers a reviewer asks about.
     """
-    groups = review_groups(resolved) if groups is None else groups
-    small = groups.where(F.col("members") <= limit).select("email", "birth_date")
-    held = review_members(resolved, small, policy)
-
-    def side(name: str) -> DataFrame:  # same shape on both sides, so one shuffle serves both
-        return held.select(
-            "email",
-            "birth_date",
-            F.col("customer_id").alias(f"customer_id_{name}"),
-            F.col("master_customer_id").alias(f"_master_{name}"),
-        )
-
-    return (
-        side("a")
-        .join(side("b"), ["email", "birth_date"])
-        .where((F.col("customer_id_a") < F.col("customer_id_b")) & (F.col("_master_a") != F.col("_master_b")))
-        .select("customer_id_a", "customer_id_b", F.lit(EVIDENCE).alias("evidence"), F.lit(REVIEW_REASON).alias("reason_not_merged"))
+    return skewed_lookup(_evidence(resolved), groups, ["email", "birth_date"], ["customer_id"], policy, "members").drop(
+        "members", "masters", "pairs"
     )
 
 
-def review_partners(resolved: DataFrame, customer_ids: list[int]) -> DataFrame:
-    """All candidate pairs of a few given customers, whatever the size of their groups."""
+def review_partners(resolved: DataFrame, asked: DataFrame) -> DataFrame:
+    """All candidate pairs of the asked customers (``customer_id``), whatever the size of their groups.
+
+    One row per pair, also when both are asked for.
+    """
     evidence = _evidence(resolved)
-    asked = evidence.where(F.col("customer_id").isin(*customer_ids)).select(
+    sought = evidence.join(asked.select("customer_id").distinct(), "customer_id").select(
         "email", "birth_date", F.col("customer_id").alias("_asked"), F.col("master_customer_id").alias("_asked_master")
     )
-    pairs = evidence.join(F.broadcast(asked), ["email", "birth_date"]).where(  # at most len(customer_ids) rows
-        F.col("master_customer_id") != F.col("_asked_master")
-    )
+    pairs = evidence.join(sought, ["email", "birth_date"]).where(F.col("master_customer_id") != F.col("_asked_master"))
     return pairs.select(
         F.least("_asked", "customer_id").alias("customer_id_a"),
         F.greatest("_asked", "customer_id").alias("customer_id_b"),

@@ -109,6 +109,12 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def review_pair_count(groups: DataFrame) -> DataFrame:
+    """The count row of the review pairs, from the exact pair counts of their groups."""
+    total = F.coalesce(F.sum("pairs"), F.lit(0)).cast("bigint")
+    return groups.agg(F.lit("identity_review_candidates").alias("table_name"), total.alias("row_count"))
+
+
 def declared_metadata(version: int, datasets: Mapping[str, Mapping[str, Any]]) -> list[dict[str, Any]]:
     """Governance rows from a declaration document: one entry per dataset, under its short field names."""
     renamed = {"source": "source_system", "strategy": "load_strategy"}

@@ -6,64 +6,28 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from tidemark.session import local_rows
 
 _SALT = "_salt"
 _SALTS = "_salts"
-_PLAIN = (T.LongType, T.IntegerType, T.StringType, T.BooleanType)
 
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """When a key counts as hot and how finely it is split.
-
-    Hot keys are looked for in a sample, so detection costs one pass over the
-    key column. A miss only costs speed: the join result never depends on it.
-    ``max_hot`` bounds what is collected and broadcast; the keys beyond it each
-    hold less than 1/max_hot of the rows and are left to adaptive execution.
-    """
+    """A key with more rows than ``rows_per_task`` is dealt over as many tasks as that takes."""
 
     rows_per_task: int = 2_000_000
-    sample: float = 0.01
-    max_hot: int = 1_000
-    max_salts: int = 20_000
-    seed: int = 17
-
-    def take(self, rows: DataFrame) -> DataFrame:
-        """The sample hot keys are looked for in. Take it from a scan, before anything is computed."""
-        return rows if self.sample >= 1.0 else rows.sample(False, self.sample, self.seed)
 
 
 DEFAULT_POLICY = SkewPolicy()
 
 
-def hot_keys(sampled: DataFrame, keys: list[str], policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame | None:
-    """From a sample of rows: the keys that need more than one task, with their number of salts.
+def hot_keys(sizes: DataFrame, keys: list[str], policy: SkewPolicy = DEFAULT_POLICY, size: str = "_n") -> DataFrame:
+    """Of exact group sizes: the keys that need more than one task, with their number of salts.
 
-    At most ``max_hot`` rows come to the driver and go back as constants: both
-    sides of a join must see exactly the same keys, which a sample drawn once
-    per side would not promise. None when no key is hot.
+    There are at most rows / ``rows_per_task`` of them, so no cap is needed.
     """
-    kinds = {f.name: f.dataType for f in sampled.schema.fields if f.name in keys}
-    shown = [F.col(k) if isinstance(kinds[k], _PLAIN) else F.col(k).cast("string").alias(k) for k in keys]
-    salts = F.ceil(F.col("_n") / F.lit(policy.sample * policy.rows_per_task))
-    found = (
-        sampled.select(*shown)
-        .dropna(how="any")
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*keys, F.least(salts, F.lit(policy.max_salts)).cast("int").alias(_SALTS))
-        .where(F.col(_SALTS) > 1)
-        .orderBy(F.desc(_SALTS), *keys)
-        .limit(policy.max_hot)
-        .collect()
-    )
-    if not found:
-        return None
-    schema = T.StructType([T.StructField(k, kinds[k]) for k in keys] + [T.StructField(_SALTS, T.IntegerType())])
-    return local_rows(sampled.sparkSession, [tuple(r) for r in found], schema)
+    salts = F.ceil(F.col(size) / F.lit(policy.rows_per_task)).cast("bigint")
+    return sizes.where(F.col(size) > policy.rows_per_task).select(*keys, salts.alias(_SALTS))
 
 
 def skewed_lookup(
@@ -72,23 +36,19 @@ def skewed_lookup(
     keys: list[str],
     spread: list[str],
     policy: SkewPolicy = DEFAULT_POLICY,
-    sampled: DataFrame | None = None,
+    size: str | None = None,
 ) -> DataFrame:
     """Inner equi-join of ``rows`` to ``lookup``, which holds one row per key.
 
-    Without hot keys this is the plain join. Otherwise rows of a hot key are
-    dealt over several tasks by a hash of ``spread`` (a deterministic salt, so a
-    retried task deals them the same way) and only the hot lookup rows are
-    repeated, once per salt. ``sampled`` may give a cheaper sample than one of
-    ``rows``.
+    Rows of a hot key are dealt over several tasks by a hash of ``spread`` (a
+    deterministic salt, so a retried task deals them the same way) and only the
+    hot lookup rows are repeated, once per salt. ``size`` names the column of
+    ``lookup`` that holds the exact number of ``rows`` per key; without it they
+    are counted. The hot keys stay a frame: Spark decides by its size how to join it.
     """
-    hot = hot_keys(policy.take(rows) if sampled is None else sampled, keys, policy)
-    if hot is None:
-        return rows.join(lookup, keys)
-    hot = F.broadcast(hot)  # at most max_hot constants
-    salt = F.when(F.col(_SALTS).isNotNull(), F.pmod(F.xxhash64(*spread), F.col(_SALTS))).otherwise(F.lit(0))
-    left = rows.join(hot, keys, "left").withColumn(_SALT, salt.cast("int")).drop(_SALTS)
-    right = lookup.join(hot, keys, "left").withColumn(
-        _SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1))
-    ).drop(_SALTS)
+    sizes = lookup.select(*keys, F.col(size).alias("_n")) if size else rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = hot_keys(sizes, keys, policy)
+    salts = F.coalesce(F.col(_SALTS), F.lit(1).cast("bigint"))
+    left = rows.join(hot, keys, "left").withColumn(_SALT, F.pmod(F.xxhash64(*spread), salts)).drop(_SALTS)
+    right = lookup.join(hot, keys, "left").withColumn(_SALT, F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1))).drop(_SALTS)
     return left.join(right, [*keys, _SALT]).drop(_SALT)

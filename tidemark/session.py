@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-from uuid import uuid4
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,9 +19,6 @@ DEFAULTS = {
 }
 
 
-_LOCAL_FOLDERS: dict[str, str] = {}
-
-
 def local_session(cpus: int | str = "*", *, app: str = "tidemark", memory: str = "8g", **conf: str) -> SparkSession:
     """A single-machine session for tests and benchmarks; clusters bring their own."""
     builder = (
@@ -41,31 +35,9 @@ def local_session(cpus: int | str = "*", *, app: str = "tidemark", memory: str =
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: the cluster's checkpoint directory.
-
-    Only a local session that names none falls back to a fresh local folder.
-    """
+    """Folder every executor can reach: the cluster's checkpoint directory, else the session's warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="tidemark-")
-    return _LOCAL_FOLDERS[app]
-
-
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """Write a result that several later steps read to the shared folder, and read it back.
-
-    Cuts the lineage: what follows starts from stored columns, survives lost
-    executors, and does not repeat the joins above.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/settled/{name}-{uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 _ARROW = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_()}

@@ -198,11 +198,6 @@ DERIVED = {
         " resolved_at timestamp, _run_id string",
         "source_customer_id master_customer_id resolution_rule resolved_at _run_id",
     ),
-    "identity_review_candidates": _schema(
-        "customer_id_a bigint, customer_id_b bigint, evidence string, reason_not_merged string,"
-        " detected_at timestamp, _run_id string",
-        "customer_id_a customer_id_b evidence reason_not_merged detected_at _run_id",
-    ),
     "identity_review_groups": _schema(
         "email string, birth_date date, members bigint, masters bigint, pairs decimal,"
         " detected_at timestamp, _run_id string",

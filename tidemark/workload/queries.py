@@ -21,7 +21,7 @@ from tidemark.functions.scalars import (
     valid_phone,
 )
 from tidemark.operators import digest, extract, identity, ledger, merge, parity, quality
-from tidemark.session import settle, shared_folder
+from tidemark.session import shared_folder
 from tidemark.workload.fixtures import WATERMARK, base, load
 from tidemark.workload.published import publish_orders
 
@@ -30,6 +30,7 @@ QUERIES: dict[str, Query] = {}
 
 KEY = ["o_orderkey"]
 CURSOR = "updated_at"
+ASKED = 100  # a reviewer asks about every so many'th customer
 
 
 def _shown(df: DataFrame) -> DataFrame:
@@ -75,11 +76,6 @@ def _resolved(spark, d):
     return identity.resolve(_customers(spark, d), _advances(spark, d))
 
 
-def _stored_resolution(spark, d):
-    """The resolution as a load has it: written once, for queries that read it more than once."""
-    return settle(_resolved(spark, d), "resolution")
-
-
 def _alias(spark, d):
     return identity.aliases(_resolved(spark, d))
 
@@ -239,7 +235,7 @@ def customer_alias(spark, d):
 
 @query
 def customer_master(spark, d):
-    return identity.golden_records(_stored_resolution(spark, d))
+    return identity.golden_records(_resolved(spark, d))
 
 
 @query
@@ -255,14 +251,16 @@ def review_groups(spark, d):
 
 @query
 def review_members(spark, d):
-    resolved = _stored_resolution(spark, d)
+    resolved = _resolved(spark, d)
     members = identity.review_members(resolved, identity.review_groups(resolved))
     return members.select("email", "birth_date", "customer_id", "master_customer_id")
 
 
 @query
-def review_candidates(spark, d):
-    return identity.review_candidates(_stored_resolution(spark, d))
+def review_partners(spark, d):
+    """The candidate pairs of every customer whose id is divisible by ``ASKED``."""
+    asked = _customers(spark, d).where(F.col("customer_id") % ASKED == 0)
+    return identity.review_partners(_resolved(spark, d), asked)
 
 
 @query
@@ -272,7 +270,7 @@ def cards_master(spark, d):
 
 @query
 def identity_metrics(spark, d):
-    resolved = _stored_resolution(spark, d)
+    resolved = _resolved(spark, d)
     return identity.identity_metrics(identity.aliases(resolved), identity.conflicts(resolved))
 
 
@@ -296,7 +294,7 @@ def orphan_transactions(spark, d):
 
 @query
 def orphan_cards_master(spark, d):
-    resolved = _stored_resolution(spark, d)
+    resolved = _resolved(spark, d)
     remapped = identity.remap_cards(_cards(spark, d), identity.aliases(resolved))
     return parity.orphan_count(remapped, "master_customer_id", identity.golden_records(resolved), "master_customer_id")
 
@@ -399,7 +397,7 @@ def malformed_contacts(spark, d):
 
 
 def _suite(spark, d) -> DataFrame:
-    resolved = _stored_resolution(spark, d)
+    resolved = _resolved(spark, d)
     alias = identity.aliases(resolved)
     customers, advances, cards = _customers(spark, d), _advances(spark, d), _cards(spark, d)
     wh = {
@@ -539,7 +537,7 @@ def current_watermarks(spark, d):
 
 @query
 def warehouse_counts(spark, d):
-    resolved = _stored_resolution(spark, d)
+    resolved = _resolved(spark, d)
     return ledger.table_counts(
         {
             "customers_raw": _customers(spark, d),
@@ -550,10 +548,9 @@ def warehouse_counts(spark, d):
             "customer_alias": identity.aliases(resolved),
             "customer_master": identity.golden_records(resolved),
             "identity_conflicts": identity.conflicts(resolved),
-            "identity_review_candidates": identity.review_candidates(resolved),
             "cards_master": identity.remap_cards(_cards(spark, d), identity.aliases(resolved)),
         }
-    )
+    ).unionByName(ledger.review_pair_count(identity.review_groups(resolved)))
 
 
 @query
