@@ -86,15 +86,15 @@ def story(spark, tables, tmp_path_factory):
 
 def test_initial_load_counts(story):
     first = story["first"]
-    extracted = {n: m.rows_extracted for n, m in first["summary"].tables.items()}
+    extracted = {n: m.extracted for n, m in first["summary"].synced.items()}
     assert extracted == {
         "customers": 10, "advances": 5, "cards": 5, "transactions": 700, "advance_status_history": 5,
     }
     assert first["counts"]["transactions_raw"] == 700
-    assert first["summary"].identity == {
+    assert first["summary"].identities == {
         "master_customers": 7, "aliases": 9, "proven_merges": 2, "identity_conflicts": 2,
     }
-    assert {n: m.source_keys_scanned for n, m in first["summary"].tables.items()} == {
+    assert {n: m.metrics["source_keys_scanned"] for n, m in first["summary"].synced.items()} == {
         "customers": 10, "advances": 5, "cards": 5, "transactions": 700, "advance_status_history": 0,
     }
 
@@ -126,7 +126,7 @@ def test_initial_identity(story):
 
 
 def test_initial_quality_and_metadata(story):
-    verdicts = story["first"]["summary"].quality
+    verdicts = story["first"]["summary"].verdicts
     assert len(verdicts) == 21
     assert {v.check_name: v.actual for v in verdicts if v.status == "WARN"} == {
         "protected_identity_conflicts": "1", "suggestive_match_candidates": "2",
@@ -143,8 +143,8 @@ def test_initial_quality_and_metadata(story):
 
 def test_replay_extracts_nothing(story):
     replay = story["replay"]
-    assert {m.rows_extracted for m in replay["summary"].tables.values()} == {0}
-    assert {m.rows_deleted for m in replay["summary"].tables.values()} == {0}
+    assert {m.extracted for m in replay["summary"].synced.values()} == {0}
+    assert {m.deleted for m in replay["summary"].synced.values()} == {0}
     assert replay["digest"] == story["first"]["digest"]
     # An unchanged table keeps its folders: nothing was copied.
     for spec in SPECS:
@@ -160,11 +160,11 @@ def test_failure_leaves_no_trace_but_the_run(story):
 
 def test_recovery_applies_the_change_set(story):
     recovered = story["recovered"]
-    m = recovered["summary"].tables
-    assert {n: x.rows_extracted for n, x in m.items()} == {
+    m = recovered["summary"].synced
+    assert {n: x.extracted for n, x in m.items()} == {
         "customers": 2, "advances": 1, "cards": 1, "transactions": 1, "advance_status_history": 0,
     }
-    assert {n: x.rows_deleted for n, x in m.items() if x.rows_deleted} == {"cards": 1, "transactions": 1}
+    assert {n: x.deleted for n, x in m.items() if x.deleted} == {"cards": 1, "transactions": 1}
     counts = recovered["counts"]
     assert (counts["customers_raw"], counts["customer_master"], counts["customer_alias"]) == (11, 8, 10)
     assert (counts["cards_raw"], counts["cards_master"], counts["transactions_raw"]) == (5, 4, 700)
@@ -179,10 +179,17 @@ def test_recovery_applies_the_change_set(story):
     assert phone == "+351 912 999 017"
 
 
-def test_change_rewrites_only_touched_buckets(story):
-    before = set(story["failed"]["state"].folders("transactions_raw"))
-    after = set(story["recovered"]["state"].folders("transactions_raw"))
-    assert len(before & after) == 3  # one bucket of four lost a row; the insert is a further segment
+def test_change_writes_only_the_change(story):
+    before = set(story["failed"]["state"].parts("transactions_raw"))
+    after = set(story["recovered"]["state"].parts("transactions_raw"))
+    assert before < after  # nothing is written anew
+    assert sorted((s.deletes, s.rows) for s in after - before) == [(False, 1), (True, 1)]
+
+
+def test_nothing_staged_is_left(spark, story):
+    load = story["load"]
+    for name in ("members", "resolution", "dq_results"):
+        assert not load.wh._listed(f"{load.wh.root}/data/_stage_{name}")
 
 
 def test_run_ledger(story):
@@ -235,7 +242,7 @@ def test_unchanged_inputs_may_keep_the_derived_tables(tables, story):
     thrifty = Load(load.wh, SPECS, reuse_unchanged=True)
     summary = thrifty.run(tables["after"], run_id="r6", run_at="2025-04-06T00:00:00+00:00")
     after = load.wh.state()
-    assert summary.identity == story["recovered"]["summary"].identity
+    assert summary.identities == story["recovered"]["summary"].identities
     for table in ("customer_master", "customer_alias", "cards_master", "identity_conflicts"):
         assert after.folders(table) == before.folders(table)
 

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from tidemark.operators.digest import payload_bytes
 from tidemark.operators.extract import bound_literal, cursor_text, extract, in_window, latest_per_key
-from tidemark.sources.warehouse import BUCKET, MAX_SEGMENTS, State, Warehouse, bucket_of
+from tidemark.operators.ledger import SYNC_METRICS
+from tidemark.sources.warehouse import BUCKET, State, Warehouse, bucket_of
 from tidemark.spec import LOADED_AT, RUN_ID, TableSpec
 
 _VERSIONS = "_versions"
@@ -20,15 +21,22 @@ _STALE = "_stale"
 
 
 @dataclass(frozen=True)
-class TableMetrics:
-    """What one table's sync did. Inserts and updates are not told apart: both count as upserted."""
+class Synced:
+    """What one table's sync did: its watermark, and its metrics by the names of ``ledger.SYNC_METRICS``.
 
-    rows_extracted: int
-    rows_upserted: int
-    rows_deleted: int
-    payload_bytes_estimated: int
-    source_keys_scanned: int
-    upper_bound: str
+    Inserts and updates are not told apart: both count as upserted.
+    """
+
+    watermark: str
+    metrics: Mapping[str, int]
+
+    @property
+    def extracted(self) -> int:
+        return self.metrics["rows_extracted"]
+
+    @property
+    def deleted(self) -> int:
+        return self.metrics["rows_deleted"]
 
 
 @dataclass(frozen=True)
@@ -54,7 +62,7 @@ class _Delta:
 
     folder: str
     rows: DataFrame
-    buckets: frozenset[int]
+    buckets: Mapping[int, int]  # rows stored per bucket
     versions: int
     size: int
 
@@ -79,11 +87,11 @@ def _write_delta(wh: Warehouse, spec: TableSpec, rows: DataFrame, order: list[st
     extra = [T.StructField(_VERSIONS, T.LongType()), T.StructField(_BYTES, T.LongType())]
     stored = wh.open(folder, T.StructType([*spec.target_schema.fields, *extra, T.StructField(BUCKET, T.IntegerType())]))
     # One row per bucket at most.
-    gained = stored.groupBy(BUCKET).agg(F.sum(_VERSIONS).alias("n"), F.sum(_BYTES).alias("b")).collect()
+    gained = stored.groupBy(BUCKET).agg(F.sum(_VERSIONS).alias("n"), F.sum(_BYTES).alias("b"), F.count(F.lit(1)).alias("k")).collect()
     return _Delta(
         folder,
         stored.select(*spec.target_schema.fieldNames(), BUCKET),
-        frozenset(r[BUCKET] for r in gained),
+        {r[BUCKET]: r["k"] for r in gained},
         sum(r["n"] for r in gained),
         sum(r["b"] for r in gained),
     )
@@ -125,41 +133,35 @@ def _merge(
 ) -> tuple[State, int]:
     """Put a delta into a draft; returns it with the number of stale keys among those leaving.
 
-    A bucket that only gains rows keeps its folders and takes the delta's as a
-    further segment. Buckets holding a leaving key, or too many segments, are
-    written anew without those keys.
+    Leaving keys become a segment of deleted keys, new versions a segment of
+    rows: what is written follows the change, not the table. Only buckets of
+    many segments or many deleted keys are then written as one again.
     """
-    key = list(spec.key)
-    gained = delta.buckets if delta else frozenset()
-    segments = state.segments(spec.target)
-    rewritten = {b for b in gained if segments.get(b, 0) >= MAX_SEGMENTS}
-    stale, removed = 0, None
+    level, stale, draft = state.next_level(spec.target), 0, state
     if leaving is not None:
-        removed = wh.open(wh.write(f"_stage_{spec.target}", leaving, stamp.run_id), leaving.schema)
-        lost = removed.groupBy(BUCKET).agg(F.count_if(_STALE).alias("stale")).collect()  # one row per bucket
-        rewritten |= {r[BUCKET] for r in lost}
+        folder = wh.write_buckets(spec.target, leaving, stamp.run_id)
+        kept = T.StructType([*[spec.schema[k] for k in spec.key], T.StructField(_STALE, T.BooleanType()), T.StructField(BUCKET, T.IntegerType())])
+        # One row per bucket at most.
+        lost = wh.open(folder, kept).groupBy(BUCKET).agg(F.count_if(_STALE).alias("stale"), F.count(F.lit(1)).alias("n")).collect()
         stale = sum(r["stale"] for r in lost)
+        draft = draft.with_segments(spec.target, wh.bucket_segments(spec.target, folder, {r[BUCKET]: r["n"] for r in lost}, level, True))
+    if delta:
+        draft = draft.with_segments(spec.target, wh.bucket_segments(spec.target, delta.folder, delta.buckets, level))
+    return compact(wh, draft, spec, stamp, draft.crowded(spec.target)), stale
 
-    draft = state
-    if rewritten:
-        merged = wh.read(state, spec.target, rewritten)
-        if removed is not None:
-            merged = merged.join(removed.select(*key), key, "left_anti")
-        if gained:
-            written = delta.rows.where(F.col(BUCKET).isin(*rewritten)).drop(BUCKET)
-            merged = merged.unionByName(written)
-        folder = wh.write_buckets(spec.target, merged.withColumn(BUCKET, bucket_of(spec)), stamp.run_id)
-        draft = draft.with_folders(
-            spec.target, wh.bucket_folders(folder, wh.filled_buckets(folder)), replaced=rewritten
-        )
-    if gained:
-        draft = draft.with_folders(spec.target, wh.bucket_folders(delta.folder, gained - rewritten))
-    return draft, stale
+
+def compact(wh: Warehouse, state: State, spec: TableSpec, stamp: Stamp, buckets: set[int]) -> State:
+    """A draft in which each of the buckets is one segment of rows again."""
+    if not buckets:
+        return state
+    level = state.next_level(spec.target)
+    folder = wh.write_buckets(spec.target, wh.read(state, spec.target, buckets).withColumn(BUCKET, bucket_of(spec)), stamp.run_id)
+    return state.with_segments(spec.target, wh.bucket_segments(spec.target, folder, wh.bucket_rows(folder), level), buckets)
 
 
 def sync_table(
     wh: Warehouse, state: State, spec: TableSpec, source: DataFrame, stamp: Stamp, lower: str | None = None
-) -> tuple[State, TableMetrics]:
+) -> tuple[State, Synced]:
     """Extract, upsert and reconcile one table; returns the draft that names the new folders.
 
     ``lower`` is the stored watermark, None for a first load. An unchanged
@@ -177,37 +179,36 @@ def sync_table(
         extracted = extract(source, spec.columns, spec.cursor, floor, upper)
         delta = _write_delta(wh, spec, extracted, [spec.cursor], stamp)
     leaving = None
-    if state.segments(spec.target) and (spec.reconcile or (delta and delta.buckets)):
+    if state.parts(spec.target) and (spec.reconcile or (delta and delta.buckets)):
         leaving = _removed_keys(wh, state, spec, source, delta, floor, upper)
     draft, stale = _merge(wh, state, spec, delta, leaving, stamp)
 
     versions, size = (delta.versions, delta.size) if delta else (0, 0)
-    return draft, TableMetrics(versions, versions, stale, size, rows if spec.reconcile else 0, upper)
+    counted = (versions, versions, stale, size, rows if spec.reconcile else 0)
+    return draft, Synced(upper, dict(zip(SYNC_METRICS, counted)))
 
 
-def apply_named_changes(
+def change_tables(
     wh: Warehouse,
-    name: str,
+    state: State,
     feeds: Mapping[str, DataFrame],
     specs: tuple[TableSpec, ...],
     stamp: Stamp,
+    order: tuple[str, ...],
     op: str = "op",
-    order: tuple[str, ...] = (),
-) -> bool:
-    """Apply change feeds to several stored tables together, once; False when ``name`` was applied before.
+) -> State:
+    """A draft with change feeds applied to several stored tables.
 
     A feed holds the table's columns and ``op``: insert (I), update (U) or
-    delete (D). The last change of a key in ``order`` decides.
+    delete (D). The last change of a key in ``order`` decides; its remaining
+    columns settle ties.
     """
-    state = wh.state()
-    if not wh.read(state, "applied_change_sets").where(F.col("change_set") == name).isEmpty():
-        return False
     draft = state
     for spec in specs:
         if spec.source not in feeds:
             continue
         key = list(spec.key)
-        changes = latest_per_key(feeds[spec.source], key, list(order)) if order else feeds[spec.source]
+        changes = latest_per_key(feeds[spec.source], key, list(order))
         written = changes.where(F.col(op).isin("I", "U")).select(*spec.columns)
         delta = _write_delta(wh, spec, written, [spec.cursor], stamp)
         leaving = (
@@ -217,8 +218,4 @@ def apply_named_changes(
             .withColumn(BUCKET, bucket_of(spec))
         )
         draft, _ = _merge(wh, draft, spec, delta, leaving, stamp)
-    applied = wh.spark.range(1).select(
-        F.lit(name).alias("change_set"), stamp.time().alias("applied_at"), F.lit(stamp.run_id).alias("run_id")
-    )
-    wh.publish(wh.append(draft, "applied_change_sets", applied, stamp.run_id))
-    return True
+    return draft

@@ -23,8 +23,8 @@ class TableSpec:
 
     ``key`` may be composite. ``reconcile`` switches hard-delete detection on;
     an append-only table leaves it off and never pays for a key scan.
-    ``buckets`` is the number of hash buckets of the stored copy: a run
-    rewrites only the buckets that hold a changed or deleted key.
+    ``buckets`` is the number of hash buckets of the stored copy, each put
+    together on its own when it has gathered too many changes.
     ``unique_at_source`` says that the source itself enforces the key: an
     extract is then not reduced to one row per key, which saves a shuffle of
     the first load. A broken promise shows up in the uniqueness check.
@@ -124,6 +124,7 @@ CUSTOMERS = TableSpec(
     ),
     reconcile=True,
     strategy=UPSERT,
+    unique_at_source=True,
 )
 ADVANCES = TableSpec(
     source="advances",
@@ -137,6 +138,7 @@ ADVANCES = TableSpec(
     ),
     reconcile=True,
     strategy=UPSERT,
+    unique_at_source=True,
 )
 CARDS = TableSpec(
     source="cards",
@@ -150,6 +152,7 @@ CARDS = TableSpec(
     ),
     reconcile=True,
     strategy=UPSERT,
+    unique_at_source=True,
 )
 TRANSACTIONS = TableSpec(
     source="transactions",
@@ -163,6 +166,7 @@ TRANSACTIONS = TableSpec(
     ),
     reconcile=True,
     strategy=APPEND_OPTIMIZED,
+    unique_at_source=True,
 )
 HISTORY = TableSpec(
     source="advance_status_history",
@@ -175,6 +179,7 @@ HISTORY = TableSpec(
     ),
     reconcile=False,
     strategy=APPEND_ONLY,
+    unique_at_source=True,
 )
 
 # Load order.
