@@ -104,5 +104,5 @@ def feeds(spark: SparkSession) -> dict[str, DataFrame]:
 def changed(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The source after the change feeds."""
     specs = {s.source: s for s in (CUSTOMERS, ADVANCES, CARDS, TRANSACTIONS)}
-    after = {n: apply_change_set(tables[n], feed, list(specs[n].key)) for n, feed in feeds(spark).items()}
+    after = {n: apply_change_set(tables[n], feed, list(specs[n].key), [specs[n].cursor]) for n, feed in feeds(spark).items()}
     return {**tables, **after}

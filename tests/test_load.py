@@ -127,7 +127,7 @@ def test_initial_identity(story):
 
 def test_initial_quality_and_metadata(story):
     verdicts = story["first"]["summary"].verdicts
-    assert len(verdicts) == 21
+    assert len(verdicts) == 32  # the 21 of a load, null keys and constraints of five tables, one sequence
     assert {v.check_name: v.actual for v in verdicts if v.status == "WARN"} == {
         "protected_identity_conflicts": "1", "suggestive_match_candidates": "2",
         "malformed_email_count": "3", "malformed_phone_count": "2",
@@ -199,7 +199,7 @@ def test_run_ledger(story):
         "r1": "SUCCESS", "r2": "SUCCESS", "r3": "FAILED", "r4": "SUCCESS",
     }
     assert runs["r3"].error_message == "stopped after customers"
-    assert {r.status: r.n for r in load.inspect()["quality"].collect()} == {"PASS": 17, "WARN": 4}
+    assert {r.status: r.n for r in load.inspect()["quality"].collect()} == {"PASS": 28, "WARN": 4}
 
 
 def test_incremental_state_equals_a_fresh_load(spark, tables, story, tmp_path):
@@ -221,7 +221,7 @@ def test_gate_keeps_evidence_and_blocks_publish(spark, tables, story):
     assert failed[0].details == "missing_sample=['7']; stale_sample=[]"
     assert load.digest() == before
     kept = load.table("dq_results").where("run_id = 'r5'")
-    assert kept.count() == 21
+    assert kept.count() == 32
     assert load.table("pipeline_metrics").where("run_id = 'r5'").count() == 0
 
 
@@ -252,7 +252,7 @@ def test_corruption_of_the_copy_is_detected(spark, tables, story):
     copy = story["load"].table("transactions_raw")
     victim = copy.agg(F.min("transaction_id")).first()[0]
     rows = quality.key_checks(TRANSACTIONS, tables["after"]["transactions"], copy.where(F.col("transaction_id") != victim))
-    parity, unique = sorted(rows.collect(), key=lambda r: r.check_name)
+    _, parity, unique = sorted(rows.collect(), key=lambda r: r.check_name)
     assert (parity.status, unique.status) == ("FAIL", "PASS")
     assert parity.actual == "699 warehouse keys; 1 missing; 0 stale"
     assert parity.details == f"missing_sample=['{victim}']; stale_sample=[]"

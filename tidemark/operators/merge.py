@@ -56,15 +56,13 @@ def append_sequence(target: DataFrame, delta: DataFrame, key: str, lower: Any) -
     return target.where(~above).unionByName(replaced).unionByName(delta)
 
 
-def apply_change_set(
-    target: DataFrame, changes: DataFrame, key: list[str], op: str = "op", order: list[str] | None = None
-) -> DataFrame:
+def apply_change_set(target: DataFrame, changes: DataFrame, key: list[str], order: list[str], op: str = "op") -> DataFrame:
     """Target after a feed of inserts (I), updates (U) and deletes (D).
 
-    The last change of a key in ``order`` decides; its earlier ones are
-    superseded. Applying the same feed twice gives the same table.
+    The last change of a key in ``order`` decides, its remaining columns settle
+    ties, and its earlier ones are superseded: one change per key is left.
+    Applying the same feed twice gives the same table.
     """
-    if order:
-        changes = latest_per_key(changes, key, order)
+    changes = latest_per_key(changes, key, order)
     written = changes.where(F.col(op).isin("I", "U")).select(*target.columns)
     return target.join(changes.select(*key), key, "left_anti").unionByName(written)

@@ -18,22 +18,18 @@ from tidemark.operators.parity import (
     sample_text,
     side_by_side,
 )
-from tidemark.spec import ADVANCE_STATUSES, TABLES, TableSpec
+from tidemark.spec import ADVANCE_STATUSES, PROTECTING_STATUSES, TABLES, TableSpec
 
 PASS, WARN, FAIL = "PASS", "WARN", "FAIL"
 VERDICT = ["check_name", "dataset", "dimension", "status", "expected", "actual", "details"]
 
-# Notes attached to the verdicts.
+# Names, expectations and notes of the verdicts, here and where they are made.
+CONTACT_EXPECTED = "tracked, not silently fixed"
 CONFLICT_NOTE = "conflicts are quarantined, never auto-merged"
 CANDIDATE_NOTE = "suggestive evidence is deliberately not auto-merged"
 CONTACT_NOTE = "raw value preserved; validity flag is exposed in master"
 
 
-# Sequence numbers per range of an order check: never fewer than MIN_CHUNK, nor more than MAX_RANGES ranges.
-MIN_CHUNK = 1_000_000
-MAX_RANGES = 100_000
-
-
 class QualityGateError(RuntimeError):
     """At least one blocking check failed; ``results`` holds every verdict."""
 
@@ -71,7 +67,7 @@ def _count(df: DataFrame, name: str) -> DataFrame:
 
 
 def key_checks(spec: TableSpec, source: DataFrame, target: DataFrame) -> DataFrame:
-    """Key parity against the source and primary-key uniqueness, from one key comparison."""
+    """Key parity against the source, primary-key uniqueness and null keys, from one key comparison."""
     key = list(spec.key)
     difference = key_difference(source.select(*key), target.select(*key), key)
     audit = side_by_side(key_audit(difference, key), sample_text(difference_sample(difference, key)))
@@ -88,6 +84,10 @@ def key_checks(spec: TableSpec, source: DataFrame, target: DataFrame) -> DataFra
             "unique_primary_key", spec.target, "uniqueness", F.col("duplicates") != 0, FAIL,
             "0 duplicates", F.format_string("%d duplicates", "duplicates"),
         ),
+        _verdict(
+            "null_key", spec.target, "completeness", F.col("null_keys") != 0, FAIL,
+            "0 null keys", F.format_string("%d null keys", "null_keys"),
+        ),
     )
 
 
@@ -105,26 +105,93 @@ def null_keys(df: DataFrame, key: list[str]) -> DataFrame:
 # --- relationships and identity -------------------------------------------------------------
 
 
+def _orphan_verdict(name: str, child: str, orphans: str = "orphans") -> Column:
+    return _verdict(
+        name, child, "consistency", F.col(orphans) != 0, FAIL, "0 orphans", F.format_string("%d orphans", orphans)
+    )
+
+
 def relationship_checks(wh: Mapping[str, DataFrame]) -> DataFrame:
+    """The relations beside those of the customers, which :func:`customer_facts` counts."""
     relations = (
-        ("cards_have_customer", "cards_raw", "customer_id", "customers_raw", "customer_id"),
-        ("advances_have_customer", "advances_raw", "customer_id", "customers_raw", "customer_id"),
         ("transactions_have_advance", "transactions_raw", "advance_id", "advances_raw", "advance_id"),
         ("cards_have_master", "cards_master", "master_customer_id", "customer_master", "master_customer_id"),
     )
     parts = [
-        _verdicts(
-            orphan_count(wh[child], fk, wh[parent], pk),
-            _verdict(
-                name, child, "consistency", F.col("orphans") != 0, FAIL,
-                "0 orphans", F.format_string("%d orphans", "orphans"),
-            ),
-        )
+        _verdicts(orphan_count(wh[child], fk, wh[parent], pk), _orphan_verdict(name, child))
         for name, child, fk, parent, pk in relations
-    ]
+    ]
     return reduce(DataFrame.unionByName, parts)
 
 
+def customer_facts(wh: Mapping[str, DataFrame]) -> DataFrame:
+    """One row with all that is counted per customer, from one scan each of customers, cards, advances and aliases.
+
+    Everything known of a customer id meets in one grouped count, reduced in
+    every map task, so an id with any number of rows crosses it as one row per task.
+    """
+    kinds = {"parent": "boolean", "test": "boolean", "protected": "boolean", "moved": "boolean"}
+    kinds |= dict.fromkeys(("people", "cards", "advances", "aliases", "emails", "phones"), "bigint")
+
+    def known(df: DataFrame, key: str, **facts: Column) -> DataFrame:
+        plain = {n: F.lit(False) if k == "boolean" else F.lit(0) for n, k in kinds.items()}
+        return df.select(F.col(key).alias("_id"), *[c.cast(kinds[n]).alias(n) for n, c in (plain | facts).items()])
+
+    person = ~F.col("is_test")
+    rows = [
+        known(
+            wh["customers_raw"], "customer_id", parent=F.lit(True), test=F.col("is_test"), people=person,
+            emails=person & ~valid_email("email"), phones=person & ~valid_phone("phone"),
+        ),
+        known(wh["cards_raw"], "customer_id", cards=F.lit(1)),
+        known(wh["advances_raw"], "customer_id", advances=F.lit(1), protected=F.col("status").isin(*PROTECTING_STATUSES)),
+        known(
+            wh["customer_alias"], "source_customer_id", aliases=F.lit(1),
+            moved=F.col("master_customer_id") != F.col("source_customer_id"),
+        ),
+    ]
+    grouped = reduce(DataFrame.unionByName, rows).groupBy("_id").agg(
+        *[(F.bool_or(n) if k == "boolean" else F.sum(n)).alias(n) for n, k in kinds.items()]
+    )
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    lost = ~F.col("parent") | F.col("_id").isNull()
+    return grouped.agg(
+        total(F.when(lost, F.col("cards"))).alias("orphan_cards"),
+        total(F.when(lost, F.col("advances"))).alias("orphan_advances"),
+        total("people").alias("customers"),
+        total("aliases").alias("aliases"),
+        total(F.when(F.col("test"), F.col("aliases"))).alias("leaked"),
+        F.count_if(F.col("protected") & F.col("moved")).alias("remapped"),
+        total("emails").alias("bad_emails"),
+        total("phones").alias("bad_phones"),
+    )
+
+
+def customer_checks(wh: Mapping[str, DataFrame]) -> DataFrame:
+    """The verdicts on :func:`customer_facts`."""
+    return _verdicts(
+        customer_facts(wh),
+        _orphan_verdict("cards_have_customer", "cards_raw", "orphan_cards"),
+        _orphan_verdict("advances_have_customer", "advances_raw", "orphan_advances"),
+        _verdict(
+            "alias_coverage", "customer_alias", "completeness", F.col("aliases") != F.col("customers"), FAIL,
+            F.col("customers"), F.col("aliases"),
+        ),
+        _verdict("test_data_excluded", "customer_master", "validity", F.col("leaked") != 0, FAIL, "0", F.col("leaked")),
+        _verdict(
+            "protected_customer_survives", "customer_master", "business_rule", F.col("remapped") != 0, FAIL,
+            "0 protected customers remapped", F.format_string("%d remapped", "remapped"),
+        ),
+        *[
+            _verdict(
+                f"malformed_{kind}_count", "customers_raw", "validity", F.col(f"bad_{kind}s") > 0, WARN,
+                CONTACT_EXPECTED, F.col(f"bad_{kind}s"), CONTACT_NOTE,
+            )
+            for kind in ("email", "phone")
+        ],
+    )
+
+
 def coverage(customers: DataFrame, alias: DataFrame) -> DataFrame:
     """One row ``customers, aliases``: non-test customers and rows of the alias map."""
     return side_by_side(_count(customers.where(~F.col("is_test")), "customers"), _count(alias, "aliases"))
@@ -149,29 +216,9 @@ def candidate_pairs(groups: DataFrame) -> DataFrame:
 
 
 def identity_checks(wh: Mapping[str, DataFrame]) -> DataFrame:
-    customers, advances, alias = wh["customers_raw"], wh["advances_raw"], wh["customer_alias"]
+    """What the resolution left to people: quarantined groups and suggested pairs."""
     conflict_keys = wh["identity_conflicts"].agg(F.count_distinct("conflict_key").alias("conflicts"))
     parts = [
-        _verdicts(
-            coverage(customers, alias),
-            _verdict(
-                "alias_coverage", "customer_alias", "completeness", F.col("aliases") != F.col("customers"), FAIL,
-                F.col("customers"), F.col("aliases"),
-            ),
-        ),
-        _verdicts(
-            leaked_test_customers(customers, alias),
-            _verdict(
-                "test_data_excluded", "customer_master", "validity", F.col("leaked") != 0, FAIL, "0", F.col("leaked")
-            ),
-        ),
-        _verdicts(
-            remapped_protected(advances, alias),
-            _verdict(
-                "protected_customer_survives", "customer_master", "business_rule", F.col("remapped") != 0, FAIL,
-                "0 protected customers remapped", F.format_string("%d remapped", "remapped"),
-            ),
-        ),
         _verdicts(
             conflict_keys,
             _verdict(
@@ -197,29 +244,46 @@ def malformed_contacts(customers: DataFrame) -> DataFrame:
     )
 
 
-def contact_checks(customers: DataFrame) -> DataFrame:
-    expected = "tracked, not silently fixed"
+# --- the suite ------------------------------------------------------------------------------
+
+
+def sequence_check(spec: TableSpec, target: DataFrame, parent: str = "advance_id", value: str = "changed_at") -> DataFrame:
+    """Whether times run backwards along the sequence of an append-only table; observed, not blocking."""
     return _verdicts(
-        malformed_contacts(customers),
-        *[
-            _verdict(
-                f"malformed_{kind}_count", "customers_raw", "validity", F.col(f"bad_{kind}s") > 0, WARN,
-                expected, F.col(f"bad_{kind}s"), CONTACT_NOTE,
-            )
-            for kind in ("email", "phone")
-        ],
+        order_breaks(target, parent, spec.cursor, value),
+        _verdict(
+            "monotonic_sequence", spec.target, "consistency", F.col("decreases") > 0, WARN,
+            "0 decreases", F.format_string("%d decreases", "decreases"),
+        ),
     )
 
 
-# --- the suite ------------------------------------------------------------------------------
+def constraint_check(spec: TableSpec, target: DataFrame) -> DataFrame:
+    """The constraints of one source table as one verdict, with the broken ones in its details."""
+    found = constraint_violations(target, spec.target, *source_rules(spec, target.columns))
+    broken = F.when(F.col("violations") > 0, F.format_string("%s=%d", "rule", "violations"))
+    one = found.agg(F.coalesce(F.sum("violations"), F.lit(0)).alias("violations"), F.array_sort(F.collect_list(broken)).alias("broken"))
+    return _verdicts(
+        one,
+        _verdict(
+            "source_constraints", spec.target, "validity", F.col("violations") > 0, FAIL,
+            "0 violations", F.format_string("%d violations", "violations"), F.array_join("broken", "; "),
+        ),
+    )
 
 
 def quality_suite(
     sources: Mapping[str, DataFrame], wh: Mapping[str, DataFrame], specs: tuple[TableSpec, ...] = TABLES
 ) -> DataFrame:
-    """All blocking and observing checks as one plan: one row per check, one action for the caller."""
+    """All blocking and observing checks as one plan: one row per check, one action for the caller.
+
+    The 21 checks of a load, and for every table its null keys and source
+    constraints, for append-only tables the order of their sequence.
+    """
     parts = [key_checks(spec, sources[spec.source], wh[spec.target]) for spec in specs]
-    parts += [relationship_checks(wh), identity_checks(wh), contact_checks(wh["customers_raw"])]
+    parts += [constraint_check(spec, wh[spec.target]) for spec in specs]
+    parts += [sequence_check(spec, wh[spec.target]) for spec in specs if spec.cursor_is_key]
+    parts += [customer_checks(wh), relationship_checks(wh), identity_checks(wh)]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -251,30 +315,30 @@ def status_summary(results: DataFrame) -> DataFrame:
 # --- source contract ------------------------------------------------------------------------
 
 
-def order_breaks(rows: DataFrame, parent: str, sequence: str, value: str, chunk: int | None = None) -> DataFrame:
+def order_breaks(rows: DataFrame, parent: str, sequence: str, value: str) -> DataFrame:
     """One row ``decreases``: rows whose value is below that of the row before them in the same parent.
 
-    A parent is worked through in ranges of ``chunk`` sequence numbers, each a
-    separate group, and the ranges are stitched by their first and last value.
-    No task ever sorts a whole parent: the default chunk gives at most
-    ``MAX_RANGES`` ranges, whatever the spread of the numbers.
+    Rows are in order of sequence and then value, nulls first; a null compares
+    with nothing. Rows of one number are one step, reduced in every map task.
+    The steps are dealt out in ranges of parent and sequence that Spark balances
+    by their rows, so neither a hot parent nor an outlier makes a large range.
+    Ranges are worked through on their own and stitched by their first and last value.
     """
-    if chunk is None:
-        low, high = rows.agg(F.min(sequence), F.max(sequence)).first()
-        chunk = MIN_CHUNK if low is None else max(MIN_CHUNK, (high - low) // MAX_RANGES + 1)
-    start = F.col(sequence) - F.pmod(F.col(sequence), F.lit(chunk).cast("bigint"))
-    ranged = rows.select(parent, sequence, value, start.alias("_range"))
+    steps = rows.groupBy(parent, sequence).agg(
+        F.when(F.count(value) == F.count(F.lit(1)), F.min(value)).alias("_first"), F.max(value).alias("_last")
+    )
+    ranged = steps.repartitionByRange(parent, sequence).withColumn("_range", F.spark_partition_id())
     inside = Window.partitionBy(parent, "_range").orderBy(sequence)
     edges = (
-        ranged.withColumn("_before", F.lag(value).over(inside))
+        ranged.withColumn("_before", F.lag("_last").over(inside))
         .groupBy(parent, "_range")
         .agg(
-            F.count_if(F.col(value) < F.col("_before")).alias("_inside"),
-            F.min_by(value, sequence).alias("_first"),
-            F.max_by(value, sequence).alias("_last"),
+            F.count_if(F.col("_first") < F.col("_before")).alias("_inside"),
+            F.min(F.struct(sequence, "_first"))["_first"].alias("_first"),
+            F.max(F.struct(sequence, "_last"))["_last"].alias("_last"),
         )
     )
-    across = Window.partitionBy(parent).orderBy("_range")
+    across = Window.partitionBy(parent).orderBy("_range")  # one row per range
     stitched = edges.withColumn("_before", F.lag("_last").over(across))
     broken = F.col("_inside") + F.when(F.col("_first") < F.col("_before"), F.lit(1)).otherwise(F.lit(0))
     return stitched.agg(F.coalesce(F.sum(broken), F.lit(0)).cast("bigint").alias("decreases"))
@@ -286,7 +350,6 @@ def monotonic_sequence(incoming: DataFrame, lower: int, parent: str, sequence: s
     return side_by_side(replayed, order_breaks(incoming, parent, sequence, value))
 
 
-
 # Rules the source declares for itself, as predicates that must hold.
 
 
@@ -306,6 +369,17 @@ def card_rules() -> dict[str, Column]:
     }
 
 
+def source_rules(spec: TableSpec, columns: list[str]) -> tuple[dict[str, Column], tuple[str, ...]]:
+    """What the source declares about a table, for the columns there are: rules a row must meet, and unique columns."""
+    required = {
+        f"{f.name}_not_null": F.col(f.name).isNotNull()
+        for f in spec.schema.fields
+        if not f.nullable and f.name not in spec.key and f.name in columns
+    }
+    own = {"advances": advance_rules, "cards": card_rules}.get(spec.source, dict)()
+    return required | own, ("token",) if spec.source == "cards" else ()
+
+
 def constraint_violations(df: DataFrame, dataset: str, rules: dict[str, Column], unique: tuple[str, ...] = ()) -> DataFrame:
     """One row per rule: ``dataset, rule, violations``; a rule that is not true counts, NULL included.
 

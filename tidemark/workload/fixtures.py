@@ -112,6 +112,20 @@ FIXTURES = {
             "updated_at": "l_shipdate",
         },
     ),
+    # The stored copy of the transactions: up to a date, and with the top discount under keys the source lacks.
+    "fx_stored_transactions": Fixture(
+        "lineitem",
+        {
+            "transaction_id": """CASE WHEN l_discount > 0.095 THEN -1 - (l_orderkey * 10 + l_linenumber)
+                ELSE l_orderkey * 10 + l_linenumber END""",
+            "advance_id": "CASE WHEN l_returnflag = 'R' AND l_discount > 0.095 THEN -1 - l_orderkey ELSE l_orderkey END",
+            "transaction_type": "CASE WHEN l_returnflag = 'R' THEN 'repayment' ELSE 'disbursement' END",
+            "amount_cents": "CAST(ROUND(l_extendedprice * 100) AS BIGINT)",
+            "occurred_at": "l_shipdate",
+            "updated_at": "l_shipdate",
+        },
+        where="l_shipdate <= DATE '1998-06-01'",
+    ),
     "fx_history": Fixture(
         "events",
         {"history_id": "event_id", "advance_id": "user_id", "status": "event_type", "changed_at": "ts"},

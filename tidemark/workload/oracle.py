@@ -6,6 +6,51 @@ from tidemark.workload.fixtures import WATERMARK, ctes
 
 _W = f"DATE '{WATERMARK}'"
 
+
+def _keys(dataset: str, source: str, target: str, key: str) -> list[str]:
+    missing = f"(SELECT {key} AS k FROM {source} EXCEPT SELECT {key} FROM {target})"
+    stale = f"(SELECT {key} AS k FROM {target} EXCEPT SELECT {key} FROM {source})"
+
+    def listed(keys: str) -> str:
+        first = f"(SELECT CAST(k AS VARCHAR) AS t FROM {keys} x ORDER BY t LIMIT 5)"
+        return f"'[' || coalesce((SELECT string_agg('''' || t || '''', ', ' ORDER BY t) FROM {first} y), '') || ']'"
+
+    return [
+        f"""SELECT 'source_key_parity' AS check_name, '{dataset}' AS dataset, 'completeness' AS dimension,
+            CASE WHEN m + s > 0 THEN 'FAIL' ELSE 'PASS' END AS status,
+            (SELECT count(DISTINCT {key}) FROM {source}) || ' source keys; 0 missing; 0 stale' AS expected,
+            (SELECT count(DISTINCT {key}) FROM {target}) || ' warehouse keys; ' || m || ' missing; ' || s || ' stale' AS actual,
+            'missing_sample=' || {listed(missing)} || '; stale_sample=' || {listed(stale)} AS details
+            FROM (SELECT (SELECT count(*) FROM {missing} a) AS m, (SELECT count(*) FROM {stale} b) AS s)""",
+        f"""SELECT 'unique_primary_key', '{dataset}', 'uniqueness', CASE WHEN d = 0 THEN 'PASS' ELSE 'FAIL' END,
+            '0 duplicates', d || ' duplicates', '' FROM (SELECT count(*) - count(DISTINCT {key}) AS d FROM {target})""",
+        f"""SELECT 'null_key', '{dataset}', 'completeness', CASE WHEN d = 0 THEN 'PASS' ELSE 'FAIL' END,
+            '0 null keys', d || ' null keys', '' FROM (SELECT count(*) FILTER (WHERE {key} IS NULL) AS d FROM {target})""",
+    ]
+
+
+def _nulls(columns: str) -> dict[str, str]:
+    return {f"{c}_not_null": f"count(*) FILTER (WHERE {c} IS NULL)" for c in columns.split()}
+
+
+def _constraints(dataset: str, table: str, rules: dict[str, str]) -> str:
+    counted = ", ".join(f"{count} AS {rule}" for rule, count in rules.items())
+    broken = ", ".join(f"CASE WHEN {r} > 0 THEN '{r}=' || {r} END" for r in sorted(rules))
+    return f"""SELECT 'source_constraints', '{dataset}', 'validity', CASE WHEN {" + ".join(rules)} > 0 THEN 'FAIL' ELSE 'PASS' END,
+        '0 violations', ({" + ".join(rules)}) || ' violations', concat_ws('; ', {broken}) FROM (SELECT {counted} FROM {table})"""
+
+
+def _orphans(check: str, dataset: str, counted: str) -> str:
+    return f"""SELECT '{check}', '{dataset}', 'consistency', CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END,
+        '0 orphans', n || ' orphans', '' FROM {counted}"""
+
+
+def _contacts(check: str, sound: str) -> str:
+    return f"""SELECT '{check}', 'customers_raw', 'validity', CASE WHEN n > 0 THEN 'WARN' ELSE 'PASS' END,
+        'tracked, not silently fixed', CAST(n AS VARCHAR), 'raw value preserved; validity flag is exposed in master'
+        FROM (SELECT count(*) AS n FROM contacts WHERE NOT {sound})"""
+
+
 # --- reusable common table expressions, each naming what it builds on -------------------------
 
 _PARTS: dict[str, tuple[tuple[str, ...], str]] = {
@@ -142,58 +187,59 @@ _PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         """SELECT count(*) AS n FROM protected p JOIN resolved r ON r.customer_id = p.customer_id
            WHERE r.master_id <> p.customer_id""",
     ),
+    "orphans_stored": (
+        ("fx_stored_transactions", "fx_advances"),
+        """SELECT count(*) AS n FROM fx_stored_transactions t LEFT JOIN fx_advances p ON p.advance_id = t.advance_id
+           WHERE p.advance_id IS NULL""",
+    ),
+    "backwards": (
+        ("fx_history",),
+        """SELECT count(*) AS n FROM (SELECT changed_at, lag(changed_at) OVER (PARTITION BY advance_id
+               ORDER BY history_id, changed_at) AS before FROM fx_history) WHERE changed_at < before""",
+    ),
     "verdicts": (
-        ("missing", "stale", "samples", "fx_src_orders", "fx_tgt_orders", "fx_history", "orphans_cards",
-         "orphans_advances", "orphans_transactions", "orphans_cards_master", "resolved", "fx_customers", "leaked",
-         "moved", "pairs", "contacts"),
-        """SELECT 'source_key_parity' AS check_name, 'orders_raw' AS dataset, 'completeness' AS dimension,
-               CASE WHEN m.n + s.n > 0 THEN 'FAIL' ELSE 'PASS' END AS status,
-               (SELECT count(DISTINCT o_orderkey) FROM fx_src_orders) || ' source keys; 0 missing; 0 stale' AS expected,
-               (SELECT count(DISTINCT o_orderkey) FROM fx_tgt_orders) || ' warehouse keys; ' || m.n || ' missing; '
-                   || s.n || ' stale' AS actual,
-               'missing_sample=[' || coalesce((SELECT string_agg('''' || key_text || '''', ', ' ORDER BY key_text)
-                   FROM samples WHERE side = 'missing' AND rn <= 5), '') || ']; stale_sample=['
-                   || coalesce((SELECT string_agg('''' || key_text || '''', ', ' ORDER BY key_text)
-                   FROM samples WHERE side = 'stale' AND rn <= 5), '') || ']' AS details
-           FROM (SELECT count(*) AS n FROM missing) m, (SELECT count(*) AS n FROM stale) s
-           UNION ALL SELECT 'unique_primary_key', 'orders_raw', 'uniqueness', CASE WHEN d = 0 THEN 'PASS' ELSE 'FAIL' END,
-               '0 duplicates', d || ' duplicates', '' FROM (SELECT count(*) - count(DISTINCT o_orderkey) AS d FROM fx_tgt_orders)
-           UNION ALL SELECT 'source_key_parity', 'advance_status_history_raw', 'completeness', 'PASS',
-               n || ' source keys; 0 missing; 0 stale', n || ' warehouse keys; 0 missing; 0 stale',
-               'missing_sample=[]; stale_sample=[]' FROM (SELECT count(DISTINCT history_id) AS n FROM fx_history)
-           UNION ALL SELECT 'unique_primary_key', 'advance_status_history_raw', 'uniqueness',
-               CASE WHEN d = 0 THEN 'PASS' ELSE 'FAIL' END, '0 duplicates', d || ' duplicates', ''
-               FROM (SELECT count(*) - count(DISTINCT history_id) AS d FROM fx_history)
-           UNION ALL SELECT 'cards_have_customer', 'cards_raw', 'consistency', CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END,
-               '0 orphans', n || ' orphans', '' FROM orphans_cards
-           UNION ALL SELECT 'advances_have_customer', 'advances_raw', 'consistency',
-               CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END, '0 orphans', n || ' orphans', '' FROM orphans_advances
-           UNION ALL SELECT 'transactions_have_advance', 'transactions_raw', 'consistency',
-               CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END, '0 orphans', n || ' orphans', '' FROM orphans_transactions
-           UNION ALL SELECT 'cards_have_master', 'cards_master', 'consistency', CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END,
-               '0 orphans', n || ' orphans', '' FROM orphans_cards_master
-           UNION ALL SELECT 'alias_coverage', 'customer_alias', 'completeness', CASE WHEN a = c THEN 'PASS' ELSE 'FAIL' END,
-               CAST(c AS VARCHAR), CAST(a AS VARCHAR), '' FROM (SELECT (SELECT count(*) FROM resolved) AS a,
-                   (SELECT count(*) FROM fx_customers WHERE NOT is_test) AS c)
-           UNION ALL SELECT 'test_data_excluded', 'customer_master', 'validity', CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END,
-               '0', CAST(n AS VARCHAR), '' FROM leaked
-           UNION ALL SELECT 'protected_customer_survives', 'customer_master', 'business_rule',
-               CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END, '0 protected customers remapped', n || ' remapped', '' FROM moved
-           UNION ALL SELECT 'protected_identity_conflicts', 'identity_conflicts', 'business_rule',
-               CASE WHEN n > 0 THEN 'WARN' ELSE 'PASS' END, '0 preferred', CAST(n AS VARCHAR),
-               'conflicts are quarantined, never auto-merged'
-               FROM (SELECT count(DISTINCT proof_key) AS n FROM resolved WHERE rule = 'protected_conflict' AND is_protected)
-           UNION ALL SELECT 'suggestive_match_candidates', 'identity_review_candidates', 'observability',
-               CASE WHEN n > 0 THEN 'WARN' ELSE 'PASS' END, 'review only', CAST(n AS VARCHAR),
-               'suggestive evidence is deliberately not auto-merged' FROM (SELECT count(*) AS n FROM pairs)
-           UNION ALL SELECT 'malformed_email_count', 'customers_raw', 'validity',
-               CASE WHEN n > 0 THEN 'WARN' ELSE 'PASS' END, 'tracked, not silently fixed', CAST(n AS VARCHAR),
-               'raw value preserved; validity flag is exposed in master'
-               FROM (SELECT count(*) AS n FROM contacts WHERE NOT ok_email)
-           UNION ALL SELECT 'malformed_phone_count', 'customers_raw', 'validity',
-               CASE WHEN n > 0 THEN 'WARN' ELSE 'PASS' END, 'tracked, not silently fixed', CAST(n AS VARCHAR),
-               'raw value preserved; validity flag is exposed in master'
-               FROM (SELECT count(*) AS n FROM contacts WHERE NOT ok_phone)""",
+        ("fx_customers", "fx_advances", "fx_cards", "fx_transactions", "fx_stored_transactions", "fx_history",
+         "orphans_cards", "orphans_advances", "orphans_stored", "orphans_cards_master", "resolved", "leaked",
+         "moved", "pairs", "contacts", "backwards"),
+        " UNION ALL ".join([
+            *_keys("customers_raw", "fx_customers", "fx_customers", "customer_id"),
+            *_keys("advances_raw", "fx_advances", "fx_advances", "advance_id"),
+            *_keys("cards_raw", "fx_cards", "fx_cards", "card_id"),
+            *_keys("transactions_raw", "fx_transactions", "fx_stored_transactions", "transaction_id"),
+            *_keys("advance_status_history_raw", "fx_history", "fx_history", "history_id"),
+            _constraints("customers_raw", "fx_customers", _nulls("first_name last_name is_test created_at updated_at")),
+            _constraints("advances_raw", "fx_advances", _nulls("customer_id status amount_cents created_at updated_at") | {
+                "status_in_enum": "count(*) FILTER (WHERE (status IN ('requested', 'funded', 'paid_off', 'cancelled')) IS NOT TRUE)",
+                "amount_not_negative": "count(*) FILTER (WHERE (amount_cents >= 0) IS NOT TRUE)"}),
+            _constraints("cards_raw", "fx_cards", _nulls("customer_id token last_four status") | {
+                "last_four_length": "count(*) FILTER (WHERE (length(last_four) = 4) IS NOT TRUE)",
+                "token_unique": "count(token) - count(DISTINCT token)"}),
+            _constraints("transactions_raw", "fx_stored_transactions",
+                _nulls("advance_id transaction_type amount_cents occurred_at updated_at")),
+            _constraints("advance_status_history_raw", "fx_history", _nulls("advance_id status changed_at")),
+            """SELECT 'monotonic_sequence', 'advance_status_history_raw', 'consistency', CASE WHEN n > 0 THEN 'WARN' ELSE 'PASS' END,
+                '0 decreases', n || ' decreases', '' FROM backwards""",
+            _orphans("cards_have_customer", "cards_raw", "orphans_cards"),
+            _orphans("advances_have_customer", "advances_raw", "orphans_advances"),
+            _orphans("transactions_have_advance", "transactions_raw", "orphans_stored"),
+            _orphans("cards_have_master", "cards_master", "orphans_cards_master"),
+            """SELECT 'alias_coverage', 'customer_alias', 'completeness', CASE WHEN a = c THEN 'PASS' ELSE 'FAIL' END,
+                CAST(c AS VARCHAR), CAST(a AS VARCHAR), '' FROM (SELECT (SELECT count(*) FROM resolved) AS a,
+                (SELECT count(*) FROM fx_customers WHERE NOT is_test) AS c)""",
+            """SELECT 'test_data_excluded', 'customer_master', 'validity', CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END,
+                '0', CAST(n AS VARCHAR), '' FROM leaked""",
+            """SELECT 'protected_customer_survives', 'customer_master', 'business_rule',
+                CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END, '0 protected customers remapped', n || ' remapped', '' FROM moved""",
+            """SELECT 'protected_identity_conflicts', 'identity_conflicts', 'business_rule',
+                CASE WHEN n > 0 THEN 'WARN' ELSE 'PASS' END, '0 preferred', CAST(n AS VARCHAR),
+                'conflicts are quarantined, never auto-merged'
+                FROM (SELECT count(DISTINCT proof_key) AS n FROM resolved WHERE rule = 'protected_conflict' AND is_protected)""",
+            """SELECT 'suggestive_match_candidates', 'identity_review_candidates', 'observability',
+                CASE WHEN n > 0 THEN 'WARN' ELSE 'PASS' END, 'review only', CAST(n AS VARCHAR),
+                'suggestive evidence is deliberately not auto-merged' FROM (SELECT count(*) AS n FROM pairs)""",
+            _contacts("malformed_email_count", "ok_email"),
+            _contacts("malformed_phone_count", "ok_phone"),
+        ]),
     ),
 }
 
