@@ -42,18 +42,18 @@ ORACLE["op3_line_dedup"] = """
 WITH split AS (
   SELECT doc_id, source, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL
 ), placed AS (
-  SELECT doc_id, source, lines, unnest(generate_series(1, len(lines))) AS at FROM split
+  SELECT doc_id, source, lines, unnest(generate_series(1, len(lines))) AS place FROM split
 ), line AS (
-  SELECT doc_id, source, at, lines[at] AS line FROM placed
+  SELECT doc_id, source, place, lines[place] AS line FROM placed
 ), wide AS (
   SELECT line, min(doc_id) AS first_doc FROM line WHERE trim(line, ' ') <> ''
   GROUP BY line HAVING count(DISTINCT source) >= 8
 ), marked AS (
-  SELECT l.doc_id, l.at, l.line, w.line IS NOT NULL AND l.doc_id IS DISTINCT FROM w.first_doc AS gone
+  SELECT l.doc_id, l.place, l.line, w.line IS NOT NULL AND l.doc_id IS DISTINCT FROM w.first_doc AS gone
   FROM line l LEFT JOIN wide w USING (line)
 ), clean AS (
   SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
-         coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT gone), '') AS text
+         coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '') AS text
   FROM marked GROUP BY doc_id
 )
 SELECT d.doc_id, d.source, coalesce(c.n_lines, 0) AS n_lines, coalesce(c.n_removed, 0) AS n_removed, c.text
@@ -86,24 +86,24 @@ _BIGRAMS = ", ".join(
 )
 
 ORACLE["op9_license_scan"] = f"""
-WITH template(template, label, is_base, grams, at, w1, w2) AS (VALUES {_BIGRAMS}), doc AS (
+WITH template(template, label, is_base, grams, place, w1, w2) AS (VALUES {_BIGRAMS}), doc AS (
   SELECT doc_id, regexp_extract_all({_LOWERED}, '{WORD}') AS w FROM documents
 ), gram AS (
   SELECT doc_id, p - 1 AS pos, w[p] AS w1, w[p + 1] AS w2
   FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 1)) AS p FROM doc WHERE len(w) > 1)
 ), vote AS (
-  SELECT DISTINCT doc_id, template, label, is_base, grams, pos - at AS diagonal, at, pos FROM gram JOIN template USING (w1, w2)
+  SELECT DISTINCT doc_id, template, label, is_base, grams, pos - place AS diagonal, place, pos FROM gram JOIN template USING (w1, w2)
 ), base AS (
   SELECT doc_id, label, diagonal AS start FROM vote WHERE is_base
-  GROUP BY doc_id, template, label, grams, diagonal HAVING count(DISTINCT at) = grams
+  GROUP BY doc_id, template, label, grams, diagonal HAVING count(DISTINCT place) = grams
 ), stepped AS (
   SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) <= 3 THEN 0 ELSE 1 END AS fresh
   FROM vote WHERE NOT is_base
 ), run AS (
   SELECT *, sum(fresh) OVER (PARTITION BY doc_id, template ORDER BY diagonal RANGE UNBOUNDED PRECEDING) AS run FROM stepped
 ), notice AS (
-  SELECT doc_id, label, count(DISTINCT at) / CAST(grams AS DOUBLE) AS cover FROM run GROUP BY doc_id, template, label, grams, run
-  HAVING count(DISTINCT at) / CAST(grams AS DOUBLE) >= CASE WHEN grams < 10 THEN 1.0 ELSE 0.8 END
+  SELECT doc_id, label, count(DISTINCT place) / CAST(grams AS DOUBLE) AS cover FROM run GROUP BY doc_id, template, label, grams, run
+  HAVING count(DISTINCT place) / CAST(grams AS DOUBLE) >= CASE WHEN grams < 10 THEN 1.0 ELSE 0.8 END
      AND max(pos) + 2 - min(pos) <= 1.5 * (grams + 1) + 3
 ), found AS (
   SELECT doc_id, label, 1.0 AS cover, start, label AS base_label FROM base
