@@ -50,7 +50,8 @@ def boilerplate_places(docs: DataFrame, site: str = "source", min_sites: int = M
     lines = line_rows(docs, site)
     margin = 3 * 1.04 / sqrt(2**log_k)
     low, high = floor(min_sites * (1 - margin)), ceil(min_sites * (1 + margin))
-    wide = spread(lines, log_k).where(F.col("sites") >= low)
+    # Written on its own, so that the join below deals out its rows itself and can split a line's.
+    wide = stored(spread(lines, log_k).where(F.col("sites") >= low), "wide")
     found = stored(lines.join(wide, ["h1", "h2"]), "wide-lines")
     near = F.col("sites") <= high
     exact = found.where(near).groupBy("h1", "h2").agg(F.count_distinct("site").alias("exact_sites"))
