@@ -76,71 +76,92 @@ def _slid(values: np.ndarray, size: int, smaller) -> np.ndarray:
     return smaller(part[:n], part[size - width : size - width + n])
 
 
-def anchors(word: np.ndarray) -> np.ndarray:
-    """Minimiser places of a text with at least ``CORE`` words from there on, in texts of ``MIN_WORDS`` words or more."""
+def anchors(word: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Minimiser places with at least ``CORE`` words of their text from there on.
+
+    ``word`` holds texts one after the other, ``begin`` and ``end`` say for each word where its text lies. Texts
+    below ``MIN_WORDS`` words have none.
+    """
     if len(word) < MIN_WORDS:
         return np.zeros(0, np.int64)
     order = mixed(run_hashes(word, GRAM))
     low = _slid(order, SPACING, np.minimum)
+    low[np.arange(len(low)) + SPACING - 1 + GRAM > end[: len(low)]] = 0  # a window of two texts chooses nothing
     # A place is one if it is the smallest of some window that holds it.
-    ends = np.zeros(SPACING - 1, np.uint64)
-    places = np.flatnonzero(order == _slid(np.concatenate([ends, low, ends]), SPACING, np.maximum))
-    return places[places + CORE <= len(word)]
+    sides = np.zeros(SPACING - 1, np.uint64)
+    places = np.flatnonzero(order == _slid(np.concatenate([sides, low, sides]), SPACING, np.maximum))
+    return places[(places + CORE <= end[places]) & (end[places] - begin[places] >= MIN_WORDS)]
 
 
-def _sides(word: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _sides(word: np.ndarray, at: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """32-bit hashes of the ``SIDE`` words before each core (nearest first) and behind it; zero beyond the text."""
     short = (word >> np.uint64(32)).astype(np.uint32)
-    short = np.concatenate([np.zeros(SIDE, np.uint32), np.where(short == 0, 1, short).astype(np.uint32), np.zeros(SIDE, np.uint32)])
-    step = np.arange(SIDE)
-    return short[places[:, None] + SIDE - 1 - step], short[places[:, None] + SIDE + CORE + step]
+    short[short == 0] = 1
+    step, last = np.arange(SIDE), len(word) - 1
+    left, right = at[:, None] - 1 - step, at[:, None] + CORE + step
+    return (
+        np.where(left >= begin[at, None], short[np.maximum(left, 0)], 0).astype(np.uint32),
+        np.where(right < end[at, None], short[np.minimum(right, last)], 0).astype(np.uint32),
+    )
 
 
-def _each_text(batch: pa.RecordBatch):
+def _around(core: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """One hash of a core and all that stands beside it."""
+    whole = core
+    for side in (*left.T, *right.T):
+        whole = mixed(whole * _ODD + side)
+    return whole
+
+
+def _each_shard(batch: pa.RecordBatch):
+    """First row of each shard, its words, the row (from there), and begin and end of the text of each word."""
     raw, offsets = buffers(batch.column("text"))
     for i, j in shards(offsets, SHARD_BYTES):
         _, _, hashes, firsts = words(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-        for k in range(j - i):
-            yield i + k, hashes[firsts[k] : firsts[k + 1]]
+        row = np.repeat(np.arange(j - i), np.diff(firsts))
+        yield i, j, hashes, firsts, row
+
 
+def _bytes_column(values: np.ndarray) -> pa.Array:
+    """Rows of 32-bit values as binary that sorts like them."""
+    data = np.ascontiguousarray(values.astype(">u4"))
+    offsets = np.arange(len(data) + 1, dtype=np.int32) * (4 * SIDE)
+    return pa.Array.from_buffers(pa.binary(), len(data), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
 
-_SUFFIX = "doc_id long, text_hash long, place int, core long, around long, left_words int, right_words int"
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    """The inverse of :func:`_bytes_column`, for a column without nulls."""
+    _, offsets, data = column.buffers()
+    if len(column) == 0:
+        return np.zeros((0, SIDE), np.uint32)
+    start = int(np.frombuffer(offsets, np.int32)[column.offset])
+    return np.frombuffer(data, ">u4", len(column) * SIDE, start).reshape(-1, SIDE).astype(np.uint32)
+
+
+_SUFFIX = "doc_id long, text_hash long, place int, right_words int, core long, around long"
 
 
 def suffixes(texts: DataFrame) -> DataFrame:
-    """Every kept suffix with the hash of its core and of its context, and how far the context goes."""
+    """Every kept suffix with the hash of its core and of its context, and the words of the text in that behind the core."""
 
     def cut(batches):
         for b in batches:
-            rows, places, cores, arounds, lefts, rights = [], [], [], [], [], []
-            for k, word in _each_text(b):
-                at = anchors(word)
-                if not len(at):
-                    continue
+            for i, _, word, firsts, row in _each_shard(b):
+                begin, end = firsts[row], firsts[row + 1]
+                at = anchors(word, begin, end)
                 core = run_hashes(word, CORE)[at]
-                left, right = _sides(word, at)
-                around = core
-                for side in np.concatenate([left, right], axis=1).T:
-                    around = mixed(around * _ODD + side)
-                rows.append(np.full(len(at), k))
-                places.append(at)
-                cores.append(core)
-                arounds.append(around)
-                lefts.append(np.minimum(at, SIDE))
-                rights.append(np.minimum(len(word) - at - CORE, SIDE))
-            if rows:
-                own = pa.array(np.concatenate(rows))
+                around = _around(core, *_sides(word, at, begin, end))
+                own = pa.array(i + row[at])
                 yield pa.record_batch(
                     [
                         b.column("doc_id").take(own),
                         b.column("text_hash").take(own),
-                        pa.array(np.concatenate(places).astype(np.int32)),
-                        pa.array(np.concatenate(cores).view(np.int64)),
-                        pa.array(np.concatenate(arounds).view(np.int64)),
-                        pa.array(np.concatenate(lefts).astype(np.int32)),
-                        pa.array(np.concatenate(rights).astype(np.int32)),
+                        pa.array((at - begin[at]).astype(np.int32)),
+                        pa.array(np.minimum(end[at] - at - CORE, SIDE).astype(np.int32)),
+                        pa.array(core.view(np.int64)),
+                        pa.array(around.view(np.int64)),
                     ],
-                    names=["doc_id", "text_hash", "place", "core", "around", "left_words", "right_words"],
+                    names=["doc_id", "text_hash", "place", "right_words", "core", "around"],
                 )
 
     return texts.mapInArrow(cut, _SUFFIX)
@@ -159,24 +180,24 @@ def contexts(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def read(batches):
         for b in batches:
-            asked = b.column("places").to_pylist()
-            for k, word in _each_text(b):
-                at = np.array(sorted(asked[k]), np.int64)
+            wanted, lists = b.column("places").flatten().to_numpy(), np.diff(b.column("places").offsets.to_numpy())
+            reach = np.concatenate([[0], np.cumsum(lists)])
+            for i, j, word, firsts, row in _each_shard(b):
+                own = np.repeat(np.arange(j - i), lists[i:j])
+                at = firsts[own] + wanted[reach[i] : reach[j]]
+                begin, end = firsts[row], firsts[row + 1]
                 core = run_hashes(word, CORE)[at]
-                left, right = _sides(word, at)
-                around = core
-                for side in np.concatenate([left, right], axis=1).T:
-                    around = mixed(around * _ODD + side)
-                own = pa.array(np.full(len(at), k))
+                left, right = _sides(word, at, begin, end)
+                rows = pa.array(i + own)
                 yield pa.record_batch(
                     [
-                        b.column("doc_id").take(own),
-                        b.column("text_hash").take(own),
-                        pa.array(at.astype(np.int32)),
+                        b.column("doc_id").take(rows),
+                        b.column("text_hash").take(rows),
+                        pa.array((at - begin[at]).astype(np.int32)),
                         pa.array(core.view(np.int64)),
-                        pa.array(around.view(np.int64)),
-                        pa.array([r.tobytes() for r in left.astype(">u4")], pa.binary()),
-                        pa.array([r.tobytes() for r in right.astype(">u4")], pa.binary()),
+                        pa.array(_around(core, left, right).view(np.int64)),
+                        _bytes_column(left),
+                        _bytes_column(right),
                     ],
                     names=["doc_id", "text_hash", "place", "core", "around", "before", "behind"],
                 )
@@ -184,10 +205,6 @@ def contexts(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     return both.mapInArrow(read, _CONTEXT)
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), ">u4").reshape(-1, SIDE)
-
-
 def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Equal words from the start of each row; a zero is the end of a text and equals nothing."""
     return np.logical_and.accumulate((a == b) & (a != 0), axis=1).sum(axis=1)
@@ -234,7 +251,12 @@ def neighbours(suffix: DataFrame, main: str, other: str) -> DataFrame:
         if len(edge):
             edge[0] += first
             edge[-1] += 2 * last
-        only_edges = [pa.array([v if e else None for v, e in zip(c.to_pylist(), edge)], pa.binary()) for c in (out.column(2), out.column(3))]
+        only_edges = []  # what a border row needs to be compared across it
+        for c in (out.column(2), out.column(3)):
+            shown = [None] * len(edge)
+            for k in np.flatnonzero(edge).tolist():
+                shown[k] = c[k].as_py()
+            only_edges.append(pa.array(shown, pa.binary()))
         parts = pa.array(np.full(len(edge), part, np.int32))
         return pa.record_batch(
             [out.column(0), out.column(1), pa.array(reach), pa.array(beside), parts, pa.array(edge), *only_edges],
@@ -295,8 +317,8 @@ def _windows(suffix: DataFrame) -> DataFrame:
 
 def _reaches(texts: DataFrame, several: DataFrame) -> DataFrame:
     """``core, around, left_reach, right_reach`` of repeats around the cores that occur in several contexts."""
-    one = several.groupBy("core", "around").agg(F.min(F.struct("doc_id", "text_hash", "place")).alias("at"))
-    rows = stored(contexts(texts, one.select("at.*")), "contexts")
+    one = several.select("core", "around", "doc_id", "text_hash", "place").dropDuplicates(["core", "around"])  # any: they are alike
+    rows = stored(contexts(texts, one), "contexts")
     to_right = neighbours(rows, "behind", "before").select("core", "around", F.col("reach").alias("r"), F.col("beside").alias("rl"))
     to_left = neighbours(rows, "before", "behind").select("core", "around", F.col("reach").alias("l"), F.col("beside").alias("lr"))
     seen = stored(to_right.join(to_left, ["core", "around"]), "reaches")
@@ -314,63 +336,75 @@ def _reaches(texts: DataFrame, several: DataFrame) -> DataFrame:
     return matched[0].unionByName(matched[1]).unionByName(matched[2])
 
 
-def repeated_passages(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, start_word, end_word, first_doc_id``: passages of ``MIN_WORDS`` words or more that occur again.
+def repeated_passages(docs: DataFrame, first: bool = False) -> DataFrame:
+    """``doc_id, text_hash, start_word, end_word``: passages of ``MIN_WORDS`` words or more that occur again.
 
-    In words from 0, ``end_word`` exclusive, overlapping matches of a text united. ``first_doc_id`` is the
-    smallest doc_id that shares one of the passage's cores.
+    In words from 0, ``end_word`` exclusive, overlapping matches of a text united. ``first`` adds
+    ``first_doc_id``, the smallest doc_id that shares one of the passage's cores.
     """
     texts = keyed_texts(docs)
     all_suffixes = stored(suffixes(texts), "suffixes")
-    groups = all_suffixes.groupBy("core").agg(
-        F.count(F.lit(1)).alias("n"), F.min("around").alias("_low"), F.max("around").alias("_high"), F.min("doc_id").alias("first_doc_id")
-    )
-    shared = groups.where(F.col("n") > 1).select("core", (F.col("_low") == F.col("_high")).alias("alike"), "first_doc_id")
+    least = [F.min("doc_id").alias("first_doc_id")] if first else []
+    groups = all_suffixes.groupBy("core").agg(F.count(F.lit(1)).alias("n"), F.min("around").alias("_low"), F.max("around").alias("_high"), *least)
+    kept = ["core", (F.col("_low") == F.col("_high")).alias("alike"), *(["first_doc_id"] if first else [])]
+    # Small tables that many rows of one core may meet are written on their own, so that the joins deal out both
+    # their sides themselves and can split such a core.
+    shared = stored(groups.where(F.col("n") > 1).select(*kept), "shared-cores")
     again = stored(all_suffixes.join(shared, "core"), "shared-suffixes")
     several = again.where(~F.col("alike"))
-    copied = several.groupBy("core", "around").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("core", "around")
-    # Contexts that end with their text need not reach MIN_WORDS on their own.
-    whole = F.col("left_words") + F.col("right_words") >= SIDE
-    certain = again.where(F.col("alike") & whole).unionByName(several.where(whole).join(copied, ["core", "around"], "left_semi"))
-    reach = _reaches(texts, several)
-    spans = certain.select(
-        "doc_id", "text_hash", "first_doc_id",
-        (F.col("place") - F.col("left_words")).alias("start"), (F.col("place") + CORE + F.col("right_words")).alias("end"),
-    ).unionByName(
-        several.join(reach, ["core", "around"]).select(
-            "doc_id", "text_hash", "first_doc_id",
-            (F.col("place") - F.col("left_reach")).alias("start"), (F.col("place") + CORE + F.col("right_reach")).alias("end"),
+    copies = several.groupBy("core", "around").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    copied = stored(copies.select("core", "around"), "shared-contexts")
+    reach = stored(_reaches(texts, several), "matches")
+    # A context that occurs again is a repeat from end to end.
+    left = F.least(F.col("place"), F.lit(SIDE)).alias("left_reach")
+    whole = again.where("alike").unionByName(several.join(copied, ["core", "around"], "left_semi"))
+    spans = whole.select("*", left, F.col("right_words").alias("right_reach")).unionByName(several.join(reach, ["core", "around"]))
+    return _united(spans, ["first_doc_id"] if first else [])
+
+
+def _united(spans: DataFrame, first: list[str]) -> DataFrame:
+    """Overlapping spans of a text as one, from the spans of each text in order."""
+    ordered = (
+        spans.select(
+            "doc_id", "text_hash", (F.col("place") - F.col("left_reach")).cast("bigint").alias("start_word"),
+            (F.col("place") + CORE + F.col("right_reach")).cast("bigint").alias("end_word"), *first,
         )
+        .repartition("doc_id", "text_hash")
+        .sortWithinPartitions("doc_id", "text_hash", "start_word", "end_word")
     )
-    return _united(spans)
-
-
-_PASSAGE = "doc_id long, text_hash long, start_word long, end_word long, first_doc_id long"
-
-
-def _united(spans: DataFrame) -> DataFrame:
-    """Overlapping spans of a text as one; the spans of a text meet in one task, which reads them in order."""
-    per_text = spans.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set(F.struct("start", "end", "first_doc_id"))).alias("spans"))
+    names = ordered.columns
 
     def unite(batches):
+        held = None  # the last run, which the next batch may go on with
         for b in batches:
-            rows = []
-            for doc, key, own in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
-                run = None
-                for s in own:
-                    if run and s["start"] < run[3]:
-                        run[3] = max(run[3], s["end"])
-                        run[4] = s["first_doc_id"] if run[4] is None else run[4] if s["first_doc_id"] is None else min(run[4], s["first_doc_id"])
-                    else:
-                        if run:
-                            rows.append(run)
-                        run = [doc, key, s["start"], s["end"], s["first_doc_id"]]
-                if run:
-                    rows.append(run)
-            columns = list(zip(*rows)) if rows else [[]] * 5
-            yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=[f.split()[0] for f in _PASSAGE.split(", ")])
-
-    return per_text.mapInArrow(unite, _PASSAGE)
+            rows = b if held is None else pa.concat_batches([held, b])
+            if not rows.num_rows:
+                continue
+            runs = _runs(rows, first)
+            yield runs.slice(0, runs.num_rows - 1)
+            held = runs.slice(runs.num_rows - 1)
+        if held is not None:
+            yield held
+
+    def _runs(rows: pa.RecordBatch, first: list[str]) -> pa.RecordBatch:
+        known = rows.column(0).is_valid().to_numpy(zero_copy_only=False)
+        doc = rows.column(0).fill_null(0).to_numpy()
+        key, start, end = (rows.column(k).to_numpy() for k in (1, 2, 3))
+        other = np.ones(len(doc), bool)
+        other[1:] = (doc[1:] != doc[:-1]) | (key[1:] != key[:-1]) | (known[1:] != known[:-1])
+        above = np.cumsum(other) * (int(end.max()) + 1)  # lifts each text over the one before
+        reach = np.maximum.accumulate(end + above) - above
+        new = other
+        new[1:] |= start[1:] >= reach[:-1]
+        at = np.flatnonzero(new)
+        columns = [rows.column(0).take(pa.array(at)), pa.array(key[at]), pa.array(start[at]), pa.array(np.maximum.reduceat(end, at))]
+        if first:
+            nobody = np.iinfo(np.int64).max
+            least = np.minimum.reduceat(rows.column(4).fill_null(nobody).to_numpy(), at)
+            columns.append(pa.array(least, mask=least == nobody))
+        return pa.record_batch(columns, names=names)
+
+    return ordered.mapInArrow(unite, ordered.schema)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -378,7 +412,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     Cut from the first to the last word of a passage; the document with the smallest doc_id keeps it.
     """
-    cut = repeated_passages(docs).where(~F.col("doc_id").eqNullSafe(F.col("first_doc_id")))
+    cut = repeated_passages(docs, first=True).where(~F.col("doc_id").eqNullSafe(F.col("first_doc_id")))
     doc, key, spans = fresh(docs, "doc", "key", "spans")
     own = cut.groupBy(F.col("doc_id").alias(doc), F.col("text_hash").alias(key)).agg(
         F.collect_set(F.struct("start_word", "end_word")).alias(spans)  # of one text
