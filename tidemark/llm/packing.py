@@ -18,8 +18,10 @@ packed again, a null doc_id is kept, other columns are not read.
 
 from __future__ import annotations
 
+import re
 import zlib
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +29,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import NOT_SPACE, buffers, shards, stored, words
 
 CAPACITY = 2048
-CACHE = 400_000  # chunks whose ids a task remembers
+WORDS, CORES = 1_500_000, 700_000  # words and their parts whose ids a worker remembers
 
 
 @lru_cache(maxsize=2)
@@ -40,50 +42,150 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def _byte_letters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if printable, else the next beyond 255."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    out, spare = [], 256
+    for byte in range(256):
+        out.append(chr(byte if byte in printable else spare))
+        spare += byte not in printable
+    return out
+
+
+_LETTERS = _byte_letters()
+_PLAIN = re.compile("[a-z]+")
+_LATIN = re.compile("[a-zß-öø-ÿ]+")
+_SIGNS = b".,;:!?"
+
+
 class Ids:
-    """Ids of texts as little-endian bytes, chunk by chunk between ASCII white space.
+    """Ids of texts, word by word between ASCII white space.
 
-    The tokenizer drops white space and merges nothing across it, so a chunk's
-    ids do not depend on what surrounds it and are worked out once per task.
+    The tokenizer drops white space and merges nothing across it, and it folds
+    case, so a word's ids do not depend on what surrounds it nor on its capitals.
+    Words are told apart by a 64-bit hash; those a worker does not remember are
+    cut into ids once, all others are looked up for a whole shard at a time. Texts
+    with the first signs of a special token go through the tokenizer as they are.
     """
 
     def __init__(self, path: str):
-        self.tokenizer, self.known = _tokenizer(path), {}
-
-    def of(self, texts: list[bytes]) -> list[bytes]:
-        cut = [t.split() for t in texts]
-        if len(self.known) > CACHE:
-            self.known = {}
-        known = self.known
-        new = list({c for chunks in cut for c in chunks if c not in known})
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            found = self.tokenizer.encode_batch([c.decode() for c in part], add_special_tokens=False)
-            known.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(part, found))
-        return [b"".join([known[c] for c in chunks]) for chunks in cut]
+        self.tokenizer = _tokenizer(path)
+        self._forget()
+        self.cores: dict[bytes, tuple[int, ...]] = {}  # by small word without signs at its end
+
+    def _forget(self) -> None:
+        self.hash = np.zeros(0, np.uint64)  # sorted; where the ids of each begin in `ids`, and how many
+        self.begin = self.count = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, "<u4")
+
+    def of(self, raw: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        """Ids of each text of a shard."""
+        starts, ends, hashes, firsts = words(raw, offsets, NOT_SPACE)
+        unique, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.hash) > WORDS:
+            self._forget()
+        whole = raw.tobytes()
+        self._learn(unique, [whole[a:b] for a, b in self._new(unique, starts[first], ends[first])])
+        at = np.searchsorted(self.hash, unique)
+        count, begin = self.count[at][inverse], self.begin[at][inverse]
+        total = np.cumsum(count)
+        step = np.arange(total[-1] if len(total) else 0) - np.repeat(total - count, count)
+        ids = self.ids[np.repeat(begin, count) + step]
+        bounds = np.append(0, total)[firsts]
+        out = [ids[i:j] for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+        if b"<|" in whole:
+            for k, (i, j) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
+                if b"<|" in whole[i:j]:
+                    out[k] = np.array(self.tokenizer.encode(whole[i:j].decode(), add_special_tokens=False).ids, "<u4")
+        return out
+
+    def _new(self, unique, starts, ends):
+        at = np.minimum(np.searchsorted(self.hash, unique), max(0, len(self.hash) - 1))
+        unknown = np.flatnonzero(self.hash[at] != unique) if len(self.hash) else np.arange(len(unique))
+        self._unknown = unknown
+        return zip(starts[unknown].tolist(), ends[unknown].tolist())
+
+    def _learn(self, unique: np.ndarray, new: list[bytes]) -> None:
+        if not new:
+            return
+        parts = [self._parts(w) for w in new]
+        if len(self.cores) > CORES:
+            self.cores = {}
+        cores = self.cores
+        missing = list({p for own in parts for p in own if p not in cores})
+        cores.update(zip(missing, self._cut(missing)))
+        ids = [cores[own[0]] if len(own) == 1 else cores[own[0]] + cores[own[1]] for own in parts]
+        count = np.fromiter(map(len, ids), np.int64, len(ids))
+        begin = len(self.ids) + np.cumsum(count) - count
+        flat = np.fromiter(chain.from_iterable(ids), "<u4", int(count.sum()))
+        hashes = np.concatenate([self.hash, unique[self._unknown]])
+        order = np.argsort(hashes)
+        self.hash = hashes[order]
+        self.begin = np.concatenate([self.begin, begin])[order]
+        self.count = np.concatenate([self.count, count])[order]
+        self.ids = np.concatenate([self.ids, flat])
+
+    @staticmethod
+    def _parts(word: bytes) -> tuple[bytes, ...]:
+        """A word, or its letters and the signs behind them, which the tokenizer cuts apart."""
+        small = word.lower()  # of bytes: A-Z alone
+        core = small.rstrip(_SIGNS)
+        if len(core) == len(small) or not core:
+            return (small,)
+        # A small letter can end in a mark, which is a sign itself.
+        if 97 <= core[-1] <= 122 or core.decode()[-1].lower()[-1].isalpha():
+            return core, small[len(core) :]
+        return (small,)
+
+    def _cut(self, parts: list[bytes]) -> list[tuple[int, ...]]:
+        """Ids of each part. Plain Latin letters are one piece as they stand, so the vocabulary's model is asked itself."""
+        model, out, others = self.tokenizer.model, [], []
+        for n, part in enumerate(parts):
+            text = part.decode()
+            if not _PLAIN.fullmatch(text):
+                text = text.lower()
+                text = "".join([_LETTERS[byte] for byte in text.encode()]) if _LATIN.fullmatch(text) else None
+            if text is None:
+                others.append(n)
+                out.append(())
+            else:
+                out.append(tuple([t.id for t in model.tokenize(text)]))
+        for at in range(0, len(others), 10_000):
+            group = others[at : at + 10_000]
+            found = self.tokenizer.encode_batch([parts[n].decode() for n in group], add_special_tokens=False)
+            for n, e in zip(group, found):
+                out[n] = tuple(e.ids)
+        return out
 
 
 _PIECES = "task int, doc_id long, piece int, start long, length long, ids_crc32 long, number long"
-_GROUP = 500  # texts tokenized together, so that the words of long ones do not pile up
+SHARD_BYTES = 4_000_000
+
+
+@lru_cache(maxsize=1)
+def _remembered(path: str) -> Ids:
+    """What a worker knows, over all tasks it is used for; results never depend on it."""
+    return Ids(path)
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     """All pieces with the task that cut them and their running number among its pieces of that length."""
 
     def cut(batches):
-        ids, task = Ids(path), TaskContext.get().partitionId()
+        ids, task = _remembered(path), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
+        end = np.zeros(1, "<u4")
         for b in batches:
-            names, column = b.column("doc_id").to_pylist(), b.column("text").cast(pa.binary())
-            for at in range(0, len(names), _GROUP):
+            names = b.column("doc_id").to_pylist()
+            raw, offsets = buffers(b.column("text"))
+            for i, j in shards(offsets, SHARD_BYTES):
                 rows = []
-                for name, own in zip(names[at : at + _GROUP], ids.of(column.slice(at, _GROUP).to_pylist())):
-                    own += b"\0\0\0\0"
-                    for k, start in enumerate(range(0, len(own), 4 * capacity)):
-                        part = own[start : start + 4 * capacity]
-                        size = len(part) // 4
-                        rows.append((name, k, start // 4, size, zlib.crc32(part), int(seen[size])))
-                        seen[size] += 1
+                for name, own in zip(names[i:j], ids.of(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])):
+                    own = np.concatenate([own, end])
+                    for k, start in enumerate(range(0, len(own), capacity)):
+                        part = own[start : start + capacity]
+                        rows.append((name, k, start, len(part), zlib.crc32(part), int(seen[len(part)])))
+                        seen[len(part)] += 1
                 columns = list(zip(*rows))
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
                 arrays = [pa.array(np.full(len(rows), task, np.int32))] + [pa.array(c, k) for c, k in zip(columns, kinds)]
