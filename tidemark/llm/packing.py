@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import NOT_SPACE, buffers, shards, stored, words
 
 CAPACITY = 2048
-WORDS, CORES = 1_500_000, 700_000  # words and their parts whose ids a worker remembers
+WORDS, CORES = 1_000_000, 450_000  # words and their parts whose ids a worker remembers
 
 
 @lru_cache(maxsize=2)
