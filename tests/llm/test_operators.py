@@ -388,6 +388,27 @@ def test_changed_notices_are_found(spark):
     assert found == {1: "bsd", 2: "bsd", 3: "", 4: "", 5: "cc-by-nc-4.0"}
 
 
+@pytest.mark.parametrize("times", [2, 3, 1000])
+def test_notices_in_a_row_are_all_found(spark, times):
+    """Verbatim copies one after the other, and changed ones, whose diagonals all lie close together."""
+    texts = [*licenses.NOTICES, *licenses.PHRASES]
+    given = [(n, ". ".join([text] * times)) for n, text in enumerate(texts)]
+    changed = ["all rights rights reserved", next(n for n, label in licenses.NOTICES.items() if label == "bsd").replace("binary", "binary really")]
+    given += [(100 + n, " ".join([text] * times)) for n, text in enumerate(changed)]
+    df = spark.createDataFrame(given, "doc_id long, text string")
+    found = {r.doc_id: (r.labels.split(","), r.n_base, r.score) for r in licenses.license_scan(df).collect()}
+    labels = {**licenses.NOTICES, **licenses.PHRASES}
+    for n, text in enumerate(texts):
+        assert labels[text] in found[n][0] and found[n][2] == 1.0
+    assert all(found[n][1] == times for n, text in enumerate(texts) if text in licenses.PHRASES)
+    assert found[100][0] == ["all-rights-reserved"] and found[101][0] == ["bsd"]
+    # Every verbatim copy is a span of its own, at the words it stands at.
+    spans = Counter((r.doc_id, r.start, r.end) for r in licenses.found_spans(df).where("cover = 1").collect())
+    for n, text in enumerate(texts):
+        size = len(brute.words(text))
+        assert all(spans[n, k * size, (k + 1) * size] for k in range(times))
+
+
 # --- 10: language ---------------------------------------------------------------------------
 
 

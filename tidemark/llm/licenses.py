@@ -5,9 +5,12 @@ bigram in known phrases and notices (a fixed, small table, broadcast). A hit
 votes for the diagonal ``text place - template place``. Votes are aggregated per
 document, template and diagonal as a bit mask of template places, so repeated
 votes count once. A phrase is found where all its bigrams vote for one diagonal.
-For notices, neighbouring diagonals (a word too many or too few) are merged, and
-the span is verified: enough of the template covered, within a span that isn't
-much longer than the template. DataFrame functions only.
+A notice whose bigrams all vote for one diagonal is a span of its own too, however
+many copies follow each other. Of the other diagonals neighbouring ones (a word too
+many or too few) are merged into runs, and the span is verified: enough of the
+template covered, within a span that isn't much longer than the template. Of a run
+that is longer, as changed copies in a row make one, every stretch that is short
+enough is verified, so those spans may overlap. DataFrame functions only.
 
 Null and empty texts have no words and no label. A row that occurs twice is two
 rows with the same result; a null doc_id is a value; other columns are not read.
@@ -26,6 +29,8 @@ MAX_STEP = 3  # words by which neighbouring diagonals may differ
 MIN_COVER = 0.8
 WHOLE_BELOW = 10  # bigrams: shorter notices must be covered whole
 MAX_STRETCH = 1.5
+MAX_WORDS = 65  # of a template, whose bigrams are the bits of a long
+_FRAME = int(MAX_STRETCH * MAX_WORDS) + MAX_STEP + MAX_WORDS
 
 # Phrases searched for word by word, and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -63,7 +68,7 @@ def templates(spark: SparkSession) -> DataFrame:
     listed = [(t, label, True) for t, label in PHRASES.items()] + [(t, label, False) for t, label in NOTICES.items()]
     for n, (text, label, base) in enumerate(listed):
         words = template_words(text)
-        assert len(words) <= 65, text
+        assert len(words) <= MAX_WORDS, text
         rows += [(n, label, base, len(words) - 1, at, words[at], words[at + 1]) for at in range(len(words) - 1)]
     names = ["template", "label", "is_base", "grams", "at", "w1", "w2"]
     kinds = [pa.int32(), pa.string(), pa.bool_(), pa.int32(), pa.int32(), pa.string(), pa.string()]
@@ -99,26 +104,50 @@ def diagonals(docs: DataFrame) -> DataFrame:
 
 def found_spans(docs: DataFrame) -> DataFrame:
     """``doc_id, text_hash, label, is_base, start, end, cover``: verified spans in words, ``end`` exclusive."""
-    votes = diagonals(docs)
-    full = F.bit_count("places") == F.col("grams")
-    base = votes.where(F.col("is_base") & full).select(
-        "doc_id", "text_hash", "label", "is_base", F.col("diagonal").alias("start"),
-        (F.col("diagonal") + F.col("grams") + 1).alias("end"), F.lit(1.0).alias("cover"),
-    )
-    own = Window.partitionBy("doc_id", "text_hash", "template").orderBy("diagonal")  # rows of one document
-    apart = F.col("diagonal") - F.lag("diagonal").over(own) > MAX_STEP
-    merged = (
-        votes.where(~F.col("is_base"))
-        .withColumn("_new", F.coalesce(apart, F.lit(True)).cast("int"))
+    # Rows of one document; each diagonal that is whole is a run of its own.
+    votes = diagonals(docs).withColumn("whole", F.bit_count("places") == F.col("grams")).where(F.col("whole") | ~F.col("is_base"))
+    keys = ["doc_id", "text_hash", "template", "whole"]
+    own = Window.partitionBy(*keys).orderBy("diagonal")
+    apart = F.col("whole") | (F.col("diagonal") - F.lag("diagonal").over(own) > MAX_STEP)
+    run = Window.partitionBy(*keys, "_run").orderBy("diagonal")
+    all_of_it = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    covered = lambda places: F.bit_count(places) / F.col("grams")
+    enough = F.when(F.col("grams") < WHOLE_BELOW, F.lit(1.0)).otherwise(F.lit(MIN_COVER))
+    limit = MAX_STRETCH * (F.col("grams") + 1) + MAX_STEP
+    runs = (
+        votes.withColumn("_new", F.coalesce(apart, F.lit(True)).cast("int"))
         .withColumn("_run", F.sum("_new").over(own))
-        .groupBy("doc_id", "text_hash", "template", "label", "is_base", "grams", "_run")
-        .agg(F.bit_or("places").alias("places"), F.min("first_pos").alias("start"), (F.max("last_pos") + 2).alias("end"))
-        .withColumn("cover", F.bit_count("places") / F.col("grams"))
-        .where(F.col("cover") >= F.when(F.col("grams") < WHOLE_BELOW, F.lit(1.0)).otherwise(F.lit(MIN_COVER)))
-        .where(F.col("end") - F.col("start") <= MAX_STRETCH * (F.col("grams") + 1) + MAX_STEP)
-        .select("doc_id", "text_hash", "label", "is_base", F.col("start").cast("bigint"), F.col("end").cast("bigint"), "cover")
+        .withColumn("_places", F.bit_or("places").over(all_of_it))
+        .withColumn("_length", F.max("last_pos").over(all_of_it) + 2 - F.min("first_pos").over(all_of_it))
+        .withColumn("_first", F.row_number().over(run) == 1)
+        .where(covered(F.col("_places")) >= enough)
     )
-    return base.unionByName(merged)
+
+    def longer(span, vote):
+        start, end = F.least(span["start"], vote["first_pos"]), F.greatest(span["end"], vote["last_pos"] + 2)
+        fits = span["open"] & (end - start <= limit)
+        return F.struct(
+            F.when(fits, span["places"].bitwiseOR(vote["places"])).otherwise(span["places"]).alias("places"),
+            F.when(fits, start).otherwise(span["start"]).alias("start"),
+            F.when(fits, end).otherwise(span["end"]).alias("end"),
+            fits.alias("open"),
+        )
+
+    # From the first diagonal of a short run and every diagonal of a long one as far as the limit allows. No
+    # diagonal beyond the frame has a word within the limit.
+    votes_on = F.collect_list(F.struct("places", "first_pos", "last_pos")).over(run.rangeBetween(0, _FRAME))
+    nothing = F.struct(F.lit(0).cast("bigint").alias("places"), F.lit(2**31 - 1).alias("start"), F.lit(-1).alias("end"), F.lit(True).alias("open"))
+    return (
+        runs.withColumn("_votes", votes_on)
+        .where(F.col("_first") | (F.col("_length") > limit))
+        .withColumn("span", F.aggregate("_votes", nothing, longer))
+        .withColumn("cover", covered(F.col("span.places")))
+        .where(F.col("cover") >= enough)
+        .select(
+            "doc_id", "text_hash", "label", "is_base", F.col("span.start").cast("bigint").alias("start"),
+            F.col("span.end").cast("bigint").alias("end"), "cover",
+        )
+    )
 
 
 def license_scan(docs: DataFrame) -> DataFrame:
