@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -437,6 +438,25 @@ def test_language_without_labels(docs):
     assert {(r.lang_pred, r.score) for r in found} == {("und", 0.0)}
 
 
+def test_every_label_is_trained_and_the_rows_are_bounded(spark):
+    """Languages of one letter each: 66 frequent ones and four of a few rows."""
+    rng = np.random.default_rng(8)
+    letters = [chr(0x4E00 + 67 * n) for n in range(70)]
+    given = [(0, n) for n in range(66) for _ in range(12)] + [(0, n) for n in range(66, 70) for _ in range(5)]
+    ids = iter(k for k in range(10**6) if zlib.crc32(str(k).encode()) % 5)
+    given = [(next(ids), letters[n] * int(rng.integers(20, 60)), f"l{n:02}") for _, n in given]
+    df = spark.createDataFrame(given, "doc_id long, text string, lang string")
+    names = {lang for *_, lang in given}
+    assert len(names) == 70 and {r[0] for r in language.training_sample(df)} == names
+    for rows in (1, 140):
+        sample = language.training_sample(df, rows=rows)
+        assert {r[0] for r in sample} == names and len(sample) <= max(70, rows) + 70
+    assert language.trained(df).languages == sorted(names)
+    right = {d: lang for d, _, lang in given if lang >= "l66"}
+    found = {r.doc_id: r.lang_pred for r in language.identify(df).collect()}
+    assert sum(found[d] == lang for d, lang in right.items()) >= 0.8 * len(right)
+
+
 def test_gradients_are_those_of_the_loss():
     rng = np.random.default_rng(0)
     net = language.ByteNet(["a", "b", "c"])

@@ -2,9 +2,10 @@
 
 The network sees fixed-length windows of UTF-8 bytes: filters of several widths
 over one-hot bytes, the maximum of each filter over the window, and a softmax.
-It is trained in numpy on a bounded sample of labelled rows (``SAMPLE`` per
-language for the ``LANGUAGES`` most frequent ones, drawn by a hash of the row)
-and applied to all windows of every whole text in the tasks. A document's
+It is trained in numpy on a bounded sample of labelled rows, drawn by a hash of
+the row, and applied to all windows of every whole text in the tasks. The sample
+holds every label found: about ``SAMPLE`` rows of each, and where that is more than
+``ROWS`` in all, an equal share of ``ROWS`` for each label, at least one row. A document's
 probabilities are the mean over its windows, weighted by their letters.
 
 A null text and one without any letter is ``und`` with score 0, as is every text
@@ -25,7 +26,7 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 SAMPLE = 600  # labelled rows per language at most (about), one excerpt each
-LANGUAGES = 64
+ROWS = 38_400  # labelled rows of all languages at most (about), but one of each language at least
 EXCERPT = 512  # characters of a row the training sees
 FOLDS = 5
 UNDETERMINED = "und"
@@ -133,33 +134,35 @@ def _has_letter():
     return F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
 
 
-def training_sample(docs: DataFrame, per_language: int = SAMPLE, languages: int = LANGUAGES) -> list:
-    """About ``per_language`` excerpts of each of the ``languages`` most frequent languages: ``lang, excerpt``.
+def training_sample(docs: DataFrame, per_language: int = SAMPLE, rows: int = ROWS) -> list:
+    """About ``per_language`` excerpts of each language, fewer if all exceed ``rows``, never none: ``lang, excerpt``.
 
     Which rows and which part of a text are chosen depends on a hash of the row
     alone, so the sample is spread over all documents and the same on every run.
     """
-    usable = docs.where(~held_out() & F.col("lang").isNotNull() & _has_letter())
-    counted = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()
-    if not counted:
+    draw = (F.xxhash64("doc_id", "text") / 2.0**64 + 0.5).alias("draw")
+    usable = docs.where(~held_out() & F.col("lang").isNotNull() & _has_letter()).select("lang", "doc_id", "text", draw)
+    counted = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("draw").alias("least")).toArrow()  # a row per label
+    if not counted.num_rows:
         return []
-    share = F.create_map(*[F.lit(v) for r in counted for v in (r.lang, min(1.0, per_language / r.n))])
-    chance = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_003)) / 1_000_003.0
+    share = max(1, min(per_language, rows // counted.num_rows))
+    upto = np.maximum(share / counted["n"].to_numpy(), counted["least"].to_numpy())  # the first row drawn is always in
+    drawn = docs.sparkSession.createDataFrame(pa.table({"lang": counted["lang"], "upto": upto}))
     begin = 1 + F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - EXCERPT, F.lit(1)))
-    chosen = usable.where(chance < F.coalesce(F.try_element_at(share, "lang"), F.lit(0.0)))
-    rows = chosen.select("lang", "doc_id", F.substring("text", begin.cast("int"), F.lit(EXCERPT)).alias("excerpt"))
-    return sorted((r.lang, r.doc_id, r.excerpt) for r in rows.limit(2 * per_language * languages).collect())
+    chosen = usable.join(F.broadcast(drawn), "lang").where(F.col("draw") <= F.col("upto"))
+    excerpts = chosen.select("lang", "doc_id", F.substring("text", begin.cast("int"), F.lit(EXCERPT)).alias("excerpt"))
+    return sorted((r.lang, r.doc_id, r.excerpt) for r in excerpts.distinct().collect())
 
 
-def trained(docs: DataFrame, per_language: int = SAMPLE, languages: int = LANGUAGES) -> ByteNet | None:
+def trained(docs: DataFrame, per_language: int = SAMPLE, rows: int = ROWS) -> ByteNet | None:
     """The network, or None without labelled rows."""
-    rows = training_sample(docs, per_language, languages)
-    if not rows:
+    sample = training_sample(docs, per_language, rows)
+    if not sample:
         return None
-    names = sorted({r[0] for r in rows})
+    names = sorted({r[0] for r in sample})
     net = ByteNet(names)
     at = {n: i for i, n in enumerate(names)}
-    excerpts = [(at[lang], text.encode()) for lang, _, text in rows]
+    excerpts = [(at[lang], text.encode()) for lang, _, text in sample]
     parts = [(k, t[i : i + WINDOW]) for k, t in excerpts for i in range(0, len(t), WINDOW) if i == 0 or len(t) - i >= WINDOW // 2]
     x = np.zeros((len(parts), WINDOW), np.uint8)
     for i, (_, t) in enumerate(parts):
@@ -186,15 +189,15 @@ def text_probabilities(net: ByteNet, raw: np.ndarray, offsets: np.ndarray) -> np
     return total / np.maximum(weight, 1)[:, None]
 
 
-def identify(docs: DataFrame, net: ByteNet | None = None, per_language: int = SAMPLE, languages: int = LANGUAGES) -> DataFrame:
+def identify(docs: DataFrame, net: ByteNet | None = None, per_language: int = SAMPLE, rows: int = ROWS) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` of every row of ``docs`` (``doc_id, text, lang``)."""
-    net = trained(docs, per_language, languages) if net is None else net
-    rows = docs.select(
+    net = trained(docs, per_language, rows) if net is None else net
+    texts = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         held_out().alias("held_out"),
         F.when(_has_letter(), F.col("text")).otherwise("").alias("text"),
     )
-    return rows.mapInArrow(_predict(net), "doc_id long, held_out boolean, lang_pred string, score double")
+    return texts.mapInArrow(_predict(net), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def _predict(net: ByteNet | None):
