@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as driver
 from tests.llm import brute
 from tidemark.llm import (
     ann,
@@ -95,6 +96,53 @@ def test_removed_repeats_leave_one_copy(docs, rows):
     assert brute.words(left[6]) == [] and len(brute.words(left[5])) == 120
 
 
+def _shortened(given, least=50):
+    """Words of each text left without the windows an earlier document has too."""
+    first: dict = {}
+    own = [brute.words(t) for _, t in given]
+    windows = [[tuple(w[k : k + least]) for k in range(len(w) - least + 1)] for w in own]
+    for (d, _), found in zip(given, windows):
+        for w in found if d is not None else ():
+            first[w] = min(d, first.get(w, d))
+    out = Counter()
+    for (d, _), w, found in zip(given, own, windows):
+        gone = {k + n for k, x in enumerate(found) if first.get(x, d) != d for n in range(least)}
+        out[d, tuple(x for k, x in enumerate(w) if k not in gone)] += 1
+    return out
+
+
+def _left(df):
+    return Counter((r.doc_id, tuple(brute.words(r.text))) for r in suffix_dedup.remove_repeats(df).collect())
+
+
+@pytest.mark.parametrize("name", ["docs", "documents"])
+def test_removed_repeats_are_those_an_earlier_document_has(request, name, rows, listed):
+    assert _left(request.getfixturevalue(name)) == _shortened(rows if name == "docs" else listed)
+
+
+def test_no_word_is_lost_to_all(spark):
+    """A core that many contexts share, and matches with earlier and later documents that overlap."""
+    rng = np.random.default_rng(6)
+    words = lambda n: [f"w{rng.integers(10**9)}" for _ in range(n)]
+    core, left, right, chain = words(30), words(15), words(15), words(150)
+    texts = {
+        1: words(40) + core + words(40), 3: words(40) + core + words(40),
+        5: words(40) + left + core + right + words(40), 7: words(60) + left + core + right + words(20),
+        9: words(30) + chain[:60] + words(30), 11: words(30) + chain[5:110] + words(30), 13: words(30) + chain[40:] + words(30), 15: chain,
+    }
+    given = [(d, " ".join(t)) for d, t in texts.items()]
+    found = _left(spark.createDataFrame(given, "doc_id long, text string"))
+    assert found == _shortened(given)
+    kept = {d: set(w) for d, w in found}
+    assert {*left, *core, *right} <= kept[5] and not kept[7] & {*left, *core, *right}
+    assert set().union(*texts.values()) == set().union(*kept.values())
+
+
+def test_the_removal_is_registered(spark, sf_dir, listed):
+    found = driver.queries()["op1_shortened_texts"](spark, sf_dir)
+    assert Counter((r.doc_id, tuple(brute.words(r.text))) for r in found.collect()) == _shortened(listed)
+
+
 # --- 2: personal data -----------------------------------------------------------------------
 
 

@@ -71,3 +71,12 @@ def op9_license_scan(spark, d):
 @query
 def op10_language(spark, d):
     return language.identify(table(spark, d, "documents"))
+
+
+def op1_shortened_texts(spark, d):
+    """The removal to :func:`op1_suffix_dedup`, whose columns are those of its SQL: every text without its later repeats."""
+    return suffix_dedup.remove_repeats(table(spark, d, "documents")).select("doc_id", "text")
+
+
+#: Further results of the operators above.
+FURTHER: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_shortened_texts": op1_shortened_texts}

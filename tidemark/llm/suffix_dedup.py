@@ -336,17 +336,15 @@ def _reaches(texts: DataFrame, several: DataFrame) -> DataFrame:
     return matched[0].unionByName(matched[1]).unionByName(matched[2])
 
 
-def repeated_passages(docs: DataFrame, first: bool = False) -> DataFrame:
+def repeated_passages(docs: DataFrame) -> DataFrame:
     """``doc_id, text_hash, start_word, end_word``: passages of ``MIN_WORDS`` words or more that occur again.
 
-    In words from 0, ``end_word`` exclusive, overlapping matches of a text united. ``first`` adds
-    ``first_doc_id``, the smallest doc_id that shares one of the passage's cores.
+    In words from 0, ``end_word`` exclusive, overlapping matches of a text united.
     """
     texts = keyed_texts(docs)
     all_suffixes = stored(suffixes(texts), "suffixes")
-    least = [F.min("doc_id").alias("first_doc_id")] if first else []
-    groups = all_suffixes.groupBy("core").agg(F.count(F.lit(1)).alias("n"), F.min("around").alias("_low"), F.max("around").alias("_high"), *least)
-    kept = ["core", (F.col("_low") == F.col("_high")).alias("alike"), *(["first_doc_id"] if first else [])]
+    groups = all_suffixes.groupBy("core").agg(F.count(F.lit(1)).alias("n"), F.min("around").alias("_low"), F.max("around").alias("_high"))
+    kept = ["core", (F.col("_low") == F.col("_high")).alias("alike")]
     # Small tables that many rows of one core may meet are written on their own, so that the joins deal out both
     # their sides themselves and can split such a core.
     shared = stored(groups.where(F.col("n") > 1).select(*kept), "shared-cores")
@@ -359,15 +357,15 @@ def repeated_passages(docs: DataFrame, first: bool = False) -> DataFrame:
     left = F.least(F.col("place"), F.lit(SIDE)).alias("left_reach")
     whole = again.where("alike").unionByName(several.join(copied, ["core", "around"], "left_semi"))
     spans = whole.select("*", left, F.col("right_words").alias("right_reach")).unionByName(several.join(reach, ["core", "around"]))
-    return _united(spans, ["first_doc_id"] if first else [])
+    return _united(spans)
 
 
-def _united(spans: DataFrame, first: list[str]) -> DataFrame:
+def _united(spans: DataFrame) -> DataFrame:
     """Overlapping spans of a text as one, from the spans of each text in order."""
     ordered = (
         spans.select(
             "doc_id", "text_hash", (F.col("place") - F.col("left_reach")).cast("bigint").alias("start_word"),
-            (F.col("place") + CORE + F.col("right_reach")).cast("bigint").alias("end_word"), *first,
+            (F.col("place") + CORE + F.col("right_reach")).cast("bigint").alias("end_word"),
         )
         .repartition("doc_id", "text_hash")
         .sortWithinPartitions("doc_id", "text_hash", "start_word", "end_word")
@@ -380,13 +378,13 @@ def _united(spans: DataFrame, first: list[str]) -> DataFrame:
             rows = b if held is None else pa.concat_batches([held, b])
             if not rows.num_rows:
                 continue
-            runs = _runs(rows, first)
+            runs = _runs(rows)
             yield runs.slice(0, runs.num_rows - 1)
             held = runs.slice(runs.num_rows - 1)
         if held is not None:
             yield held
 
-    def _runs(rows: pa.RecordBatch, first: list[str]) -> pa.RecordBatch:
+    def _runs(rows: pa.RecordBatch) -> pa.RecordBatch:
         known = rows.column(0).is_valid().to_numpy(zero_copy_only=False)
         doc = rows.column(0).fill_null(0).to_numpy()
         key, start, end = (rows.column(k).to_numpy() for k in (1, 2, 3))
@@ -398,21 +396,63 @@ def _united(spans: DataFrame, first: list[str]) -> DataFrame:
         new[1:] |= start[1:] >= reach[:-1]
         at = np.flatnonzero(new)
         columns = [rows.column(0).take(pa.array(at)), pa.array(key[at]), pa.array(start[at]), pa.array(np.maximum.reduceat(end, at))]
-        if first:
-            nobody = np.iinfo(np.int64).max
-            least = np.minimum.reduceat(rows.column(4).fill_null(nobody).to_numpy(), at)
-            columns.append(pa.array(least, mask=least == nobody))
         return pa.record_batch(columns, names=names)
 
     return ordered.mapInArrow(unite, ordered.schema)
 
 
+def _passage_windows(texts: DataFrame, passages: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, place, core, window``: each ``MIN_WORDS`` words within a passage, named by two hashes."""
+    of_text = passages.groupBy(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).agg(
+        F.collect_set(F.struct("start_word", "end_word")).alias("passages")  # of one text
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_hash"))
+    both = texts.join(of_text, same).select("doc_id", "text_hash", "text", "passages")
+
+    def cut(batches):
+        for b in batches:
+            spans, lists = b.column("passages").flatten(), np.diff(b.column("passages").offsets.to_numpy())
+            starts, ends = (spans.field(k).to_numpy() for k in (0, 1))
+            reach = np.concatenate([[0], np.cumsum(lists)])
+            for i, j, word, firsts, _ in _each_shard(b):
+                own = np.repeat(np.arange(j - i), lists[i:j])
+                first, n = starts[reach[i] : reach[j]], ends[reach[i] : reach[j]] - starts[reach[i] : reach[j]] - MIN_WORDS + 1
+                own, place = np.repeat(own, n), np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+                at, rows = firsts[own] + place, pa.array(i + own)
+                yield pa.record_batch(
+                    [
+                        b.column("doc_id").take(rows),
+                        b.column("text_hash").take(rows),
+                        pa.array(place.astype(np.int32)),
+                        pa.array(run_hashes(word, CORE)[at].view(np.int64)),
+                        pa.array(run_hashes(word, MIN_WORDS)[at].view(np.int64)),
+                    ],
+                    names=["doc_id", "text_hash", "place", "core", "window"],
+                )
+
+    return both.mapInArrow(cut, "doc_id long, text_hash long, place int, core long, window long")
+
+
+def later_repeats(docs: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, start_word, end_word``: the words of all ``MIN_WORDS`` words that an earlier document has too.
+
+    The first document of each window is that with its smallest doc_id, so a word is named only if an earlier
+    document holds it within the same window, and of all its copies the earliest is never named.
+    """
+    windows = stored(_passage_windows(keyed_texts(docs), stored(repeated_passages(docs), "passages")), "passage-windows")
+    groups = windows.groupBy("core", "window").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
+    firsts = stored(groups.where((F.col("n") > 1) & F.col("first").isNotNull()).select("core", "window", "first"), "first-windows")
+    later = windows.join(firsts, ["core", "window"]).where(~F.col("doc_id").eqNullSafe(F.col("first")))
+    return _united(later.select("doc_id", "text_hash", "place", F.lit(0).alias("left_reach"), F.lit(SIDE).alias("right_reach")))
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` without the words of repeated passages that stand in an earlier document too.
 
-    Cut from the first to the last word of a passage; the document with the smallest doc_id keeps it.
+    Of every ``MIN_WORDS`` words the document with the smallest doc_id is the first; the others lose them, so no
+    word is lost to all. Copies within one document stay, as do those of rows without a doc_id alone.
     """
-    cut = repeated_passages(docs, first=True).where(~F.col("doc_id").eqNullSafe(F.col("first_doc_id")))
+    cut = later_repeats(docs)
     doc, key, spans = fresh(docs, "doc", "key", "spans")
     own = cut.groupBy(F.col("doc_id").alias(doc), F.col("text_hash").alias(key)).agg(
         F.collect_set(F.struct("start_word", "end_word")).alias(spans)  # of one text
