@@ -4,8 +4,8 @@ Every stage takes the session, the documents its predecessor kept and the data
 folder. Its result is written as Parquet and read again as the next one's
 documents. All but the last return the columns of ``documents``.
 
-Nulls: a null text has no letter, so the first stage rejects it; rows without a
-doc_id pass the near-duplicate stage as they are. An empty table gives an empty
+Nulls: a null text has no letter, so the first stage rejects it; if no document
+outside the held-out fold has a lang, it keeps all documents with a letter; rows without a doc_id pass the near-duplicate stage as they are. An empty table gives an empty
 result, extra columns go along up to the last stage.
 """
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tests.llm import brute
 from tidemark.llm import language
@@ -66,6 +68,15 @@ def test_stages_on_awkward_rows(spark, docs, sf_dir):
     _checked(spark, docs, sf_dir, table(spark, sf_dir, "benchmark"))
 
 
+def test_without_labels_documents_with_a_letter_stay(spark, docs, rows, sf_dir):
+    held = docs.where(language.held_out() & F.col("lang").isNotNull())
+    for df in (docs.withColumn("lang", F.lit(None).cast("string")), held):
+        kept = corpus_pipeline.STAGES[0][1](spark, df, sf_dir)
+        assert kept.columns == docs.columns
+        expected = Counter(r for r in _rows(df) if any(c.isalpha() for c in r[2] or ""))
+        assert expected and Counter(_rows(kept)) == expected
+
+
 def test_no_documents(spark, no_docs, sf_dir):
     docs = no_docs
     for _, stage in corpus_pipeline.STAGES:

@@ -218,7 +218,10 @@ def _predict(net: ByteNet | None):
 
 
 def keep_identified(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
-    """Rows whose language is determined with at least ``min_score``, all columns kept."""
+    """Rows whose language is determined with at least ``min_score``, all columns kept.
+
+    Without any labelled row nothing can be determined, and all rows with a letter are kept.
+    """
     net = trained(docs)
     (seen,) = fresh(docs, "seen")
     own, names = docs.withColumn(seen, F.when(_has_letter(), F.col("text")).otherwise("")), docs.columns
@@ -226,7 +229,7 @@ def keep_identified(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
     def keep(batches):
         for b in batches:
             raw, offsets = buffers(b.column(seen))
-            best = np.zeros(b.num_rows) if net is None else text_probabilities(net, raw, offsets).max(axis=1)
-            yield b.select(names).filter(pa.array(best >= min_score))
+            kept = np.diff(offsets) > 0 if net is None else text_probabilities(net, raw, offsets).max(axis=1) >= min_score
+            yield b.select(names).filter(pa.array(kept))
 
     return own.mapInArrow(keep, docs.schema)
