@@ -344,6 +344,16 @@ def test_odd_vectors_and_ties(spark):
         assert not found
 
 
+def test_query_blocks_are_not_kept_in_the_plan(spark):
+    """With several blocks the result is read from one stored table: no branch and no block for each."""
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(n, [float(x) for x in rng.normal(size=9)]) for n in range(400)], "vec_id long, embedding array<double>")
+    found = ann.nearest(df, every=20, block_bytes=200)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and "InArrow" not in plan and "neighbours-" in found.inputFiles()[0]
+    assert tuples(found) == tuples(ann.nearest(df, every=20))
+
+
 def test_few_or_no_vectors(spark):
     few = spark.createDataFrame([(0, [1.0, 2.0]), (1, [3.0, 4.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in ann.nearest(few).collect()] == [(0, 1, 1, 11.0)]

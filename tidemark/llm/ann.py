@@ -21,14 +21,12 @@ count once, with the smallest of their vectors.
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import gathered, stored
 
 FIT_ROWS = 10_000
 BLOCK_BYTES = 16_000_000
@@ -178,14 +176,17 @@ def nearest(vectors: DataFrame, queries: DataFrame | None = None, k: int = 20, e
     size = len(coder.centre)
     asked = codes.where(F.col("vec_id") % every == 0) if queries is None else usable(queries).where(F.size("embedding") == size)
     blocks = asked.count() * size * 8 // block_bytes + 1
-    parts = []
-    for n in range(blocks):
-        block = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == n).select("vec_id", "embedding").toArrow()
-        if block.num_rows:
-            ids, values = block["vec_id"].to_numpy(), _matrix(block["embedding"].combine_chunks())
-            parts.append(codes.mapInArrow(_search(coder, ids, values, k), "query_id long, vec_id long, score double"))
-    if not parts:
+
+    def searched():
+        for n in range(blocks):
+            block = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == n).select("vec_id", "embedding").toArrow()
+            if block.num_rows:
+                ids, values = block["vec_id"].to_numpy(), _matrix(block["embedding"].combine_chunks())
+                yield codes.mapInArrow(_search(coder, ids, values, k), "query_id long, vec_id long, score double")
+
+    # With several blocks the driver holds one at a time, whatever their number.
+    found = next(searched(), None) if blocks == 1 else gathered(searched(), "neighbours")
+    if found is None:
         return vectors.sparkSession.createDataFrame([], empty)
-    found = reduce(DataFrame.unionByName, parts)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from uuid import uuid4
 
 import numpy as np
@@ -30,6 +31,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def gathered(frames: Iterator[DataFrame], name: str) -> DataFrame | None:
+    """The rows of all ``frames``, each written before the next one is made; None without a frame."""
+    path = schema = None
+    for df in frames:
+        spark = df.sparkSession
+        path = path or f"{shared_dir(spark)}/llm-{spark.sparkContext.applicationId}/{name}-{uuid4().hex}"
+        schema = df.schema
+        df.write.mode("append").parquet(path)
+    return None if path is None else spark.read.schema(schema).parquet(path)
+
+
 def keyed_texts(docs: DataFrame) -> DataFrame:
     """``doc_id, text, text_hash``: a null text is empty, and the pair names a row.
 
