@@ -1,11 +1,12 @@
-"""Best-fit packing by exact-complement hashing.
+"""Best-fit packing by exact complements.
 
 Documents become ids, longer ones are cut, and the pieces of one length are
 interchangeable. So the plan is made on the histogram of lengths, which has at
 most ``capacity`` entries however many documents there are: the longest open
-length is put down, and the index of single, pair and triple sums is asked for
-combinations that fill its gap exactly; as many sequences are made that way as
-the available counts allow. What has no exact complement is filled best-fit. A
+length is put down, and single lengths, pairs and triples that fill its gap
+exactly are searched for in the histogram (no index of their sums is built, the
+search over the counts is complete); as many sequences are made that way as the
+available counts allow. What has no exact complement is filled best-fit. A
 step uses up at least one length for its pattern, so the plan stays that small.
 
 Each piece then finds its place by its running number among the pieces of its
