@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from collections import Counter
+from functools import lru_cache
 from itertools import combinations
 
 import xxhash
@@ -159,3 +161,73 @@ def pieces(text: str | None, tokenizer, capacity: int = 2048) -> list[tuple]:
     ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
     cut = [ids[k : k + capacity] for k in range(0, len(ids), capacity)]
     return [(k, k * capacity, len(p), zlib.crc32(b"".join(i.to_bytes(4, "little") for i in p))) for k, p in enumerate(cut)]
+
+
+# --- cross-tokenizer alignment --------------------------------------------------------------
+
+
+@lru_cache
+def _tokenizers(a_path, b_path):
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a = Tokenizer.from_file(a_path)
+    a.encode_special_tokens = True
+    return a, sentencepiece.SentencePieceProcessor(model_file=b_path)
+
+
+def _tokens(text, a_path, b_path):
+    """(id, bytes) of both sequences, or nothing where they don't give the text back."""
+    a, b = _tokenizers(a_path, b_path)
+    if not text:
+        return [], []
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters = {chr(n): n for n in printable} | {chr(256 + k): n for k, n in enumerate(n for n in range(256) if n not in printable)}
+    one = [(n, bytes(letters[c] for c in a.id_to_token(n))) for n in a.encode(" " + text, add_special_tokens=False).ids]
+    two = []
+    for n in b.encode(text):
+        piece = b.id_to_piece(n)
+        byte = len(piece) == 6 and piece.startswith("<0x")
+        two.append((n, bytes([int(piece[3:5], 16)]) if byte else piece.replace("▁", " ").encode()))
+    whole = (" " + text).encode()
+    if any(b"".join(x for _, x in own) != whole for own in (one, two)):
+        return [], []
+    return one, two
+
+
+def aligned(docs, a_path, b_path):
+    """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of every row."""
+    kept, holders = [], Counter()
+    for doc, text in docs:
+        one, two = _tokens(text, a_path, b_path)
+        groups, i, j, x, y, a, b = [], 0, 0, 0, 0, [], []
+        while i < len(one) or j < len(two):
+            if x <= y and i < len(one):
+                a.append(one[i][0])
+                x += len(one[i][1])
+                i += 1
+            else:
+                b.append(two[j][0])
+                y += len(two[j][1])
+                j += 1
+            if x == y:
+                groups.append((a, b))
+                a, b = [], []
+        links = Counter()
+        for a, b in groups:
+            for p, n in Counter(a).items():
+                for q, m in Counter(b).items():
+                    links[p, q] += n * m
+        kept.append((doc, len(one), len(two), groups, links))
+        holders.update(links.keys())
+    best = Counter()
+    for (p, _), n in holders.items():
+        best[p] = max(best[p], n)
+    out = []
+    for doc, n, m, groups, links in kept:
+        listed = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups)
+        out.append((
+            doc, n, m, len(groups), sum(links.values()), sum(k for p, k in links.items() if holders[p] == best[p[0]]),
+            sum(k * holders[p] for p, k in links.items()), hashlib.sha256(listed.encode()).hexdigest() if groups else "",
+        ))
+    return out

@@ -104,6 +104,21 @@ class _Powers:
         return cls.up, cls.down
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd base and of its inverse, for rolling hashes of up to ``n`` places."""
+    return _Powers.of(n)
+
+
+def byte_letters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if printable, else the next beyond 255."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    out, spare = [], 256
+    for byte in range(256):
+        out.append(chr(byte if byte in printable else spare))
+        spare += byte not in printable
+    return out
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser of 64-bit values."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import NOT_SPACE, buffers, shards, stored, words
+from tidemark.llm.common import NOT_SPACE, buffers, byte_letters, shards, stored, words
 
 CAPACITY = 2048
 WORDS, CORES = 1_000_000, 450_000  # words and their parts whose ids a worker remembers
@@ -43,17 +43,7 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def _byte_letters() -> list[str]:
-    """The character that stands for each byte in a byte-level vocabulary: itself if printable, else the next beyond 255."""
-    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    out, spare = [], 256
-    for byte in range(256):
-        out.append(chr(byte if byte in printable else spare))
-        spare += byte not in printable
-    return out
-
-
-_LETTERS = _byte_letters()
+_LETTERS = byte_letters()
 _PLAIN = re.compile("[a-z]+")
 _LATIN = re.compile("[a-zß-öø-ÿ]+")
 _SIGNS = b".,;:!?"

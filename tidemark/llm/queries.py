@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import ann, decontaminate, language, licenses, line_dedup, packing, pii, simhash, suffix_dedup, token_counts
+from tidemark.llm import alignment, ann, decontaminate, language, licenses, line_dedup, packing, pii, simhash, suffix_dedup, token_counts
 from tidemark.llm.common import table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -73,6 +73,11 @@ def op10_language(spark, d):
     return language.identify(table(spark, d, "documents"))
 
 
+@query
+def op13_token_alignment(spark, d):
+    return alignment.align(table(spark, d, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
 def op1_shortened_texts(spark, d):
     """The removal to :func:`op1_suffix_dedup`, whose columns are those of its SQL: every text without its later repeats."""
     return suffix_dedup.remove_repeats(table(spark, d, "documents")).select("doc_id", "text")
