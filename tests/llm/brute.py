@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 import zlib
 from collections import Counter
@@ -231,3 +232,65 @@ def aligned(docs, a_path, b_path):
             sum(k * holders[p] for p, k in links.items()), hashlib.sha256(listed.encode()).hexdigest() if groups else "",
         ))
     return out
+
+
+# --- conversation repair --------------------------------------------------------------------
+
+
+def damaged(turns):
+    """conv_id, turn, role, text after damage, and all conv_ids."""
+    out = []
+    for conv, turn, role, text in turns:
+        role, text = " " if role is None else role, " " if text is None else text
+        harm = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if harm == 0:
+            continue
+        text = "" if harm == 1 else re.sub("[.!?]", "", text) if harm == 2 else text
+        out += [(conv, turn, "user" if harm == 4 else role, text)] * (2 if harm == 3 else 1)
+    return out, {t[0] for t in turns}
+
+
+def edits(rows):
+    """Cost, audit and turns of the cheapest edits of [(initial, fault, text)], by a queue in order of (cost, audit)."""
+    follow = {"": "su", "s": "u", "u": "a", "a": "u"}
+    queue, done = [(0, "", 0, "", ())], set()
+    while True:
+        cost, audit, i, last, made = heapq.heappop(queue)
+        if (i, last) in done:
+            continue
+        done.add((i, last))
+        if i == len(rows) and last in ("", "a"):
+            return cost, audit, made
+        put = "a" if last == "u" else "u"
+        name = {"u": "user", "a": "assistant"}[put]
+        heapq.heappush(queue, (cost + 2, audit + "I", i, put, (*made, f"{name}:")))
+        if i < len(rows):
+            role, fault, text = rows[i]
+            heapq.heappush(queue, (cost + 3, audit + "D", i + 1, last, made))
+            if fault not in ("blank", "duplicate"):
+                more = int(fault == "truncated")
+                if role[:1] and role[:1] in follow[last]:
+                    heapq.heappush(queue, (cost + more, audit + "K", i + 1, role[:1], (*made, f"{role}:{text}")))
+                heapq.heappush(queue, (cost + 2 + more, audit + "R", i + 1, put, (*made, f"{name}:{text}")))
+
+
+def repaired(turns):
+    """The rows of conversations after damage, one conversation at a time."""
+    rows, convs = damaged(turns)
+    out = []
+    for conv in convs:
+        own = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1] is not None, r[1] or 0, r[2].encode(), r[3].encode()))
+        given, seen = [r[1] for r in own if r[1] is not None], set()
+        faulty = []
+        for _, _, role, text in own:
+            shown = re.findall(r"[^\x20\x09-\x0D]", text)
+            fault = "blank" if not shown else "duplicate" if (role, text) in seen else "truncated" if shown[-1] not in ".!?" else ""
+            seen.add((role, text))
+            faulty.append((role, fault, text))
+        count = Counter(f for _, f, _ in faulty)
+        illegal = sum(x[2][:1] + y[2][:1] not in ("su", "ua", "au") for x, y in zip(own, own[1:]))
+        cost, audit, made = edits(faulty)
+        gaps = max(given) - min(given) + 1 - len(set(given)) if given else 0
+        digest = hashlib.sha256("\n".join(made).encode()).hexdigest()
+        out.append((conv, gaps, count["blank"], count["duplicate"], count["truncated"], illegal, cost, audit, digest))
+    return out

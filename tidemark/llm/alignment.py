@@ -10,7 +10,7 @@ first common end, closed groups, and an open suffix behind the last. Two
 neighbours compose by closing the left one's suffix with the right one's prefix,
 which is associative, so the fragments of a very long document are made in
 different tasks and composed in a tree. Texts of at most ``CHUNK_BYTES`` are one
-range, and the texts a task reads are worked on together. To encode a range
+range, and the texts a task reads are worked on together, units of them that it has met not encoded again. To encode a range
 alone it is widened to places where both tokenizers begin anew: a blank
 before a character that is neither white space nor the mark of a blank, not
 behind a blank. A run without such a place is encoded as one.
@@ -40,7 +40,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import buffers, byte_letters, mixed, powers, shards, stored
 
 CHUNK_BYTES = 65_536
-SHARD_BYTES = 4_000_000
+SHARD_BYTES = 1_000_000
+KNOWN_BYTES = 24_000_000  # of ids a task remembers
+JOINED = 16_384  # bytes encoded in one call
 FAN = 8  # fragments composed by one step of the tree
 HEAD = 500_000  # pairs handed to every task
 DIRECT = 4_096  # links of a group that are written out one by one; larger groups go by distinct ids
@@ -80,14 +82,49 @@ class Pair:
         self.a_length = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_length = np.array([len(x) for x in self.b_bytes], np.int64)
 
-    def cut(self, units: list[bytes]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
-        """A and B ids of each unit (which begins with a blank), and whether both give back its bytes."""
-        texts = [u.decode() for u in units]
-        a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-        b = self.b.encode([t[1:] for t in texts], num_threads=1)
-        of_a, of_b = self.a_bytes.__getitem__, self.b_bytes.__getitem__
-        whole = [b"".join(map(of_a, x)) == u and b"".join(map(of_b, y)) == u for x, y, u in zip(a, b, units)]
-        return a, b, np.array(whole, bool)
+    def cut(self, units: list[bytes]) -> list[tuple[np.ndarray, ...]]:
+        """For A and for B: all ids of the units (which begin with a blank), where each one's begin, how many, and which come back whole."""
+        regular = [len(u) > 1 and bool(_OPENS[u[1]]) and u[-1] not in (32, 0x81) for u in units]
+        order = sorted(range(len(units)), key=regular.__getitem__, reverse=True)  # these may stand behind one another
+        n, groups, size = sum(regular), [], JOINED
+        for k in order[:n]:
+            if size >= JOINED:
+                groups.append([])
+                size = 0
+            groups[-1].append(k)
+            size += len(units[k])
+        groups += [[k] for k in order[n:]]
+        return [self._cut(units, groups, *of) for of in ((self._a_ids, self.a_bytes, self.a_length), (self._b_ids, self.b_bytes, self.b_length))]
+
+    def _a_ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _b_ids(self, texts: list[str]) -> list[list[int]]:
+        return self.b.encode([t[1:] for t in texts], num_threads=1)  # puts the first blank in itself
+
+    @staticmethod
+    def _cut(units, groups, encode, entries, length):
+        begin, count, whole = np.zeros(len(units), np.int64), np.zeros(len(units), np.int64), np.zeros(len(units), bool)
+        flat, total = [], 0
+        joined = [b"".join([units[k] for k in g]) for g in groups]
+        alone: list = []
+        of = entries.__getitem__
+        for g, text, ids in zip(groups, joined, encode([t.decode() for t in joined])):
+            if b"".join(map(of, ids)) != text:
+                alone += g if len(g) > 1 else []
+                continue
+            own = np.array(ids, np.uint16)
+            stops = np.searchsorted(np.cumsum(length[own]), np.cumsum([len(units[k]) for k in g]), "right")
+            begin[g], whole[g] = total + np.append(0, stops[:-1]), True
+            count[g] = np.diff(stops, prepend=0)
+            flat.append(own)
+            total += len(own)
+        for k, ids in zip(alone, encode([units[k].decode() for k in alone])):
+            if b"".join(map(of, ids)) == units[k]:
+                begin[k], count[k], whole[k] = total, len(ids), True
+                flat.append(np.array(ids, np.uint16))
+                total += len(ids)
+        return np.concatenate(flat) if flat else np.zeros(0, np.uint16), begin, count, whole
 
 
 @lru_cache(maxsize=1)
@@ -235,34 +272,64 @@ def _documents(rows: np.ndarray, names: pa.Array, groups: np.ndarray, a, b, na,
 # --- encoding -------------------------------------------------------------------------------
 
 
-def _streams(pair: Pair, raw: np.ndarray, offsets: np.ndarray):
-    """Of texts that each begin with a blank: A and B ids, where they end in ``raw``, and which texts come back whole.
-
-    Every distinct unit between two cuts is encoded once.
-    """
+class Known:
+    """Ids of the units a task has met, as sorted hashes and flat arrays of bounded size."""
+
+    def __init__(self, pair: Pair):
+        self.pair = pair
+        self._forget()
+
+    def _forget(self) -> None:
+        self.hash, self.good = np.zeros(0, np.uint64), np.zeros(0, bool)
+        self.ids = [np.zeros(0, np.uint16)] * 2  # of A and of B; where each unit's begin, and how many there are
+        self.begin, self.count = [np.zeros(0, np.int32)] * 2, [np.zeros(0, np.int32)] * 2
+
+    def _bytes(self) -> int:
+        return self.hash.nbytes + self.good.nbytes + sum(x.nbytes for own in (self.ids, self.begin, self.count) for x in own)
+
+    def find(self, hashes: np.ndarray, data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Places of all units, after those not met before were encoded, each once."""
+        if self._bytes() > KNOWN_BYTES:
+            self._forget()
+        at = np.searchsorted(self.hash, hashes)
+        new = np.flatnonzero(np.append(self.hash, np.uint64(0))[at] != hashes) if len(self.hash) else np.arange(len(hashes))
+        if not len(new):
+            return at
+        fresh, first = np.unique(hashes[new], return_index=True)
+        first = new[first]
+        cut = self.pair.cut([data[i:j] for i, j in zip(starts[first].tolist(), ends[first].tolist())])
+        hashes_now = np.concatenate([self.hash, fresh])
+        order = np.argsort(hashes_now, kind="stable")
+        self.hash = hashes_now[order]
+        self.good = np.concatenate([self.good, cut[0][3] & cut[1][3]])[order]
+        for k, (ids, begin, count, _) in enumerate(cut):
+            self.begin[k] = np.concatenate([self.begin[k], (len(self.ids[k]) + begin).astype(np.int32)])[order]
+            self.count[k] = np.concatenate([self.count[k], count.astype(np.int32)])[order]
+            self.ids[k] = np.concatenate([self.ids[k], ids])
+        return np.searchsorted(self.hash, hashes)
+
+
+def _streams(known: Known, raw: np.ndarray, offsets: np.ndarray):
+    """Of texts that each begin with a blank: A and B ids, where they end in ``raw``, and which texts come back whole."""
     starts = np.union1d(cuts(raw), offsets[:-1][offsets[:-1] < offsets[1:]])
-    ends = np.append(starts[1:], len(raw))
+    ends = np.append(starts[1:], len(raw))[: len(starts)]
     up, down = powers(len(raw) + 1)
     total = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=total[1:])
     hashes = mixed((total[ends] - total[starts]) * down[starts] ^ ((ends - starts).astype(np.uint64) << np.uint64(40)))
-    _, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-    data = raw.tobytes()
-    a, b, whole = pair.cut([data[i:j] for i, j in zip(starts[first].tolist(), ends[first].tolist())])
+    unit = known.find(hashes, raw.tobytes(), starts, ends)
     text_of = np.searchsorted(offsets, starts, "right") - 1
     good = np.ones(len(offsets) - 1, bool)
-    good[text_of[~whole[inverse]]] = False
+    good[text_of[~known.good[unit]]] = False
     used = good[text_of]
+    unit, starts, size = unit[used], starts[used], (ends - starts)[used]
+    shift = starts - (np.cumsum(size) - size)  # the ids' ends are counted over the used units alone
     out = []
-    for ids, length in ((a, pair.a_length), (b, pair.b_length)):
-        count = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((x for own in ids for x in own), np.int32, int(count.sum()))
-        unit = inverse[used]
-        own = flat[np.repeat((np.cumsum(count) - count)[unit], count[unit]) + _spread(count[unit])]
-        inside = np.cumsum(length[own])  # ends, counted over the used units alone
-        used_before = np.cumsum((ends - starts)[used]) - (ends - starts)[used]
-        out += [own, inside + np.repeat(starts[used] - used_before, count[unit])]
-    return out[0], out[1], out[2], out[3], good
+    for k, length in enumerate((known.pair.a_length, known.pair.b_length)):
+        count = known.count[k][unit]
+        own = known.ids[k][np.repeat(known.begin[k][unit], count) + _spread(count)].astype(np.int32)
+        out += [own, np.cumsum(length[own]) + np.repeat(shift, count)]
+    return *out, good
 
 
 def _with_blanks(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -289,12 +356,12 @@ def _short(texts: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """Documents of one range."""
 
     def align(batches):
-        pair, numbers = _pair(a_path, b_path), _Numbers()
+        known, numbers = Known(_pair(a_path, b_path)), _Numbers()
         for batch in batches:
             raw, offsets = buffers(batch.column("text"))
             for i, j in shards(offsets, SHARD_BYTES):
                 data, at = _with_blanks(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                a, a_end, b, b_end, _ = _streams(pair, data, at)
+                a, a_end, b, b_end, _ = _streams(known, data, at)
                 one = fragment(a, b, a_end, b_end)
                 na, nb = np.append(len(one.pa), one.na)[: len(one.na) + one.closed], np.append(len(one.pb), one.nb)[: len(one.nb) + one.closed]
                 group_end = a_end[np.cumsum(na) - 1] if one.closed else a_end[:0]
@@ -348,10 +415,10 @@ def _reduced(ranges: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """One fragment for each long document."""
 
     def encode(batches):
-        pair = _pair(a_path, b_path)
+        known = Known(_pair(a_path, b_path))
         for batch in batches:
             for r in batch.to_pylist():
-                a, a_end, b, b_end, good = _streams(pair, np.frombuffer(r["text"], np.uint8), np.array([0, len(r["text"])]))
+                a, a_end, b, b_end, good = _streams(known, np.frombuffer(r["text"], np.uint8), np.array([0, len(r["text"])]))
                 a_in, b_in = ((e > r["low"] - r["begin"]) & (e <= r["high"] - r["begin"]) for e in (a_end, b_end))
                 part = fragment(a[a_in], b[b_in], a_end[a_in], b_end[b_in])
                 yield _fragment_batch([(r["row"], r["doc_id"], r["part"], r["parts"], bool(good[0]), part)])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import alignment, ann, decontaminate, language, licenses, line_dedup, packing, pii, simhash, suffix_dedup, token_counts
+from tidemark.llm import alignment, ann, conversations, decontaminate, language, licenses, line_dedup, packing, pii, sharding, simhash, suffix_dedup, token_counts
 from tidemark.llm.common import table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -73,6 +73,16 @@ def op10_language(spark, d):
     return language.identify(table(spark, d, "documents"))
 
 
+@query
+def op11_conversation_repair(spark, d):
+    return conversations.repair(conversations.damaged(table(spark, d, "conversations")), texts=False)[0]
+
+
+@query
+def op12_kd_shards(spark, d):
+    return sharding.shard_documents(table(spark, d, "documents"))
+
+
 @query
 def op13_token_alignment(spark, d):
     return alignment.align(table(spark, d, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
