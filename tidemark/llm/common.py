@@ -151,10 +151,11 @@ def shards(offsets: np.ndarray, size: int):
         i = min(j, n)
 
 
-def words(raw: np.ndarray, offsets: np.ndarray, kept: np.ndarray = ALNUM):
+def words(raw: np.ndarray, offsets: np.ndarray, kept: np.ndarray = ALNUM, breaks: np.ndarray | None = None):
     """Start and end byte of every word, its 64-bit hash, and per text the number of the first word.
 
     ASCII capitals count as small letters. ``raw`` holds the texts of ``offsets`` one after the other.
+    A word also ends where ``breaks``, one flag for each byte, says that another begins.
     """
     n = len(raw)
     if n == 0:
@@ -166,6 +167,8 @@ def words(raw: np.ndarray, offsets: np.ndarray, kept: np.ndarray = ALNUM):
     edge[1:] = inside[1:] & ~inside[:-1]
     firsts = offsets[:-1][offsets[:-1] < n]
     edge[firsts] = inside[firsts]
+    if breaks is not None:
+        edge |= breaks & inside
     starts = np.flatnonzero(edge)
     last = np.empty(n, bool)
     last[-1] = inside[-1]

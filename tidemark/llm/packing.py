@@ -3,11 +3,11 @@
 Documents become ids, longer ones are cut, and the pieces of one length are
 interchangeable. So the plan is made on the histogram of lengths, which has at
 most ``capacity`` entries however many documents there are: the longest open
-length is put down, and single lengths, pairs and triples that fill its gap
-exactly are searched for in the histogram (no index of their sums is built, the
-search over the counts is complete); as many sequences are made that way as the
-available counts allow. What has no exact complement is filled best-fit. A
-step uses up at least one length for its pattern, so the plan stays that small.
+length is put down, and the gap it leaves is looked up in an index of the sums of
+single lengths, pairs and triples. As many sequences are made that way as the
+available counts allow, which the index follows. What has no exact complement is
+filled best-fit. A step uses up at least one length for its pattern, so the plan
+stays that small.
 
 Each piece then finds its place by its running number among the pieces of its
 length: tasks number their own pieces, and the tasks' counts per length give
@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import NOT_SPACE, buffers, byte_letters, shards, stored, words
 
 CAPACITY = 2048
-WORDS, CORES = 1_000_000, 450_000  # words and their parts whose ids a worker remembers
+KNOWN_BYTES = 24_000_000  # of the ids a worker remembers, checked before every shard
+SHARD_BYTES = 1_000_000
 
 
 @lru_cache(maxsize=2)
@@ -46,42 +47,51 @@ def _tokenizer(path: str):
 _LETTERS = byte_letters()
 _PLAIN = re.compile("[a-z]+")
 _LATIN = re.compile("[a-zß-öø-ÿ]+")
-_SIGNS = b".,;:!?"
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_SIGN = np.zeros(256, bool)
+_SIGN[list(b".,;:!?")] = True
 
 
 class Ids:
-    """Ids of texts, word by word between ASCII white space.
+    """Ids of texts, part by part of the words between ASCII white space.
 
-    The tokenizer drops white space and merges nothing across it, and it folds
-    case, so a word's ids do not depend on what surrounds it nor on its capitals.
-    Words are told apart by a 64-bit hash; those a worker does not remember are
-    cut into ids once, all others are looked up for a whole shard at a time. Texts
+    The tokenizer drops white space and merges nothing across it, it cuts a sign off
+    the letter before it, and it folds case, so a part's ids do not depend on what
+    surrounds it nor on its capitals. Parts are told apart by a 64-bit hash; those not
+    met before are cut into ids once, all others are looked up for a whole shard at a
+    time. What is remembered are flat arrays of at most ``KNOWN_BYTES`` and one shard. Texts
     with the first signs of a special token go through the tokenizer as they are.
     """
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
         self._forget()
-        self.cores: dict[bytes, tuple[int, ...]] = {}  # by small word without signs at its end
 
     def _forget(self) -> None:
         self.hash = np.zeros(0, np.uint64)  # sorted; where the ids of each begin in `ids`, and how many
-        self.begin = self.count = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, "<u4")
+        self.begin = self.count = np.zeros(0, np.int32)
+        self.ids = np.zeros(0, np.uint16)
 
     def of(self, raw: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         """Ids of each text of a shard."""
-        starts, ends, hashes, firsts = words(raw, offsets, NOT_SPACE)
-        unique, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.hash) > WORDS:
+        if self.hash.nbytes + self.begin.nbytes + self.count.nbytes + self.ids.nbytes > KNOWN_BYTES:
             self._forget()
+        signs = np.zeros(len(raw), bool)
+        signs[1:] = _SIGN[raw[1:]] & _LETTER[raw[:-1]]
+        starts, ends, hashes, firsts = words(raw, offsets, NOT_SPACE, signs)
         whole = raw.tobytes()
-        self._learn(unique, [whole[a:b] for a, b in self._new(unique, starts[first], ends[first])])
-        at = np.searchsorted(self.hash, unique)
-        count, begin = self.count[at][inverse], self.begin[at][inverse]
+        at = self._places(hashes)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            unique, first = np.unique(hashes[new], return_index=True)
+            first = new[first]
+            self._learn(unique, [whole[i:j].lower() for i, j in zip(starts[first].tolist(), ends[first].tolist())])
+            at = self._places(hashes)
+        count = self.count[at].astype(np.int64)
         total = np.cumsum(count)
         step = np.arange(total[-1] if len(total) else 0) - np.repeat(total - count, count)
-        ids = self.ids[np.repeat(begin, count) + step]
+        ids = self.ids[np.repeat(self.begin[at], count) + step].astype("<u4")
         bounds = np.append(0, total)[firsts]
         out = [ids[i:j] for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
         if b"<|" in whole:
@@ -90,44 +100,25 @@ class Ids:
                     out[k] = np.array(self.tokenizer.encode(whole[i:j].decode(), add_special_tokens=False).ids, "<u4")
         return out
 
-    def _new(self, unique, starts, ends):
-        at = np.minimum(np.searchsorted(self.hash, unique), max(0, len(self.hash) - 1))
-        unknown = np.flatnonzero(self.hash[at] != unique) if len(self.hash) else np.arange(len(unique))
-        self._unknown = unknown
-        return zip(starts[unknown].tolist(), ends[unknown].tolist())
-
-    def _learn(self, unique: np.ndarray, new: list[bytes]) -> None:
-        if not new:
-            return
-        parts = [self._parts(w) for w in new]
-        if len(self.cores) > CORES:
-            self.cores = {}
-        cores = self.cores
-        missing = list({p for own in parts for p in own if p not in cores})
-        cores.update(zip(missing, self._cut(missing)))
-        ids = [cores[own[0]] if len(own) == 1 else cores[own[0]] + cores[own[1]] for own in parts]
-        count = np.fromiter(map(len, ids), np.int64, len(ids))
-        begin = len(self.ids) + np.cumsum(count) - count
-        flat = np.fromiter(chain.from_iterable(ids), "<u4", int(count.sum()))
-        hashes = np.concatenate([self.hash, unique[self._unknown]])
-        order = np.argsort(hashes)
+    def _places(self, hashes: np.ndarray) -> np.ndarray:
+        """Where each hash is known, or -1."""
+        if not len(self.hash):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.hash, hashes), len(self.hash) - 1)
+        return np.where(self.hash[at] == hashes, at, -1)
+
+    def _learn(self, unique: np.ndarray, parts: list[bytes]) -> None:
+        ids = self._cut(parts)
+        count = np.fromiter(map(len, ids), np.int32, len(ids))
+        begin = (len(self.ids) + np.cumsum(count) - count).astype(np.int32)
+        flat = np.fromiter(chain.from_iterable(ids), np.uint16, int(count.sum()))
+        hashes = np.concatenate([self.hash, unique])
+        order = np.argsort(hashes, kind="stable")
         self.hash = hashes[order]
         self.begin = np.concatenate([self.begin, begin])[order]
         self.count = np.concatenate([self.count, count])[order]
         self.ids = np.concatenate([self.ids, flat])
 
-    @staticmethod
-    def _parts(word: bytes) -> tuple[bytes, ...]:
-        """A word, or its letters and the signs behind them, which the tokenizer cuts apart."""
-        small = word.lower()  # of bytes: A-Z alone
-        core = small.rstrip(_SIGNS)
-        if len(core) == len(small) or not core:
-            return (small,)
-        # A small letter can end in a mark, which is a sign itself.
-        if 97 <= core[-1] <= 122 or core.decode()[-1].lower()[-1].isalpha():
-            return core, small[len(core) :]
-        return (small,)
-
     def _cut(self, parts: list[bytes]) -> list[tuple[int, ...]]:
         """Ids of each part. Plain Latin letters are one piece as they stand, so the vocabulary's model is asked itself."""
         model, out, others = self.tokenizer.model, [], []
@@ -150,7 +141,6 @@ class Ids:
 
 
 _PIECES = "task int, doc_id long, piece int, start long, length long, ids_crc32 long, number long"
-SHARD_BYTES = 4_000_000
 
 
 @lru_cache(maxsize=1)
@@ -189,25 +179,49 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
 # --- the plan -------------------------------------------------------------------------------
 
 
-def _complement(count: np.ndarray, gap: int) -> list[int] | None:
-    """At most three available lengths that add up to ``gap``, the longest first choice."""
-    if count[gap]:
-        return [gap]
-    a = np.arange((gap + 1) // 2, gap)  # the longer of a pair
-    fits = a[(count[a] > 0) & (count[gap - a] > (a == gap - a))] if gap > 1 else a[:0]
-    if len(fits):
-        return [int(fits[-1]), gap - int(fits[-1])]
-    for longest in np.flatnonzero(count[: gap - 1])[::-1].tolist():
-        rest = gap - longest
-        if rest > 2 * longest:
-            break
-        count[longest] -= 1
-        b = np.arange((rest + 1) // 2, min(rest - 1, longest) + 1)
-        fits = b[(count[b] > 0) & (count[rest - b] > (b == rest - b))]
-        count[longest] += 1
-        if len(fits):
-            return [longest, int(fits[-1]), rest - int(fits[-1])]
-    return None
+class Sums:
+    """Index from a sum to the length, the pair or the three lengths that make it, under the counts left.
+
+    For each sum asked for it keeps how far its pairs and triples were consumed, the
+    longest first. Counts only fall, so a combination that failed never comes back and
+    no entry is looked at twice.
+    """
+
+    def __init__(self, count: np.ndarray):
+        self.count = count
+        self.pairs: dict[int, int] = {}  # sum to the longest length of a pair that may still be there
+        self.triples: dict[int, int] = {}
+
+    def find(self, total: int) -> list[int] | None:
+        """At most three available lengths that add up to ``total``."""
+        if self.count[total]:
+            return [total]
+        return self._pair(total) or self._triple(total)
+
+    def _longest(self, total: int, most: int) -> int:
+        """The longest length up to ``most`` that makes an available pair; 0 if there is none."""
+        a = np.arange(min(most, total - 1), (total + 1) // 2 - 1, -1)
+        fits = (self.count[a] > 0) & (self.count[total - a] > (a == total - a))
+        at = int(np.argmax(fits)) if len(a) else 0
+        return int(a[at]) if len(a) and fits[at] else 0
+
+    def _pair(self, total: int) -> list[int] | None:
+        longest = self.pairs[total] = self._longest(total, self.pairs.get(total, total))
+        return [longest, total - longest] if longest else None
+
+    def _triple(self, total: int) -> list[int] | None:
+        longest = self.triples.get(total, total - 2)
+        while 3 * longest >= total > 2:
+            if self.count[longest]:
+                self.count[longest] -= 1
+                second = self._longest(total - longest, longest)
+                self.count[longest] += 1
+                if second:
+                    self.triples[total] = longest
+                    return [longest, second, total - longest - second]
+            longest -= 1
+        self.triples[total] = 0
+        return None
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
@@ -215,13 +229,13 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list
     count = np.zeros(capacity + 1, np.int64)
     for length, n in histogram.items():
         count[length] = n
-    patterns = []
+    patterns, sums = [], Sums(count)
     for longest in range(capacity, 0, -1):
         while count[longest]:
             pattern, gap = [longest], capacity - longest
             count[longest] -= 1
             while gap:
-                exact = _complement(count, gap)
+                exact = sums.find(gap)
                 if exact:
                     taken = exact
                 else:  # best fit: the longest that goes in, then ask again
