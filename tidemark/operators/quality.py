@@ -1,4 +1,4 @@
-"""Data-quality checks as one DataFrame of verdicts, and the gate that reads it."""
+"""Data-quality checks, their verdicts, and the gate that reads them; ``suite`` puts all of a load together."""
 
 from __future__ import annotations
 
@@ -14,11 +14,10 @@ from tidemark.operators.parity import (
     difference_sample,
     key_audit,
     key_difference,
-    orphan_count,
     sample_text,
     side_by_side,
 )
-from tidemark.spec import ADVANCE_STATUSES, PROTECTING_STATUSES, TABLES, TableSpec
+from tidemark.spec import ADVANCE_STATUSES, TableSpec
 
 PASS, WARN, FAIL = "PASS", "WARN", "FAIL"
 VERDICT = ["check_name", "dataset", "dimension", "status", "expected", "actual", "details"]
@@ -43,7 +42,7 @@ def _text(value: Column | str) -> Column:
     return F.lit(value) if isinstance(value, str) else value.cast("string")
 
 
-def _verdict(name, dataset, dimension, bad: Column, worst: str, expected, actual, details="") -> Column:
+def verdict(name, dataset, dimension, bad: Column, worst: str, expected, actual, details="") -> Column:
     return F.struct(
         F.lit(name).alias("check_name"),
         F.lit(dataset).alias("dataset"),
@@ -55,7 +54,7 @@ def _verdict(name, dataset, dimension, bad: Column, worst: str, expected, actual
     )
 
 
-def _verdicts(one_row: DataFrame, *checks: Column) -> DataFrame:
+def verdicts(one_row: DataFrame, *checks: Column) -> DataFrame:
     return one_row.select(F.inline(F.array(*checks)))
 
 
@@ -72,19 +71,19 @@ def key_checks(spec: TableSpec, source: DataFrame, target: DataFrame) -> DataFra
     difference = key_difference(source.select(*key), target.select(*key), key)
     audit = side_by_side(key_audit(difference, key), sample_text(difference_sample(difference, key)))
     differs = (F.col("missing") > 0) | (F.col("stale") > 0)
-    return _verdicts(
+    return verdicts(
         audit,
-        _verdict(
+        verdict(
             "source_key_parity", spec.target, "completeness", differs, FAIL,
             F.format_string("%d source keys; 0 missing; 0 stale", "source_keys"),
             F.format_string("%d warehouse keys; %d missing; %d stale", "target_keys", "missing", "stale"),
             F.col("details"),
         ),
-        _verdict(
+        verdict(
             "unique_primary_key", spec.target, "uniqueness", F.col("duplicates") != 0, FAIL,
             "0 duplicates", F.format_string("%d duplicates", "duplicates"),
         ),
-        _verdict(
+        verdict(
             "null_key", spec.target, "completeness", F.col("null_keys") != 0, FAIL,
             "0 null keys", F.format_string("%d null keys", "null_keys"),
         ),
@@ -105,93 +104,6 @@ def null_keys(df: DataFrame, key: list[str]) -> DataFrame:
 # --- relationships and identity -------------------------------------------------------------
 
 
-def _orphan_verdict(name: str, child: str, orphans: str = "orphans") -> Column:
-    return _verdict(
-        name, child, "consistency", F.col(orphans) != 0, FAIL, "0 orphans", F.format_string("%d orphans", orphans)
-    )
-
-
-def relationship_checks(wh: Mapping[str, DataFrame]) -> DataFrame:
-    """The relations beside those of the customers, which :func:`customer_facts` counts."""
-    relations = (
-        ("transactions_have_advance", "transactions_raw", "advance_id", "advances_raw", "advance_id"),
-        ("cards_have_master", "cards_master", "master_customer_id", "customer_master", "master_customer_id"),
-    )
-    parts = [
-        _verdicts(orphan_count(wh[child], fk, wh[parent], pk), _orphan_verdict(name, child))
-        for name, child, fk, parent, pk in relations
-    ]
-    return reduce(DataFrame.unionByName, parts)
-
-
-def customer_facts(wh: Mapping[str, DataFrame]) -> DataFrame:
-    """One row with all that is counted per customer, from one scan each of customers, cards, advances and aliases.
-
-    Everything known of a customer id meets in one grouped count, reduced in
-    every map task, so an id with any number of rows crosses it as one row per task.
-    """
-    kinds = {"parent": "boolean", "test": "boolean", "protected": "boolean", "moved": "boolean"}
-    kinds |= dict.fromkeys(("people", "cards", "advances", "aliases", "emails", "phones"), "bigint")
-
-    def known(df: DataFrame, key: str, **facts: Column) -> DataFrame:
-        plain = {n: F.lit(False) if k == "boolean" else F.lit(0) for n, k in kinds.items()}
-        return df.select(F.col(key).alias("_id"), *[c.cast(kinds[n]).alias(n) for n, c in (plain | facts).items()])
-
-    person = ~F.col("is_test")
-    rows = [
-        known(
-            wh["customers_raw"], "customer_id", parent=F.lit(True), test=F.col("is_test"), people=person,
-            emails=person & ~valid_email("email"), phones=person & ~valid_phone("phone"),
-        ),
-        known(wh["cards_raw"], "customer_id", cards=F.lit(1)),
-        known(wh["advances_raw"], "customer_id", advances=F.lit(1), protected=F.col("status").isin(*PROTECTING_STATUSES)),
-        known(
-            wh["customer_alias"], "source_customer_id", aliases=F.lit(1),
-            moved=F.col("master_customer_id") != F.col("source_customer_id"),
-        ),
-    ]
-    grouped = reduce(DataFrame.unionByName, rows).groupBy("_id").agg(
-        *[(F.bool_or(n) if k == "boolean" else F.sum(n)).alias(n) for n, k in kinds.items()]
-    )
-    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
-    lost = ~F.col("parent") | F.col("_id").isNull()
-    return grouped.agg(
-        total(F.when(lost, F.col("cards"))).alias("orphan_cards"),
-        total(F.when(lost, F.col("advances"))).alias("orphan_advances"),
-        total("people").alias("customers"),
-        total("aliases").alias("aliases"),
-        total(F.when(F.col("test"), F.col("aliases"))).alias("leaked"),
-        F.count_if(F.col("protected") & F.col("moved")).alias("remapped"),
-        total("emails").alias("bad_emails"),
-        total("phones").alias("bad_phones"),
-    )
-
-
-def customer_checks(wh: Mapping[str, DataFrame]) -> DataFrame:
-    """The verdicts on :func:`customer_facts`."""
-    return _verdicts(
-        customer_facts(wh),
-        _orphan_verdict("cards_have_customer", "cards_raw", "orphan_cards"),
-        _orphan_verdict("advances_have_customer", "advances_raw", "orphan_advances"),
-        _verdict(
-            "alias_coverage", "customer_alias", "completeness", F.col("aliases") != F.col("customers"), FAIL,
-            F.col("customers"), F.col("aliases"),
-        ),
-        _verdict("test_data_excluded", "customer_master", "validity", F.col("leaked") != 0, FAIL, "0", F.col("leaked")),
-        _verdict(
-            "protected_customer_survives", "customer_master", "business_rule", F.col("remapped") != 0, FAIL,
-            "0 protected customers remapped", F.format_string("%d remapped", "remapped"),
-        ),
-        *[
-            _verdict(
-                f"malformed_{kind}_count", "customers_raw", "validity", F.col(f"bad_{kind}s") > 0, WARN,
-                CONTACT_EXPECTED, F.col(f"bad_{kind}s"), CONTACT_NOTE,
-            )
-            for kind in ("email", "phone")
-        ],
-    )
-
-
 def coverage(customers: DataFrame, alias: DataFrame) -> DataFrame:
     """One row ``customers, aliases``: non-test customers and rows of the alias map."""
     return side_by_side(_count(customers.where(~F.col("is_test")), "customers"), _count(alias, "aliases"))
@@ -215,28 +127,6 @@ def candidate_pairs(groups: DataFrame) -> DataFrame:
     return groups.agg(F.coalesce(F.sum("pairs"), F.lit(0)).cast("decimal(38,0)").alias("pairs"))
 
 
-def identity_checks(wh: Mapping[str, DataFrame]) -> DataFrame:
-    """What the resolution left to people: quarantined groups and suggested pairs."""
-    conflict_keys = wh["identity_conflicts"].agg(F.count_distinct("conflict_key").alias("conflicts"))
-    parts = [
-        _verdicts(
-            conflict_keys,
-            _verdict(
-                "protected_identity_conflicts", "identity_conflicts", "business_rule", F.col("conflicts") > 0, WARN,
-                "0 preferred", F.col("conflicts"), CONFLICT_NOTE,
-            ),
-        ),
-        _verdicts(
-            candidate_pairs(wh["identity_review_groups"]),
-            _verdict(
-                "suggestive_match_candidates", "identity_review_candidates", "observability", F.col("pairs") > 0, WARN,
-                "review only", F.col("pairs"), CANDIDATE_NOTE,
-            ),
-        ),
-    ]
-    return reduce(DataFrame.unionByName, parts)
-
-
 def malformed_contacts(customers: DataFrame) -> DataFrame:
     """One row ``bad_emails, bad_phones`` over non-test customers; a missing value is malformed."""
     return customers.where(~F.col("is_test")).agg(
@@ -244,49 +134,20 @@ def malformed_contacts(customers: DataFrame) -> DataFrame:
     )
 
 
-# --- the suite ------------------------------------------------------------------------------
+# --- sequences and the gate -----------------------------------------------------------------
 
 
 def sequence_check(spec: TableSpec, target: DataFrame, parent: str = "advance_id", value: str = "changed_at") -> DataFrame:
     """Whether times run backwards along the sequence of an append-only table; observed, not blocking."""
-    return _verdicts(
+    return verdicts(
         order_breaks(target, parent, spec.cursor, value),
-        _verdict(
+        verdict(
             "monotonic_sequence", spec.target, "consistency", F.col("decreases") > 0, WARN,
             "0 decreases", F.format_string("%d decreases", "decreases"),
         ),
     )
 
 
-def constraint_check(spec: TableSpec, target: DataFrame) -> DataFrame:
-    """The constraints of one source table as one verdict, with the broken ones in its details."""
-    found = constraint_violations(target, spec.target, *source_rules(spec, target.columns))
-    broken = F.when(F.col("violations") > 0, F.format_string("%s=%d", "rule", "violations"))
-    one = found.agg(F.coalesce(F.sum("violations"), F.lit(0)).alias("violations"), F.array_sort(F.collect_list(broken)).alias("broken"))
-    return _verdicts(
-        one,
-        _verdict(
-            "source_constraints", spec.target, "validity", F.col("violations") > 0, FAIL,
-            "0 violations", F.format_string("%d violations", "violations"), F.array_join("broken", "; "),
-        ),
-    )
-
-
-def quality_suite(
-    sources: Mapping[str, DataFrame], wh: Mapping[str, DataFrame], specs: tuple[TableSpec, ...] = TABLES
-) -> DataFrame:
-    """All blocking and observing checks as one plan: one row per check, one action for the caller.
-
-    The 21 checks of a load, and for every table its null keys and source
-    constraints, for append-only tables the order of their sequence.
-    """
-    parts = [key_checks(spec, sources[spec.source], wh[spec.target]) for spec in specs]
-    parts += [constraint_check(spec, wh[spec.target]) for spec in specs]
-    parts += [sequence_check(spec, wh[spec.target]) for spec in specs if spec.cursor_is_key]
-    parts += [customer_checks(wh), relationship_checks(wh), identity_checks(wh)]
-    return reduce(DataFrame.unionByName, parts)
-
-
 def gate(results: DataFrame) -> list[Row]:
     """Collect the verdicts (one small row per check) and raise when any check failed."""
     rows = results.select(*VERDICT).collect()

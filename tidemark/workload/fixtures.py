@@ -228,6 +228,29 @@ FIXTURES = {
 }
 
 
+def _stored(source: str, key: str, held: str, where: str) -> Fixture:
+    """The stored copy of a table: some of its rows never came, others lie under keys the source lacks."""
+    of = FIXTURES[source]
+    return Fixture(of.table, of.columns | {key: held}, where)
+
+
+FIXTURES |= {
+    "fx_stored_customers": _stored(
+        "fx_customers", "customer_id", "CASE WHEN c_acctbal > 9800 THEN -1 - c_custkey ELSE c_custkey END", "c_custkey % 50 <> 49"
+    ),
+    "fx_stored_advances": _stored(
+        "fx_advances", "advance_id", "CASE WHEN o_totalprice > 480000 THEN -1 - o_orderkey ELSE o_orderkey END", "o_orderkey % 100 <> 3"
+    ),
+    "fx_stored_cards": _stored(
+        "fx_cards", "card_id",
+        "CASE WHEN c_acctbal < -900 THEN 'old-' ELSE 'card-' END || CAST(c_custkey AS STRING)", "c_custkey % 40 <> 7",
+    ),
+    "fx_stored_history": _stored(
+        "fx_history", "history_id", "CASE WHEN event_id % 500 = 77 THEN -1 - event_id ELSE event_id END", "event_id % 300 <> 5"
+    ),
+}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return FIXTURES[name].load(spark, sf_dir)
 

@@ -48,7 +48,7 @@ def _orphans(check: str, dataset: str, counted: str) -> str:
 def _contacts(check: str, sound: str) -> str:
     return f"""SELECT '{check}', 'customers_raw', 'validity', CASE WHEN n > 0 THEN 'WARN' ELSE 'PASS' END,
         'tracked, not silently fixed', CAST(n AS VARCHAR), 'raw value preserved; validity flag is exposed in master'
-        FROM (SELECT count(*) AS n FROM contacts WHERE NOT {sound})"""
+        FROM (SELECT count(*) AS n FROM stored_contacts WHERE NOT {sound})"""
 
 
 # --- reusable common table expressions, each naming what it builds on -------------------------
@@ -187,49 +187,45 @@ _PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         """SELECT count(*) AS n FROM protected p JOIN resolved r ON r.customer_id = p.customer_id
            WHERE r.master_id <> p.customer_id""",
     ),
-    "orphans_stored": (
-        ("fx_stored_transactions", "fx_advances"),
-        """SELECT count(*) AS n FROM fx_stored_transactions t LEFT JOIN fx_advances p ON p.advance_id = t.advance_id
-           WHERE p.advance_id IS NULL""",
-    ),
     "backwards": (
         ("fx_history",),
         """SELECT count(*) AS n FROM (SELECT changed_at, lag(changed_at) OVER (PARTITION BY advance_id
                ORDER BY history_id, changed_at) AS before FROM fx_history) WHERE changed_at < before""",
     ),
     "verdicts": (
-        ("fx_customers", "fx_advances", "fx_cards", "fx_transactions", "fx_stored_transactions", "fx_history",
-         "orphans_cards", "orphans_advances", "orphans_stored", "orphans_cards_master", "resolved", "leaked",
-         "moved", "pairs", "contacts", "backwards"),
+        ("fx_customers", "fx_advances", "fx_cards", "fx_transactions", "fx_history", "fx_stored_customers", "fx_stored_advances",
+         "fx_stored_cards", "fx_stored_transactions", "fx_stored_history", "stored_orphans_cards", "stored_orphans_advances",
+         "stored_orphans_transactions", "orphans_cards_master", "resolved", "stored_leaked", "stored_moved", "pairs",
+         "stored_contacts", "stored_backwards"),
         " UNION ALL ".join([
-            *_keys("customers_raw", "fx_customers", "fx_customers", "customer_id"),
-            *_keys("advances_raw", "fx_advances", "fx_advances", "advance_id"),
-            *_keys("cards_raw", "fx_cards", "fx_cards", "card_id"),
+            *_keys("customers_raw", "fx_customers", "fx_stored_customers", "customer_id"),
+            *_keys("advances_raw", "fx_advances", "fx_stored_advances", "advance_id"),
+            *_keys("cards_raw", "fx_cards", "fx_stored_cards", "card_id"),
             *_keys("transactions_raw", "fx_transactions", "fx_stored_transactions", "transaction_id"),
-            *_keys("advance_status_history_raw", "fx_history", "fx_history", "history_id"),
-            _constraints("customers_raw", "fx_customers", _nulls("first_name last_name is_test created_at updated_at")),
-            _constraints("advances_raw", "fx_advances", _nulls("customer_id status amount_cents created_at updated_at") | {
+            *_keys("advance_status_history_raw", "fx_history", "fx_stored_history", "history_id"),
+            _constraints("customers_raw", "fx_stored_customers", _nulls("first_name last_name is_test created_at updated_at")),
+            _constraints("advances_raw", "fx_stored_advances", _nulls("customer_id status amount_cents created_at updated_at") | {
                 "status_in_enum": "count(*) FILTER (WHERE (status IN ('requested', 'funded', 'paid_off', 'cancelled')) IS NOT TRUE)",
                 "amount_not_negative": "count(*) FILTER (WHERE (amount_cents >= 0) IS NOT TRUE)"}),
-            _constraints("cards_raw", "fx_cards", _nulls("customer_id token last_four status") | {
+            _constraints("cards_raw", "fx_stored_cards", _nulls("customer_id token last_four status") | {
                 "last_four_length": "count(*) FILTER (WHERE (length(last_four) = 4) IS NOT TRUE)",
                 "token_unique": "count(token) - count(DISTINCT token)"}),
             _constraints("transactions_raw", "fx_stored_transactions",
                 _nulls("advance_id transaction_type amount_cents occurred_at updated_at")),
-            _constraints("advance_status_history_raw", "fx_history", _nulls("advance_id status changed_at")),
+            _constraints("advance_status_history_raw", "fx_stored_history", _nulls("advance_id status changed_at")),
             """SELECT 'monotonic_sequence', 'advance_status_history_raw', 'consistency', CASE WHEN n > 0 THEN 'WARN' ELSE 'PASS' END,
-                '0 decreases', n || ' decreases', '' FROM backwards""",
-            _orphans("cards_have_customer", "cards_raw", "orphans_cards"),
-            _orphans("advances_have_customer", "advances_raw", "orphans_advances"),
-            _orphans("transactions_have_advance", "transactions_raw", "orphans_stored"),
+                '0 decreases', n || ' decreases', '' FROM stored_backwards""",
+            _orphans("cards_have_customer", "cards_raw", "stored_orphans_cards"),
+            _orphans("advances_have_customer", "advances_raw", "stored_orphans_advances"),
+            _orphans("transactions_have_advance", "transactions_raw", "stored_orphans_transactions"),
             _orphans("cards_have_master", "cards_master", "orphans_cards_master"),
             """SELECT 'alias_coverage', 'customer_alias', 'completeness', CASE WHEN a = c THEN 'PASS' ELSE 'FAIL' END,
                 CAST(c AS VARCHAR), CAST(a AS VARCHAR), '' FROM (SELECT (SELECT count(*) FROM resolved) AS a,
-                (SELECT count(*) FROM fx_customers WHERE NOT is_test) AS c)""",
+                (SELECT count(*) FROM fx_stored_customers WHERE NOT is_test) AS c)""",
             """SELECT 'test_data_excluded', 'customer_master', 'validity', CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END,
-                '0', CAST(n AS VARCHAR), '' FROM leaked""",
+                '0', CAST(n AS VARCHAR), '' FROM stored_leaked""",
             """SELECT 'protected_customer_survives', 'customer_master', 'business_rule',
-                CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END, '0 protected customers remapped', n || ' remapped', '' FROM moved""",
+                CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END, '0 protected customers remapped', n || ' remapped', '' FROM stored_moved""",
             """SELECT 'protected_identity_conflicts', 'identity_conflicts', 'business_rule',
                 CASE WHEN n > 0 THEN 'WARN' ELSE 'PASS' END, '0 preferred', CAST(n AS VARCHAR),
                 'conflicts are quarantined, never auto-merged'
@@ -244,6 +240,19 @@ _PARTS: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
+def _on_stored(name: str) -> tuple[tuple[str, ...], str]:
+    """A part over the stored copies of the raw tables instead of their sources."""
+    needed, text = _PARTS[name]
+    raw = [n for n in needed if n.startswith("fx_")]
+    for n in raw:
+        text = text.replace(n, n.replace("fx_", "fx_stored_"))
+    return tuple(n.replace("fx_", "fx_stored_") if n in raw else n for n in needed), text
+
+
+_PARTS |= {f"stored_{n}": _on_stored(n) for n in ("orphans_cards", "orphans_advances", "orphans_transactions", "contacts", "leaked", "backwards", "protected")}
+_PARTS["stored_moved"] = (("stored_protected", "resolved"), _PARTS["moved"][1].replace("FROM protected", "FROM stored_protected"))
+
+
 def _with(body: str, *needed: str) -> str:
     """``body`` under the common table expressions it needs, in dependency order."""
     order: list[str] = []

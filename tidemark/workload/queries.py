@@ -20,7 +20,7 @@ from tidemark.functions.scalars import (
     valid_email,
     valid_phone,
 )
-from tidemark.operators import digest, extract, identity, ledger, merge, parity, quality
+from tidemark.operators import digest, extract, identity, ledger, merge, parity, quality, suite
 from tidemark.session import shared_folder
 from tidemark.workload.fixtures import WATERMARK, base, load
 from tidemark.workload.published import publish_orders, replay_orders
@@ -96,6 +96,13 @@ def _new_root(spark):
     return f"{shared_folder(spark)}/published-{uuid4().hex}"
 
 
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a written table, as a load has its derived tables."""
+    path = f"{shared_folder(df.sparkSession)}/suite-{uuid4().hex}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _reconciled(spark, d):
     source = _source(spark, d)
     return merge.next_snapshot(_target(spark, d), source, source.columns, KEY, CURSOR, WATERMARK, _upper(source))
@@ -401,8 +408,8 @@ def malformed_contacts(spark, d):
 
 
 def _suite(spark, d) -> DataFrame:
-    """The whole suite on all five tables; the stored transactions end at a date and hold keys the source lacks."""
-    resolved = _resolved(spark, d)
+    """The whole suite on all five tables; every stored copy lacks rows of its source and holds keys the source lacks."""
+    resolved = _kept(_resolved(spark, d), "resolved")
     alias = identity.aliases(resolved)
     sources = {
         "customers": _customers(spark, d),
@@ -411,15 +418,15 @@ def _suite(spark, d) -> DataFrame:
         "transactions": load(spark, d, "fx_transactions"),
         "advance_status_history": load(spark, d, "fx_history"),
     }
-    wh = {f"{name}_raw": df for name, df in sources.items()} | {
-        "transactions_raw": load(spark, d, "fx_stored_transactions"),
+    stored = {name: "history" if name.endswith("history") else name for name in sources}
+    wh = {f"{name}_raw": load(spark, d, f"fx_stored_{copy}") for name, copy in stored.items()} | {
         "customer_alias": alias,
-        "customer_master": identity.golden_records(resolved),
-        "cards_master": identity.remap_cards(sources["cards"], alias),
+        "customer_master": _kept(identity.golden_records(resolved), "master"),
+        "cards_master": _kept(identity.remap_cards(sources["cards"], alias), "cards"),
         "identity_conflicts": identity.conflicts(resolved),
         "identity_review_groups": identity.review_groups(resolved),
     }
-    return quality.quality_suite(sources, wh)
+    return suite.quality_suite(sources, wh)
 
 
 @query
