@@ -354,6 +354,46 @@ def test_query_blocks_are_not_kept_in_the_plan(spark):
     assert tuples(found) == tuples(ann.nearest(df, every=20))
 
 
+def _outliers(kind: str) -> list[tuple]:
+    rng = np.random.default_rng(7)
+    given = [(n, rng.normal(size=16)) for n in range(240)]
+    if kind == "one large":
+        given[7] = (7, np.eye(16)[0] * 1e200)
+    elif kind == "one large query":
+        given[20] = (20, -np.eye(16)[3] * 1e200)
+    elif kind == "overflow":
+        given = [(n, v * (1e200 if n % 9 == 0 else 1)) for n, v in given]
+    elif kind == "limit":
+        given[5] = (5, np.full(16, np.finfo(float).max))
+        given[40] = (40, np.full(16, -np.finfo(float).max))
+    elif kind == "tiny":
+        given = [(n, v * 1e-200) for n, v in given]
+    elif kind == "mixed":
+        given = [(n, v * 10.0 ** rng.integers(-150, 150)) for n, v in given]
+    elif kind == "equal":
+        given = [(n, np.full(16, 0.3)) for n, _ in given]
+    return given
+
+
+@pytest.mark.parametrize("kind", ["one large", "one large query", "overflow", "limit", "tiny", "mixed", "equal"])
+def test_any_finite_vector(spark, kind):
+    """Neither a component of 1e200 nor one of 1e-200 costs another vector its place."""
+    given = _outliers(kind)
+    df = spark.createDataFrame([(n, v.tolist()) for n, v in given], "vec_id long, embedding array<double>").repartition(3)
+    found: dict = {}
+    for r in ann.nearest(df).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    with np.errstate(all="ignore"):
+        for q, vector in given:
+            if q % 20 == 0:
+                scores = {i: float((vector * v).sum()) for i, v in given if i != q}
+                best = sorted((-s if s == s else np.inf, i) for i, s in scores.items())[:20]
+                own = sorted(found.pop(q))
+                assert [i for _, i, _ in own] == [i for _, i in best]
+                assert [s for _, _, s in own] == pytest.approx([-s for s, _ in best])
+    assert not found
+
+
 def test_few_or_no_vectors(spark):
     few = spark.createDataFrame([(0, [1.0, 2.0]), (1, [3.0, 4.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in ann.nearest(few).collect()] == [(0, 1, 1, 11.0)]

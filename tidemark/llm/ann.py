@@ -8,15 +8,17 @@ with a query is estimated for every candidate, together with a bound of the
 estimate's error; only candidates whose upper bound reaches the 20th best lower
 bound are scored exactly, on the original vectors, in double precision.
 
-All rows are indexed. The centre is fitted on a bounded sample (``FIT_ROWS`` rows
-by a hash). Queries go against all codes in blocks of at most ``BLOCK_BYTES``; a
+All rows are indexed. The centre, the median of each component, is fitted on a bounded
+sample (``FIT_ROWS`` rows by a hash). Queries go against all codes in blocks of at most ``BLOCK_BYTES``; a
 task keeps the best of its rows for each query, and one ranked grouping unites
 the tasks. The bound holds with a probability set by ``CONFIDENCE``; recall is
 measured against brute force in the tests.
 
 Vectors that are null, zero, of another length than most, or that hold null or
 non-finite components take no part, nor do rows without an id. Rows of one id
-count once, with the smallest of their vectors.
+count once, with the smallest of their vectors. Any finite component will do: lengths are
+taken after scaling, a vector whose estimate is no number is scored exactly, and an inner
+product that overflows to both sides counts as the least.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ from tidemark.llm.common import gathered, stored
 
 FIT_ROWS = 10_000
 BLOCK_BYTES = 16_000_000
+SINGLE, DOUBLE = 1e-5, 1e-13  # rounding of estimates in single precision, of the rest in double
 CONFIDENCE = 2.5  # standard errors of an estimate that its bound allows for
 _ROWS, _QUERIES = 4096, 512  # candidates and queries compared at once
 
@@ -54,6 +57,20 @@ def _matrix(column) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 1))
 
 
+def _unit(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of length one and their lengths; scaled by the largest component, so that no square over- or underflows."""
+    largest = np.abs(x).max(axis=1, initial=0)
+    scaled = x / np.where(largest > 0, largest, 1)[:, None]
+    length = np.linalg.norm(scaled, axis=1)
+    return scaled / np.where(length > 0, length, 1)[:, None], largest * length
+
+
+def products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Row by row inner products in double precision; one that overflows both ways is the least."""
+    out = np.concatenate([(x[i : i + 65536] * y[i : i + 65536]).sum(axis=1) for i in range(0, len(x), 65536)])
+    return np.where(np.isnan(out), -np.inf, out)
+
+
 class Coder:
     """The fitted index: centre and rotation."""
 
@@ -62,18 +79,15 @@ class Coder:
 
     def code(self, x: np.ndarray):
         """Packed signs, distance from the centre, inner product with it, and the code's own cosine."""
-        apart = x - self.centre
-        norm = np.linalg.norm(apart, axis=1)
-        turned = (apart / np.where(norm > 0, norm, 1)[:, None]) @ self.turn
+        unit, norm = _unit(x - self.centre)
+        turned = unit @ self.turn
         cosine = np.abs(turned).sum(axis=1) / np.sqrt(x.shape[1])
         return np.packbits(turned > 0, axis=1), norm, x @ self.centre, np.maximum(cosine, 1e-9)
 
     def query(self, q: np.ndarray):
         """Rotated unit queries, their distance from the centre, and the constant part of their inner products."""
-        apart = q - self.centre
-        norm = np.linalg.norm(apart, axis=1)
-        unit = (apart / np.where(norm > 0, norm, 1)[:, None]) @ self.turn
-        return unit.astype(np.float32), norm, q @ self.centre - self.centre @ self.centre
+        unit, norm = _unit(q - self.centre)
+        return (unit @ self.turn).astype(np.float32), norm, q @ self.centre - self.centre @ self.centre
 
 
 _CODES = "vec_id long, embedding array<double>, bits binary, norm double, on_centre double, cosine double"
@@ -88,7 +102,7 @@ def index(vectors: DataFrame, seed: int = 5) -> tuple[DataFrame, Coder | None]:
     rows = rows.where(F.size("embedding") == common.d)
     chance = F.pmod(F.xxhash64("vec_id"), F.lit(1_000_003)) < int(min(1.0, FIT_ROWS / common["count"]) * 1_000_003) + 1
     fit = _matrix(rows.where(chance).select("embedding").limit(2 * FIT_ROWS).toArrow()["embedding"].combine_chunks())
-    coder = Coder(fit.mean(axis=0) if len(fit) else np.zeros(common.d), seed)
+    coder = Coder(np.median(fit, axis=0) if len(fit) else np.zeros(common.d), seed)
     sent = vectors.sparkSession.sparkContext.broadcast(coder)
 
     def encode(batches):
@@ -130,6 +144,7 @@ def _search(coder: Coder, ids: np.ndarray, queries: np.ndarray, k: int):
     """The task that finds the best of its candidates for one block of queries."""
 
     def run(batches):
+        np.seterr(over="ignore", invalid="ignore", under="ignore")  # such estimates are dealt with
         unit, distance, constant = coder.query(queries)
         best, d = Best(len(ids), k), len(coder.centre)
         for b in batches:
@@ -139,24 +154,26 @@ def _search(coder: Coder, ids: np.ndarray, queries: np.ndarray, k: int):
                 bits = np.frombuffer(b"".join(own.column("bits").to_pylist()), np.uint8).reshape(len(names), -1)
                 signs = np.unpackbits(bits, axis=1, count=d).astype(np.float32) * 2 - 1
                 norm, on_centre, cosine = (own.column(c).to_numpy() for c in ("norm", "on_centre", "cosine"))
-                error = CONFIDENCE * np.sqrt(np.maximum(1 - cosine**2, 0) / cosine**2 / max(d - 1, 1)) * norm
+                error = CONFIDENCE * np.sqrt(np.maximum(1 - cosine**2, 0) / cosine**2 / max(d - 1, 1)) * norm + SINGLE * norm / cosine
                 scale = norm / (cosine * np.sqrt(d))
                 for first in range(0, len(ids), _QUERIES):
                     part = slice(first, min(first + _QUERIES, len(ids)))
                     estimate = (unit[part] @ signs.T) * (distance[part, None] * scale) + on_centre + constant[part, None]
-                    bound = distance[part, None] * error + 1e-6
+                    bound = distance[part, None] * error + DOUBLE * (np.abs(on_centre) + np.abs(constant[part, None]))
                     floor = best.floor(part)
-                    if len(names) > k:  # its own row may be among the first k, hence one more
-                        low = np.partition(estimate - bound, len(names) - k - 1, axis=1)[:, len(names) - k - 1]
-                        floor = np.maximum(floor, low)
-                    q, c = np.nonzero(estimate + bound >= floor[:, None])
+                    if len(names) > k and np.isneginf(floor).any():  # its own row may be among the first k, hence one more
+                        low = estimate - bound
+                        low[~np.isfinite(low)] = -np.inf
+                        floor = np.maximum(floor, np.partition(low, len(names) - k - 1, axis=1)[:, len(names) - k - 1])
+                    # An estimate that is no number says nothing, so its vector is scored.
+                    q, c = np.nonzero(~(estimate + bound < floor[:, None]))
                     q += first
                     other = ids[q] != names[c]
                     q, c = q[other], c[other]
                     if len(q):
-                        exact = np.concatenate([(queries[q[i : i + 65536]] * vectors[c[i : i + 65536]]).sum(axis=1) for i in range(0, len(q), 65536)])
+                        exact = products(queries[q], vectors[c])
                         best.take(q, names[c], exact)
-        q, place = np.nonzero(best.score > -np.inf)
+        q, place = np.nonzero(best.id < np.iinfo(np.int64).max)
         yield pa.record_batch(
             [pa.array(ids[q]), pa.array(best.id[q, place]), pa.array(best.score[q, place])], names=["query_id", "vec_id", "score"]
         )
