@@ -62,7 +62,7 @@ class _Delta:
 
     folder: str
     rows: DataFrame
-    buckets: Mapping[int, int]  # rows stored per bucket
+    buckets: set[int]
     versions: int
     size: int
 
@@ -70,7 +70,8 @@ class _Delta:
 def _write_delta(wh: Warehouse, spec: TableSpec, rows: DataFrame, order: list[str], stamp: Stamp) -> _Delta:
     """Reduce ``rows`` to the last version per key, stamp and store them.
 
-    ``versions`` and ``size`` count all rows given, superseded versions included.
+    ``versions`` and ``size`` count all rows given, superseded versions included;
+    they are observed while the rows are written.
     """
     sized = rows.withColumn(_BYTES, payload_bytes(spec.schema))
     if spec.unique_at_source:
@@ -83,18 +84,9 @@ def _write_delta(wh: Warehouse, spec: TableSpec, rows: DataFrame, order: list[st
         .withColumn(RUN_ID, F.lit(stamp.run_id))
         .withColumn(BUCKET, bucket_of(spec))
     )
-    folder = wh.write_buckets(spec.target, delta, stamp.run_id)
-    extra = [T.StructField(_VERSIONS, T.LongType()), T.StructField(_BYTES, T.LongType())]
-    stored = wh.open(folder, T.StructType([*spec.target_schema.fields, *extra, T.StructField(BUCKET, T.IntegerType())]))
-    # One row per bucket at most.
-    gained = stored.groupBy(BUCKET).agg(F.sum(_VERSIONS).alias("n"), F.sum(_BYTES).alias("b"), F.count(F.lit(1)).alias("k")).collect()
-    return _Delta(
-        folder,
-        stored.select(*spec.target_schema.fieldNames(), BUCKET),
-        {r[BUCKET]: r["k"] for r in gained},
-        sum(r["n"] for r in gained),
-        sum(r["b"] for r in gained),
-    )
+    folder, buckets, seen = wh.write_buckets(spec.target, delta, stamp.run_id, versions=F.sum(_VERSIONS), size=F.sum(_BYTES))
+    stored = wh.open(folder, T.StructType([*spec.target_schema.fields, T.StructField(BUCKET, T.IntegerType())]))
+    return _Delta(folder, stored, buckets, seen["versions"], seen["size"])
 
 
 def _removed_keys(
@@ -133,30 +125,33 @@ def _merge(
 ) -> tuple[State, int]:
     """Put a delta into a draft; returns it with the number of stale keys among those leaving.
 
-    Leaving keys become a segment of deleted keys, new versions a segment of
-    rows: what is written follows the change, not the table. Only buckets of
-    many segments or many deleted keys are then written as one again.
+    Buckets that lose keys are written anew, without them and with their new
+    rows; buckets that only gain rows name the delta's folder as well. No other
+    bucket is read or written.
     """
-    level, stale, draft = state.next_level(spec.target), 0, state
+    draft, lost, stale, gone = state, set(), 0, None
     if leaving is not None:
-        folder = wh.write_buckets(spec.target, leaving, stamp.run_id)
-        kept = T.StructType([*[spec.schema[k] for k in spec.key], T.StructField(_STALE, T.BooleanType()), T.StructField(BUCKET, T.IntegerType())])
-        # One row per bucket at most.
-        lost = wh.open(folder, kept).groupBy(BUCKET).agg(F.count_if(_STALE).alias("stale"), F.count(F.lit(1)).alias("n")).collect()
-        stale = sum(r["stale"] for r in lost)
-        draft = draft.with_segments(spec.target, wh.bucket_segments(spec.target, folder, {r[BUCKET]: r["n"] for r in lost}, level, True))
+        gone, lost, seen = wh.write_buckets(spec.target, leaving, stamp.run_id, stale=F.count_if(_STALE))
+        stale = seen["stale"]
     if delta:
-        draft = draft.with_segments(spec.target, wh.bucket_segments(spec.target, delta.folder, delta.buckets, level))
-    return compact(wh, draft, spec, stamp, draft.crowded(spec.target)), stale
-
-
-def compact(wh: Warehouse, state: State, spec: TableSpec, stamp: Stamp, buckets: set[int]) -> State:
-    """A draft in which each of the buckets is one segment of rows again."""
-    if not buckets:
-        return state
-    level = state.next_level(spec.target)
-    folder = wh.write_buckets(spec.target, wh.read(state, spec.target, buckets).withColumn(BUCKET, bucket_of(spec)), stamp.run_id)
-    return state.with_segments(spec.target, wh.bucket_segments(spec.target, folder, wh.bucket_rows(folder), level), buckets)
+        draft = draft.with_parts(spec.target, wh.bucket_parts(spec.target, delta.folder, delta.buckets - lost))
+    anew = lost | draft.crowded(spec.target)
+    if anew:
+        key = [*spec.key, BUCKET]
+        rows = wh.read(draft, spec.target, anew).withColumn(BUCKET, bucket_of(spec))
+        if lost:
+            schema = T.StructType([*[spec.schema[k] for k in spec.key], T.StructField(BUCKET, T.IntegerType())])
+            removed = wh.open(gone, schema).alias("g")
+            same = [F.col(f"r.{k}").eqNullSafe(F.col(f"g.{k}")) for k in key]
+            rows = rows.alias("r").join(removed, same, "left_anti")
+            if delta and lost & delta.buckets:
+                rows = rows.unionByName(delta.rows.where(F.col(BUCKET).isin(*sorted(lost & delta.buckets))))
+        folder, buckets, _ = wh.write_buckets(spec.target, rows, stamp.run_id)
+        draft = draft.with_parts(spec.target, wh.bucket_parts(spec.target, folder, buckets), anew)
+    for folder in (gone, delta.folder if delta and delta.buckets <= anew else None):  # nothing names these
+        if folder:
+            wh.drop(folder)
+    return draft, stale
 
 
 def sync_table(

@@ -548,5 +548,5 @@ def dataset_metadata(spark, d):
 
 @query
 def published_state(spark, d):
-    """The reconciled order snapshot after two runs through the warehouse, read back by its manifest."""
+    """The reconciled order snapshot after two runs through the warehouse, read back by its version."""
     return publish_orders(spark, _new_root(spark), _target(spark, d), _source(spark, d), WATERMARK)
