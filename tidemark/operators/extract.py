@@ -5,13 +5,16 @@ from __future__ import annotations
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.spec import TableSpec
 
 
+_VERSIONS = "_versions_of"
+
+
 def bound_literal(value: Any, kind: T.DataType) -> Column:
     """A bound as a constant of the cursor's type; datetimes go by their ISO text, zone included."""
     if isinstance(value, datetime):
@@ -46,18 +49,29 @@ def extract_table(source: DataFrame, spec: TableSpec, lower: Any, upper: Any) ->
 def latest_per_key(rows: DataFrame, key: list[str], order: list[str], **totals: Column) -> DataFrame:
     """The last row per key in ``order``: what remains after writing the rows one by one.
 
-    A grouped ``max`` keeps one candidate per key in every map task, so a key
-    with very many versions is reduced before the shuffle. ``order`` must be
-    total over the versions of a key; the remaining columns follow it as the
-    final tiebreak. ``totals`` are further aggregates over all versions.
+    Versions are counted per key by a hash aggregate that carries the key alone. Rows of keys
+    with one version, nearly all, are taken as they stand; only the others meet
+    in a ranking, cut to one row per key in every task before their shuffle, so a key with
+    very many versions is one row per task. ``order`` must be total over the
+    versions of a key; the remaining columns follow it as the final tiebreak.
+    ``totals`` are further aggregates over all versions. ``rows`` is read for the count and for the rows.
     """
     payload = [c for c in rows.columns if c not in key]
     ranked = list(dict.fromkeys([c for c in order if c not in key] + payload))
-    last = [F.max(F.struct(*ranked)).alias("_last")] if ranked else []
-    grouped = rows.groupBy(*key).agg(*last, *[c.alias(n) for n, c in totals.items()]) if last or totals else rows.distinct()
-    return grouped.select(
-        *[F.col(c) if c in key else F.col("_last")[c].alias(c) for c in rows.columns], *totals
-    )
+    if not ranked:
+        return rows.groupBy(*key).agg(*[c.alias(n) for n, c in totals.items()]) if totals else rows.distinct()
+    counted = rows.groupBy(*key).agg(F.count(F.lit(1)).alias(_VERSIONS), *[c.alias(n) for n, c in totals.items()])
+    # Keys under names of their own: a null key is a key, so the joins are null-safe.
+    named = [F.col(k).alias(f"{_VERSIONS}_{k}") for k in key]
+    several = counted.where(F.col(_VERSIONS) > 1).select(*named)
+    same = [F.col(k).eqNullSafe(F.col(f"{_VERSIONS}_{k}")) for k in key]
+    one = rows.join(several, same, "left_anti")
+    last = Window.partitionBy(*key).orderBy(*[F.desc(c) for c in ranked])
+    more = rows.join(several, same, "left_semi").withColumn(_VERSIONS, F.row_number().over(last)).where(F.col(_VERSIONS) == 1)
+    latest = one.unionByName(more.drop(_VERSIONS))
+    if not totals:
+        return latest
+    return latest.join(counted.select(*named, *totals), same).select(*rows.columns, *totals)
 
 
 def cursor_text(bound: Column, kind: T.DataType) -> Column:

@@ -55,14 +55,28 @@ def members(customers: DataFrame, advances: DataFrame) -> DataFrame:
     )
 
 
-def _survivor_order() -> list[Column]:
-    # A lone protected member comes first; otherwise completeness, age, id decide.
-    return [
-        (~F.col("is_protected")).alias("open"),
-        (-completeness_score()).alias("gaps"),
-        F.col("created_at"),
-        F.col("customer_id"),
-    ]
+# A place in the order of survivors as one number: class, instant and id, each below the next one's unit.
+_INSTANTS = 320_000_000_000_000_000  # more than the microseconds from the year 1 to 9999
+_YEAR_ONE = 63_000_000_000_000_000  # what makes them positive
+_IDS = "18446744073709551617"  # all longs, and none
+
+
+def _survivor_order() -> Column:
+    """A lone protected member comes first; otherwise completeness, age, id decide. Nulls come first.
+
+    The number has a fixed width, so that its minimum is hash-aggregated.
+    """
+    kind = F.when(F.col("is_protected"), F.lit(0)).otherwise(F.lit(7)) + F.lit(6) - completeness_score()
+    instant = F.coalesce(F.unix_micros(F.col("created_at").cast("timestamp")) + F.lit(_YEAR_ONE), F.lit(0))
+    place = F.coalesce(F.col("customer_id").cast("decimal(20,0)") + F.lit("9223372036854775809").cast("decimal(19,0)"), F.lit(0).cast("decimal(20,0)"))
+    high = (kind.cast("bigint") * F.lit(_INSTANTS) + instant).cast("decimal(19,0)")
+    return (high * F.lit(_IDS).cast("decimal(20,0)")).cast("decimal(38,0)") + place.cast("decimal(38,0)")
+
+
+def _survivor_id(order: Column) -> Column:
+    """The customer at a place of :func:`_survivor_order`."""
+    place = order % F.lit(_IDS).cast("decimal(38,0)")
+    return F.when(place > 0, (place - F.lit("9223372036854775809").cast("decimal(38,0)")).cast("bigint"))
 
 
 def group_decisions(people: DataFrame) -> DataFrame:
@@ -77,9 +91,9 @@ def group_decisions(people: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("n_members"),
             F.count_if(F.col("is_protected")).alias("n_protected"),
-            F.min(F.struct(*_survivor_order())).alias("_first"),
+            F.min(_survivor_order()).alias("_first"),
         )
-        .select("proof_key", "n_members", "n_protected", F.col("_first.customer_id").alias("survivor_id"))
+        .select("proof_key", "n_members", "n_protected", _survivor_id(F.col("_first")).alias("survivor_id"))
     )
 
 
@@ -154,7 +168,7 @@ def _donor_order() -> Column:
     return (instant * F.lit("100000000000000000000").cast("decimal(21,0)")).cast("decimal(38,0)") + place
 
 
-def golden_records(resolved: DataFrame) -> DataFrame:
+def golden_records(resolved: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
     """One row per master: the survivor's values, absent contact fields filled from its group.
 
     Fills come from the member with the smallest ``(updated_at, customer_id)``
@@ -171,10 +185,12 @@ def golden_records(resolved: DataFrame) -> DataFrame:
     alone = resolved.where(~is_merged).select("master_customer_id", *own, *[F.when(ok, F.col(f)).alias(f) for f, ok in has.items()])
 
     ranked = resolved.where(is_merged).withColumn("_order", F.when(is_master, F.lit(_OWN).cast("decimal(38,0)")).otherwise(_donor_order()))
-    first = ranked.groupBy("master_customer_id").agg(*[F.min(F.when(ok, F.col("_order"))).alias(f"_{f}") for f, ok in has.items()])
+    first = ranked.groupBy("master_customer_id").agg(
+        F.max("merged_members").alias("_size"), *[F.min(F.when(ok, F.col("_order"))).alias(f"_{f}") for f, ok in has.items()]
+    )
     chosen = reduce(or_, [F.col("_order") == F.col(f"_{f}") for f in has], is_master)
     # At most one row per field and the survivor's own are left of a group.
-    named = ranked.join(first, "master_customer_id").where(F.coalesce(chosen, F.lit(False)))
+    named = skewed_lookup(ranked, first, ["master_customer_id"], ["customer_id"], policy, "_size").where(F.coalesce(chosen, F.lit(False)))
     filled = named.groupBy("master_customer_id").agg(
         *[F.max(F.when(is_master, F.col(c))).alias(c) for c in own],
         *[F.max(F.when(F.col("_order") == F.col(f"_{f}"), F.col(f))).alias(f) for f in has],
@@ -262,16 +278,17 @@ def review_members(resolved: DataFrame, groups: DataFrame, policy: SkewPolicy =
     )
 
 
-def review_partners(resolved: DataFrame, asked: DataFrame) -> DataFrame:
+def review_partners(resolved: DataFrame, asked: DataFrame, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
     """All candidate pairs of the asked customers (``customer_id``), whatever the size of their groups.
 
-    One row per pair, also when both are asked for.
+    One row per pair, also when both are asked for. The members of a large group
+    are dealt over several tasks, each of which has all the asked ones of it.
     """
     evidence = _evidence(resolved)
     sought = evidence.join(asked.select("customer_id").distinct(), "customer_id").select(
         "email", "birth_date", F.col("customer_id").alias("_asked"), F.col("master_customer_id").alias("_asked_master")
     )
-    pairs = evidence.join(sought, ["email", "birth_date"]).where(F.col("master_customer_id") != F.col("_asked_master"))
+    pairs = skewed_lookup(evidence, sought, ["email", "birth_date"], ["customer_id"], policy).where(F.col("master_customer_id") != F.col("_asked_master"))
     return pairs.select(
         F.least("_asked", "customer_id").alias("customer_id_a"),
         F.greatest("_asked", "customer_id").alias("customer_id_b"),

@@ -38,7 +38,7 @@ def skewed_lookup(
     policy: SkewPolicy = DEFAULT_POLICY,
     size: str | None = None,
 ) -> DataFrame:
-    """Inner equi-join of ``rows`` to ``lookup``, which holds one row per key.
+    """Inner equi-join of ``rows`` to ``lookup``, which holds one row per key, or a few of which each is wanted.
 
     Rows of a hot key are dealt over several tasks by a hash of ``spread`` (a
     deterministic salt, so a retried task deals them the same way) and only the

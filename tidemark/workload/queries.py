@@ -72,8 +72,16 @@ def _people(spark, d):
     return identity.members(_customers(spark, d), _advances(spark, d))
 
 
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a written table, as a load has its members, its resolution and its derived tables."""
+    path = f"{shared_folder(df.sparkSession)}/kept-{uuid4().hex}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _resolved(spark, d):
-    return identity.resolve(_customers(spark, d), _advances(spark, d))
+    """The resolution, made once and read by all that follows from it."""
+    return _kept(identity.resolve_members(_kept(_people(spark, d), "members")), "resolved")
 
 
 def _alias(spark, d):
@@ -96,13 +104,6 @@ def _new_root(spark):
     return f"{shared_folder(spark)}/published-{uuid4().hex}"
 
 
-def _kept(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a written table, as a load has its derived tables."""
-    path = f"{shared_folder(df.sparkSession)}/suite-{uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _reconciled(spark, d):
     source = _source(spark, d)
     return merge.next_snapshot(_target(spark, d), source, source.columns, KEY, CURSOR, WATERMARK, _upper(source))
@@ -409,7 +410,7 @@ def malformed_contacts(spark, d):
 
 def _suite(spark, d) -> DataFrame:
     """The whole suite on all five tables; every stored copy lacks rows of its source and holds keys the source lacks."""
-    resolved = _kept(_resolved(spark, d), "resolved")
+    resolved = _resolved(spark, d)
     alias = identity.aliases(resolved)
     sources = {
         "customers": _customers(spark, d),
