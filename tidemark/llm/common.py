@@ -7,7 +7,7 @@ from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -69,6 +69,29 @@ def without(docs: DataFrame, rows: DataFrame) -> DataFrame:
     return docs.join(named, same_row(doc, key), "left_anti")
 
 
+def repeated(rows: DataFrame, copies: str, block: int = 100_000) -> DataFrame:
+    """Every row as many times as its column ``copies`` says, which goes; the copies are dealt over tasks in blocks.
+
+    The column only has to be small for most rows: one thin shuffle by the other columns and the
+    block keeps the copies of a single row from being made by a single task.
+    """
+    begin, copy = fresh(rows, "from", "copy")
+    kept = [c for c in rows.columns if c != copies]
+    n = F.col(copies).cast("bigint")
+    dealt = rows.withColumn(begin, F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1, F.lit(block).cast("bigint"))))
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # given, lest the small blocks be put together again
+    dealt = dealt.repartition(tasks, begin, *[c for c in ("doc_id", "text_hash") if c in kept])
+    return dealt.withColumn(copy, F.explode(F.sequence(F.col(begin), F.least(F.col(begin) + block, n) - 1))).select(*kept)
+
+
+def small(text) -> Column:
+    """``text`` with A-Z in small letters; other letters may change too, but none becomes one of a-z.
+
+    The two characters beyond ASCII whose small form has a letter of a-z are put out of the way first.
+    """
+    return F.lower(F.replace(F.replace(text, F.lit("\u212a"), F.lit("\u0101")), F.lit("\u0130"), F.lit("\u0101")))
+
+
 def same_row(doc: str, key: str):
     """A row of ``documents`` is the one that columns ``doc`` and ``key`` name."""
     return F.col("doc_id").eqNullSafe(F.col(doc)) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col(key))

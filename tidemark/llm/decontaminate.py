@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import buffers, keyed_texts, shards, stored, without, words
+from tidemark.llm.common import buffers, keyed_texts, repeated, shards, stored, without, words
 
 WINDOW = 10
 SHARD_BYTES = 4_000_000
@@ -210,8 +210,8 @@ def _united(parts: list[DataFrame]) -> DataFrame:
     rows = reduce(DataFrame.unionByName, parts)
     own = rows.groupBy("doc_id", "text_hash").agg(
         F.max("n_words").alias("n_words"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"),
-        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("spans")))).alias("spans"),
+        F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"),
         (F.count(F.lit(1)) / len(parts)).cast("int").alias("copies"),
     )
 
@@ -225,10 +225,10 @@ def _united(parts: list[DataFrame]) -> DataFrame:
                         merged[-1][-1]["end"] = max(merged[-1][-1]["end"], s["end"])
                     else:
                         merged[-1].append(s)
-            yield b.set_column(3, "spans", pa.array(merged, b.schema.field("spans").type)).drop_columns(["_copy"])
+            yield b.set_column(3, "spans", pa.array(merged, b.schema.field("spans").type))
 
-    once = own.select("doc_id", "text_hash", "n_words", "spans", "items", F.explode(F.sequence(F.lit(1), "copies")).alias("_copy"))
-    return once.mapInArrow(unite, _SPANS)
+    once = own.select("doc_id", "text_hash", "n_words", "spans", "items", "copies")
+    return repeated(once, "copies").mapInArrow(unite, _SPANS)
 
 
 def contaminated_spans(

@@ -24,6 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import repeated, small
+
+_SMALL = {c: c + 32 for c in range(65, 91)}
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 MAX_STEP = 3  # words by which neighbouring diagonals may differ
 MIN_COVER = 0.8
@@ -59,7 +62,7 @@ NOTICES = {
 
 
 def template_words(text: str) -> list[str]:
-    return re.findall(WORD, text.lower())
+    return re.findall(WORD, text.translate(_SMALL))
 
 
 def templates(spark: SparkSession) -> DataFrame:
@@ -77,7 +80,7 @@ def templates(spark: SparkSession) -> DataFrame:
 
 def _texts(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
-    words = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
+    words = F.regexp_extract_all(small(text), F.lit(WORD), F.lit(0))
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_hash"), words.alias("words"))
 
 
@@ -168,7 +171,7 @@ def license_scan(docs: DataFrame) -> DataFrame:
         joined.alias("base_labels"),
         F.array_join(F.array_sort(F.collect_set("label")), ",").alias("labels"),
         F.coalesce(F.max("cover"), F.lit(0.0)).alias("score"),
-        F.sum("copies").alias("_copies"),
+        F.sum("copies").alias("copies"),
     )
     kept = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
-    return whole.select(*kept, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).select(*kept)
+    return repeated(whole, "copies").select(*kept)

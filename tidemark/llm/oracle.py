@@ -93,20 +93,28 @@ WITH template(template, label, is_base, grams, place, w1, w2) AS (VALUES {_BIGRA
   FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 1)) AS p FROM doc WHERE len(w) > 1)
 ), vote AS (
   SELECT DISTINCT doc_id, template, label, is_base, grams, pos - place AS diagonal, place, pos FROM gram JOIN template USING (w1, w2)
-), base AS (
-  SELECT doc_id, label, diagonal AS start FROM vote WHERE is_base
-  GROUP BY doc_id, template, label, grams, diagonal HAVING count(DISTINCT place) = grams
+), diagonals AS (
+  SELECT doc_id, template, label, is_base, grams, diagonal, bit_or(CAST(1 AS BIGINT) << place) AS places,
+         min(pos) AS first_pos, max(pos) AS last_pos
+  FROM vote GROUP BY doc_id, template, label, is_base, grams, diagonal
+), whole AS (
+  SELECT * FROM diagonals WHERE bit_count(places) = grams
 ), stepped AS (
   SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) <= 3 THEN 0 ELSE 1 END AS fresh
-  FROM vote WHERE NOT is_base
+  FROM diagonals WHERE NOT is_base AND bit_count(places) < grams
 ), run AS (
-  SELECT *, sum(fresh) OVER (PARTITION BY doc_id, template ORDER BY diagonal RANGE UNBOUNDED PRECEDING) AS run FROM stepped
+  SELECT *, sum(fresh) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS run FROM stepped
+), stretch AS (
+  SELECT a.doc_id, a.template, a.label, a.grams, a.diagonal AS start, b.places,
+         max(b.last_pos) OVER upto + 2 - min(b.first_pos) OVER upto AS length
+  FROM run a JOIN run b ON b.doc_id = a.doc_id AND b.template = a.template AND b.run = a.run AND b.diagonal BETWEEN a.diagonal AND a.diagonal + 300
+  WINDOW upto AS (PARTITION BY a.doc_id, a.template, a.diagonal ORDER BY b.diagonal)
 ), notice AS (
-  SELECT doc_id, label, count(DISTINCT place) / CAST(grams AS DOUBLE) AS cover FROM run GROUP BY doc_id, template, label, grams, run
-  HAVING count(DISTINCT place) / CAST(grams AS DOUBLE) >= CASE WHEN grams < 10 THEN 1.0 ELSE 0.8 END
-     AND max(pos) + 2 - min(pos) <= 1.5 * (grams + 1) + 3
+  SELECT doc_id, label, bit_count(bit_or(places)) / CAST(grams AS DOUBLE) AS cover FROM stretch WHERE length <= 1.5 * (grams + 1) + 3
+  GROUP BY doc_id, template, label, grams, start
+  HAVING bit_count(bit_or(places)) / CAST(grams AS DOUBLE) >= CASE WHEN grams < 10 THEN 1.0 ELSE 0.8 END
 ), found AS (
-  SELECT doc_id, label, 1.0 AS cover, start, label AS base_label FROM base
+  SELECT doc_id, label, 1.0 AS cover, CASE WHEN is_base THEN diagonal END AS start, CASE WHEN is_base THEN label END AS base_label FROM whole
   UNION ALL SELECT doc_id, label, cover, NULL, NULL FROM notice
 ), labelled AS (
   SELECT doc_id, count(start) AS n_base, min(start) AS first_word, max(start) AS last_word,
