@@ -228,3 +228,35 @@ def test_local_rows_take_text_for_instants(spark):
     assert row.schema.fieldNames() == CONTROL["watermarks"].fieldNames()
     assert row.select(F.unix_timestamp("updated_at")).first()[0] == 1735689600
     assert local_rows(spark, [], CONTROL["watermarks"]).count() == 0
+
+
+def _keys(spark, rows):
+    return spark.createDataFrame(rows, "k long, t string").repartition(3)
+
+
+def test_no_key_is_shuffled_where_nothing_changed(spark):
+    """Sides of the same keys only meet as checksums; a changed key brings its range along, and no other."""
+    rows = [(n % 900, f"t{n // 900}") for n in range(1_800)] + [(None, "x"), (5, None)]
+    source, target = _keys(spark, rows), _keys(spark, rows[::-1])
+    kept = parity.in_differing_ranges(source, target, ["k", "t"], ranges=64)
+    assert [df.count() for df in kept] == [0, 0]
+    changed = _keys(spark, [r for r in rows if r != (7, "t1")] + [(10**6, "new")])
+    kept = parity.in_differing_ranges(source, changed, ["k", "t"], ranges=64)
+    assert all(0 < df.count() < len(rows) / 8 for df in kept)
+    found = parity.changed_difference(source, changed, ["k", "t"], ranges=64)
+    assert {(r.k, r.t) for r in found.where("target_rows = 0").collect()} == {(7, "t1")}
+    assert {(r.k, r.t) for r in found.where("NOT in_source").collect()} == {(10**6, "new")}
+
+
+def test_checksums_find_what_a_full_comparison_finds(spark):
+    rnd = random.Random(6)
+    for _ in range(4):
+        pool = [(rnd.choice([None, *range(40)]), rnd.choice([None, "a", "b"])) for _ in range(60)]
+        source, target = _keys(spark, rnd.choices(pool, k=50)), _keys(spark, rnd.choices(pool, k=50))
+        full = parity.key_difference(source, target, ["k", "t"])
+        rows = lambda df: sorted(map(str, df.select("k", "t").collect()))
+        assert rows(parity.missing_keys(target, source, ["k", "t"])) == rows(full.where("target_rows = 0"))
+        assert rows(parity.stale_keys(target, source, ["k", "t"])) == rows(full.where("NOT in_source"))
+        delta, rest = source.distinct().where("k % 3 = 0 OR k IS NULL"), source.where("k % 3 <> 0")
+        want = {(r.k, r.t): False for r in delta.intersect(target).collect()} | {(r.k, r.t): True for r in full.where("NOT in_source").collect()}
+        assert {(r.k, r.t): r.stale for r in parity.leaving_keys(target, rest, delta, ["k", "t"]).collect()} == want

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.extract import extract, in_window, latest_per_key
+from tidemark.operators.parity import stale_keys, without_keys
 
 
 def upsert(target: DataFrame, delta: DataFrame, key: list[str]) -> DataFrame:
@@ -27,22 +28,16 @@ def drop_stale(rows: DataFrame, source: DataFrame, key: list[str]) -> DataFrame:
 def next_snapshot(
     target: DataFrame, source: DataFrame, columns: list[str], key: list[str], cursor: str, lower: Any, upper: Any
 ) -> DataFrame:
-    """Upsert and hard-delete reconciliation in one pass over the target.
+    """Upsert and hard-delete reconciliation.
 
     A target row stays when its key is still in the source and was not
-    extracted again; the extracted rows are by definition in the source. One
-    grouped key scan answers both questions, so the target meets one semi join
-    where an anti join followed by a semi join would need two.
+    extracted again. The keys that leave follow the change, so the target meets
+    them by their size, and no key is shuffled for ranges in which nothing was deleted.
     """
-    window = in_window(cursor, lower, upper, source.schema[cursor].dataType)
-    unchanged = (
-        source.groupBy(*key)
-        .agg(F.bool_or(F.coalesce(window, F.lit(False))).alias("_changed"))
-        .where(~F.col("_changed"))
-        .select(*key)
-    )
+    window = F.coalesce(in_window(cursor, lower, upper, source.schema[cursor].dataType), F.lit(False))
     delta = latest_per_key(extract(source, columns, cursor, lower, upper), key, [cursor])
-    return target.select(*columns).join(unchanged, key, "left_semi").unionByName(delta)
+    rest = without_keys(target.select(*columns), source.where(window), key)
+    return without_keys(rest, stale_keys(rest, source.where(~window), key), key).unionByName(delta)
 
 
 def append_sequence(target: DataFrame, delta: DataFrame, key: str, lower: Any) -> DataFrame:

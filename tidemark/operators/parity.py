@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SAMPLE_SIZE = 5
+RANGES = 4096  # of key hashes, each with a checksum
+_RANGE = "_range"
 
 
 def side_by_side(*one_row: DataFrame) -> DataFrame:
@@ -28,14 +30,71 @@ def key_difference(source: DataFrame, target: DataFrame, key: list[str]) -> Data
     return left.unionByName(right).groupBy(*key).agg(F.bool_or("_s").alias("in_source"), F.sum("_t").alias("target_rows"))
 
 
+def _signed(df: DataFrame, key: list[str], ranges: int, sign: int) -> DataFrame:
+    h = F.xxhash64(*key)
+    return df.select(
+        F.pmod(h, F.lit(ranges)).alias(_RANGE), F.lit(sign).cast("bigint").alias("_n"),
+        (h.bitwiseAND(F.lit(0xFFFFFFFF)) * sign).alias("_low"), (F.shiftrightunsigned(h, 32) * sign).alias("_high"),
+    )
+
+
+def differing_ranges(left: DataFrame, right: DataFrame, key: list[str], ranges: int = RANGES) -> DataFrame:
+    """Hash ranges whose keys differ between two sides, repeats counted; at most ``ranges`` rows.
+
+    Each range has an additive checksum: the number of its keys and the sums of both
+    halves of their hashes. They are summed in every map task, so no key is shuffled.
+    """
+    sums = _signed(left, key, ranges, 1).unionByName(_signed(right, key, ranges, -1)).groupBy(_RANGE)
+    totals = sums.agg(*[F.sum(c).alias(c) for c in ("_n", "_low", "_high")])
+    return totals.where((F.col("_n") != 0) | (F.col("_low") != 0) | (F.col("_high") != 0)).select(_RANGE)
+
+
+def in_differing_ranges(source: DataFrame, target: DataFrame, key: list[str], ranges: int = RANGES) -> tuple[DataFrame, DataFrame]:
+    """The keys of both sides that lie in ranges which differ: none where nothing changed."""
+    differing = F.broadcast(differing_ranges(source, target, key, ranges))  # at most `ranges` rows
+
+    def kept(df: DataFrame) -> DataFrame:
+        ranged = df.select(*key, F.pmod(F.xxhash64(*key), F.lit(ranges)).alias(_RANGE))
+        return ranged.join(differing, _RANGE, "left_semi").select(*key)
+
+    return kept(source), kept(target)
+
+
+def changed_difference(source: DataFrame, target: DataFrame, key: list[str], ranges: int = RANGES) -> DataFrame:
+    """:func:`key_difference` over the ranges that differ: all keys on which the sides differ, and few others.
+
+    What is shuffled follows the change: sides with the same keys are only summed.
+    """
+    return key_difference(*in_differing_ranges(source, target, key, ranges), key)
+
+
 def stale_keys(target: DataFrame, source: DataFrame, key: list[str]) -> DataFrame:
     """Keys held by the target that the source no longer has, each once."""
-    return key_difference(source, target, key).where(~F.col("in_source")).select(*key)
+    return changed_difference(source.select(*key), target.select(*key), key).where(~F.col("in_source")).select(*key)
 
 
 def missing_keys(target: DataFrame, source: DataFrame, key: list[str]) -> DataFrame:
     """Keys of the source that the target does not hold, each once."""
-    return key_difference(source, target, key).where(F.col("target_rows") == 0).select(*key)
+    return changed_difference(source.select(*key), target.select(*key), key).where(F.col("target_rows") == 0).select(*key)
+
+
+def without_keys(rows: DataFrame, gone: DataFrame, key: list[str]) -> DataFrame:
+    """``rows`` whose key ``gone`` does not have; null keys are keys. The smaller side is sent by its size."""
+    named = gone.select(*[F.col(k).alias(f"_gone_{k}") for k in key])
+    return rows.join(named, [F.col(k).eqNullSafe(F.col(f"_gone_{k}")) for k in key], "left_anti")
+
+
+def leaving_keys(target: DataFrame, unchanged: DataFrame, delta: DataFrame, key: list[str]) -> DataFrame:
+    """Target keys that a delta replaces or the source no longer has: the key and ``stale``, each once.
+
+    ``unchanged`` holds the source rows outside the delta. They should be the target's without
+    the replaced keys, so keys are shuffled only in ranges where these two differ.
+    """
+    named = delta.select(*[F.col(k).alias(f"_d_{k}") for k in key])
+    pairs = [F.col(k).eqNullSafe(F.col(f"_d_{k}")) for k in key]
+    replaced = target.select(*key).join(named, pairs, "left_semi").distinct()
+    stale = stale_keys(without_keys(target.select(*key), delta, key), unchanged, key)
+    return replaced.withColumn("stale", F.lit(False)).unionByName(stale.withColumn("stale", F.lit(True)))
 
 
 def key_audit(difference: DataFrame, key: list[str]) -> DataFrame:

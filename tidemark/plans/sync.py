@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tidemark.operators.digest import payload_bytes
 from tidemark.operators.extract import bound_literal, cursor_text, extract, in_window, latest_per_key
 from tidemark.operators.ledger import SYNC_METRICS
+from tidemark.operators.parity import leaving_keys
 from tidemark.sources.warehouse import BUCKET, State, Warehouse, bucket_of
 from tidemark.spec import LOADED_AT, RUN_ID, TableSpec
 
@@ -89,14 +90,12 @@ def _write_delta(wh: Warehouse, spec: TableSpec, rows: DataFrame, order: list[st
     return _Delta(folder, stored, buckets, seen["versions"], seen["size"])
 
 
-def _removed_keys(
-    wh: Warehouse, state: State, spec: TableSpec, source: DataFrame, delta: _Delta | None, lower, upper: str
-) -> DataFrame:
+def _removed_keys(wh: Warehouse, state: State, spec: TableSpec, source: DataFrame, delta: _Delta | None, lower, upper) -> DataFrame:
     """Stored keys that must leave their bucket: deleted at the source, or replaced by the delta.
 
-    Both key scans meet in one grouped pass: one shuffle, no sort. An
-    append-only table looks only at its own delta, and when its key is the
-    sequence only above the watermark.
+    An append-only table looks only at its own delta, and when its key is the
+    sequence only above the watermark. All others compare checksums of key ranges
+    with the source, and keys where these differ.
     """
     key = list(spec.key)
     stored = wh.read(state, spec.target).select(*key)
@@ -105,18 +104,9 @@ def _removed_keys(
             stored = stored.where(F.col(spec.cursor) > F.lit(lower).cast(spec.cursor_type))
         removed = stored.join(delta.rows.select(*key), key, "left_semi").withColumn(_STALE, F.lit(False))
     else:
-        no, yes = F.lit(False), F.lit(True)
-        window = F.coalesce(in_window(spec.cursor, lower, upper, spec.cursor_type), no)
-        held = stored.select(*key, yes.alias("_held"), no.alias("_alive"), no.alias("_changed"))
-        alive = source.select(*key, no.alias("_held"), yes.alias("_alive"), window.alias("_changed"))
-        flags = [F.bool_or(c).alias(c) for c in ("_held", "_alive", "_changed")]
-        removed = (
-            held.unionByName(alive)
-            .groupBy(*key)
-            .agg(*flags)
-            .where(F.col("_held") & (~F.col("_alive") | F.col("_changed")))
-            .select(*key, (~F.col("_alive")).alias(_STALE))
-        )
+        new = delta.rows.select(*key) if delta else stored.where(F.lit(False))
+        window = F.coalesce(in_window(spec.cursor, lower, upper, spec.cursor_type), F.lit(False))
+        removed = leaving_keys(stored, source.where(~window).select(*key), new, key).withColumnRenamed("stale", _STALE)
     return removed.withColumn(BUCKET, bucket_of(spec))
 
 

@@ -335,7 +335,7 @@ def key_parity(spark, d):
 
 @query
 def key_parity_sample(spark, d):
-    return parity.difference_sample(parity.key_difference(_source(spark, d), _target(spark, d), KEY), KEY)
+    return parity.difference_sample(parity.changed_difference(_source(spark, d), _target(spark, d), KEY), KEY)
 
 
 @query
