@@ -35,6 +35,7 @@ BLOCK_BYTES = 16_000_000
 SINGLE, DOUBLE = 1e-5, 1e-13  # rounding of estimates in single precision, of the rest in double
 CONFIDENCE = 2.5  # standard errors of an estimate that its bound allows for
 _ROWS, _QUERIES = 4096, 512  # candidates and queries compared at once
+_PAIRS = 16_384  # pairs scored at once
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -65,9 +66,12 @@ def _unit(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return scaled / np.where(length > 0, length, 1)[:, None], largest * length
 
 
-def products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Row by row inner products in double precision; one that overflows both ways is the least."""
-    out = np.concatenate([(x[i : i + 65536] * y[i : i + 65536]).sum(axis=1) for i in range(0, len(x), 65536)])
+def products(x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Inner products of rows ``i`` of ``x`` with rows ``j`` of ``y``, in double precision; one that overflows both ways is the least."""
+    out = np.empty(len(i))
+    for at in range(0, len(i), _PAIRS):
+        part = slice(at, at + _PAIRS)
+        out[part] = (x[i[part]] * y[j[part]]).sum(axis=1)
     return np.where(np.isnan(out), -np.inf, out)
 
 
@@ -161,7 +165,7 @@ def _search(coder: Coder, ids: np.ndarray, queries: np.ndarray, k: int):
                     estimate = (unit[part] @ signs.T) * (distance[part, None] * scale) + on_centre + constant[part, None]
                     bound = distance[part, None] * error + DOUBLE * (np.abs(on_centre) + np.abs(constant[part, None]))
                     floor = best.floor(part)
-                    if len(names) > k and np.isneginf(floor).any():  # its own row may be among the first k, hence one more
+                    if len(names) > k:  # its own row may be among the first k, hence one more
                         low = estimate - bound
                         low[~np.isfinite(low)] = -np.inf
                         floor = np.maximum(floor, np.partition(low, len(names) - k - 1, axis=1)[:, len(names) - k - 1])
@@ -171,7 +175,7 @@ def _search(coder: Coder, ids: np.ndarray, queries: np.ndarray, k: int):
                     other = ids[q] != names[c]
                     q, c = q[other], c[other]
                     if len(q):
-                        exact = products(queries[q], vectors[c])
+                        exact = products(queries, vectors, q, c)
                         best.take(q, names[c], exact)
         q, place = np.nonzero(best.id < np.iinfo(np.int64).max)
         yield pa.record_batch(
