@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from tests.llm import brute
 from tidemark.llm import language
 from tidemark.llm.common import stored, table
 from tidemark.llm.queries import tokenizer
+from tidemark.session import shared_folder
 
 
 def _rows(df):
@@ -82,3 +84,12 @@ def test_no_documents(spark, no_docs, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         docs = stored(stage(spark, docs, sf_dir), "test")
         assert docs.collect() == []
+
+
+def test_only_the_result_is_left(spark, sf_dir):
+    """The folders of every stage go, but for the last result."""
+    root = f"{shared_folder(spark)}/llm-{spark.sparkContext.applicationId}"
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    result = corpus_pipeline.run(spark, sf_dir)
+    left = set(os.listdir(root)) - before
+    assert len(left) == 1 and left.pop().startswith("pipeline-packing") and result.count() > 0

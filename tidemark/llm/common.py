@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 import numpy as np
@@ -10,25 +11,33 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import shared_folder
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, else the warehouse."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+#: Folders made since the innermost :func:`scratch` was entered.
+_MADE: list[list[str]] = []
+
+
+def _new_folder(spark: SparkSession, name: str) -> str:
+    path = f"{shared_folder(spark)}/llm-{spark.sparkContext.applicationId}/{name}-{uuid4().hex}"
+    for made in _MADE:
+        made.append(path)
+    return path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back, so later steps never repeat what is above.
 
-    Each call has a folder of its own below the application's; expire those of ended applications by age.
+    Each call has a folder of its own below the application's. :func:`scratch` removes
+    them; expire those of other callers and of ended applications by age.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/llm-{spark.sparkContext.applicationId}/{name}-{uuid4().hex}"
+    path = _new_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def gathered(frames: Iterator[DataFrame], name: str) -> DataFrame | None:
@@ -36,12 +45,32 @@ def gathered(frames: Iterator[DataFrame], name: str) -> DataFrame | None:
     path = schema = None
     for df in frames:
         spark = df.sparkSession
-        path = path or f"{shared_dir(spark)}/llm-{spark.sparkContext.applicationId}/{name}-{uuid4().hex}"
+        path = path or _new_folder(spark, name)
         schema = df.schema
         df.write.mode("append").parquet(path)
     return None if path is None else spark.read.schema(schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by :func:`stored`."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Folders made within, all but the last of which are removed at its end: that one is the result."""
+    made: list[str] = []
+    _MADE.append(made)
+    try:
+        yield made
+    finally:
+        _MADE.pop()
+    for path in made[:-1]:
+        remove(spark, path)
+    del made[:-1]
+
+
 def keyed_texts(docs: DataFrame) -> DataFrame:
     """``doc_id, text, text_hash``: a null text is empty, and the pair names a row.
 
