@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, language, line_dedup, packing, simhash
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import remove, scratch, stored, table
 from tidemark.llm.queries import tokenizer
 
 
@@ -60,8 +60,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; a stage's folders go when the next one's result is written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch(spark) as made:
+            docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before:
+            remove(spark, before)
+        before = made[-1]
     return docs

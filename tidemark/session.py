@@ -35,9 +35,17 @@ def local_session(cpus: int | str = "*", *, app: str = "tidemark", memory: str =
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: the cluster's checkpoint directory, else the session's warehouse."""
+    """Folder every executor can reach: the cluster's checkpoint directory, else the session's warehouse.
+
+    Outside local mode the latter has to be on a file system of its own, as a path of
+    the driver's machine is none the executors share.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    folder = (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    alone = spark.sparkContext.master.split("[")[0] == "local"
+    if not configured and not alone and ("://" not in folder and folder.startswith(("/", "file:")) or folder.startswith("file:")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return folder
 
 
 _ARROW = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_()}
