@@ -11,7 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Characters kept in a government id, the shape of an email address,
-# the characters that count as whitespace, and the digits a phone number may have.
+# the characters that count as whitespace, the digits a phone number may have, and
+# (``SCORED_FIELDS``) the fields whose presence is counted.
 _ID_NOISE = r"[^A-Z0-9]"
 _EMAIL_SHAPE = r"\A[a-z0-9._%+-]+@[a-z0-9.-]+\.[a-z]{2,}\z"
 _EMAIL_SHAPE_FOLDED = r"\A(?iu)[a-z0-9._%+-]+@[a-z0-9.-]+\.[a-z]{2,}\z"

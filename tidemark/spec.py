@@ -189,7 +189,7 @@ TABLES = (CUSTOMERS, ADVANCES, CARDS, TRANSACTIONS, HISTORY)
 PROTECTING_STATUSES = ("funded", "paid_off")
 ADVANCE_STATUSES = ("requested", "funded", "paid_off", "cancelled")
 
-# Tables computed from the copies, and the control plane.
+# Names and column lists of the tables computed from the copies, and of the control plane.
 DERIVED = {
     "customer_master": _schema(
         "master_customer_id bigint, government_id string, first_name string, last_name string, birth_date date,"

@@ -1,4 +1,7 @@
-"""The same results in plain SQL over the benchmark tables, for an independent engine."""
+"""The same results in plain SQL over the benchmark tables, for an independent engine.
+
+Fixed values: the labels, check names, expectations and notes in these texts are those of the results.
+"""
 
 from __future__ import annotations
 
