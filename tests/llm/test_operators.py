@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from itertools import product
 
 import numpy as np
 import pytest
@@ -508,6 +509,18 @@ def test_notices_in_a_row_are_all_found(spark, times):
         assert all(spans[n, k * size, (k + 1) * size] for k in range(times))
 
 
+def test_each_reading_of_the_texts_cuts_them_once(spark):
+    """Places and sizes take the words of a text from one cut, and breaks at its ends make no word."""
+    ends = ["", " ", "\x00", "\x7f", ".-/", ":@[`{~\x7f\x1f"]
+    given = [(n, f"{a}MIT{b or ' '}license{c}") for n, (a, b, c) in enumerate(product(ends, repeat=3))]
+    given += [(1_000 + n, text) for n, text in enumerate([*ends, None, "mit", "é\U0001f600\u2028ß mit License", "\u00a0MIT license\u0080"])]
+    df = spark.createDataFrame(given, "doc_id long, text string")
+    expected = Counter((d, *brute.licenses(t)) for d, t in given)
+    assert tuples(licenses.license_scan(df), "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels") == expected
+    for readings, frame in ((1, licenses.diagonals(df)), (2, licenses.license_scan(df))):
+        assert frame._jdf.queryExecution().optimizedPlan().toString().count("lower(") == readings
+
+
 # --- 10: language ---------------------------------------------------------------------------
 
 
